@@ -37,7 +37,7 @@ def feed_totals(feed: DataFrame) -> DataFrame:
 def quarantine_totals(quarantined: DataFrame) -> DataFrame:
     """Distinct quarantined events and the amount each had when first set aside."""
     first = first_by(quarantined, ["event_id"], ["quarantined_at", "_ingested_at", "raw_record"])
-    amount = F.get_json_object("raw_record", "$.amount").cast("decimal(18,2)")
+    amount = F.from_json("raw_record", "amount DECIMAL(18,2)")["amount"]  # exact to the cent
     return first.agg(
         F.count("event_id").alias("quarantined_events"),
         zero_sum(amount).alias("quarantined_amount"),

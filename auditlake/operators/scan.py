@@ -17,6 +17,8 @@ BAD_DATE = "BAD_DATE"
 
 # Line ends that count: every one that Unicode text splitting knows.
 LINE_END = r"\r\n|[\n\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029]"
+# Case does not matter, and letters, digits and word edges are those of Unicode.
+FLAGS = "(?iU)"
 DEFAULT_PATTERNS = (
     r"[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}",
     r"(/home/|/users/)[a-z0-9._-]+",
@@ -72,14 +74,14 @@ def scan_lines(
     df: DataFrame, id_col: str, text: str, patterns: tuple[str, ...] = DEFAULT_PATTERNS
 ) -> DataFrame:
     """Numbers of the lines where a pattern matches, with how many do. The match is not shown."""
-    any_pattern = "(?i)" + "|".join(f"(?:{p})" for p in patterns)
+    any_pattern = FLAGS + "|".join(f"(?:{p})" for p in patterns)
     lines = (
         df.where(F.col(text).rlike(any_pattern))
         .select(id_col, F.posexplode(F.split(text, LINE_END)).alias("_position", "_line"))
         .where(F.col("_line").rlike(any_pattern))
     )
     hits = reduce(
-        lambda a, b: a + b, [F.col("_line").rlike(f"(?i){p}").cast("int") for p in patterns]
+        lambda a, b: a + b, [F.col("_line").rlike(FLAGS + p).cast("int") for p in patterns]
     )
     return lines.select(
         id_col, (F.col("_position") + 1).alias("line_no"), hits.alias("n_patterns")

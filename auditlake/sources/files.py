@@ -5,8 +5,6 @@ The same functions serve batch and streaming reads; only the reader differs.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -43,6 +41,13 @@ def try_parse(text: Column, field: StructField, timestamp_format: str | None, tz
     return F.trim(text).try_cast(field.dataType)
 
 
+def _rescued_json(misfits: dict[str, Column]) -> Column:
+    """JSON of the values that are not NULL, NULL when there are none."""
+    pairs = F.create_map(*[x for name, value in misfits.items() for x in (F.lit(name), value)])
+    kept = F.map_filter(pairs, lambda _, value: value.isNotNull())
+    return F.when(F.size(kept) > 0, F.to_json(kept))
+
+
 def rescue(
     df: DataFrame,
     ddl: str,
@@ -57,24 +62,11 @@ def rescue(
         try_parse(F.col(f.name), f, timestamp_format, tz).alias(f"_t_{f.name}") for f in fields
     ]
     wide = df.select("*", *typed)
-    raw = F.create_map(*[x for f in fields for x in (F.lit(f.name), F.col(f.name))])
-    unfit = reduce(
-        lambda a, b: F.array_union(a, b),
-        [
-            F.array_compact(
-                F.array(
-                    *[
-                        F.when(F.col(f.name).isNotNull() & F.col(f"_t_{f.name}").isNull(), f.name)
-                        for f in fields
-                    ]
-                )
-            )
-        ],
-    )
-    rescued = F.when(
-        F.size(unfit) > 0,
-        F.to_json(F.map_filter(raw, lambda k, v: F.array_contains(unfit, k))),
-    )
+    misfits = {
+        f.name: F.when(F.col(f.name).isNotNull() & F.col(f"_t_{f.name}").isNull(), F.col(f.name))
+        for f in fields
+    }
+    rescued = _rescued_json(misfits)
     return wide.select(
         *[F.col(f"_t_{f.name}").alias(f.name) for f in fields], rescued.alias(RESCUE), *keep
     )
@@ -152,26 +144,11 @@ def parse_json_lines(lines: DataFrame, hints: str, extra: list[str], value: str
     typed = F.from_json(value, hints)
     raw = F.from_json(value, "MAP<STRING, STRING>")
     staged = lines.withColumns({"_typed": typed, "_raw": raw})
-    unfit = F.array_compact(
-        F.array(
-            *[
-                F.when(F.col("_raw")[f.name].isNotNull() & F.col("_typed")[f.name].isNull(), f.name)
-                for f in fields
-            ]
-        )
-    )
-    staged = staged.withColumn("_unfit", unfit)
-    rescued = (
-        F.when(
-            F.col("_raw").isNull() & F.col(value).isNotNull(),
-            F.to_json(F.create_map(F.lit("_line"), F.col(value))),
-        )
-        .when(
-            F.size("_unfit") > 0,
-            F.to_json(F.map_filter("_raw", lambda k, v: F.array_contains(F.col("_unfit"), k))),
-        )
-        .alias(RESCUE)
-    )
+    misfits = {
+        f.name: F.when(F.col("_typed")[f.name].isNull(), F.col("_raw")[f.name]) for f in fields
+    }
+    not_json = F.when(F.col("_raw").isNull(), F.col(value))
+    rescued = _rescued_json({**misfits, "_line": not_json}).alias(RESCUE)
     return staged.select(
         *[F.col("_typed")[f.name].alias(f.name) for f in fields],
         *[F.col("_raw")[name].alias(name) for name in extra],

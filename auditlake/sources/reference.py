@@ -22,3 +22,10 @@ def calendar(spark: SparkSession, start: str = K.CALENDAR_START, end: str = K.CA
     """One row per day from start to end, both included."""
     days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("INTERVAL 1 DAY"))
     return spark.range(1).select(F.explode(days).alias("calendar_date"))
+
+
+def calendar_over(dates: DataFrame, column: str) -> DataFrame:
+    """Every day from the first to the last date of a column."""
+    bounds = dates.agg(F.min(column).alias("first"), F.max(column).alias("last"))
+    days = F.sequence(F.to_date("first"), F.to_date("last"), F.expr("INTERVAL 1 DAY"))
+    return bounds.select(F.explode(days).alias("calendar_date"))

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StringType, StructType, TimestampType
 
 from auditlake.operators import shape
 from auditlake.operators.cdc import scd1, scd2
@@ -50,7 +50,7 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 def read_batches(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     reader = spark.read
     if schema is not None:
-        reader = reader.schema(StructType([*schema.fields]).add(BATCH, "int"))
+        reader = reader.schema(StructType([*schema.fields]).add(BATCH, IntegerType()))
     return reader.parquet(path)
 
 
@@ -170,7 +170,7 @@ def read_evolved(spark: SparkSession, target: str, hints: str) -> DataFrame:
     """The evolving table under its newest schema."""
     fields = StructType.fromDDL(hints)
     for name in evolved_columns(spark, target):
-        fields = fields.add(name, "string")
-    fields = fields.add("_rescued_data", "string").add("_source_file", "string")
-    fields = fields.add("_source_modified_at", "timestamp").add("_ingested_at", "timestamp")
+        fields = fields.add(name, StringType())
+    fields = fields.add("_rescued_data", StringType()).add("_source_file", StringType())
+    fields = fields.add("_source_modified_at", TimestampType()).add("_ingested_at", TimestampType())
     return read_batches(spark, f"{target}/rows", fields).drop(BATCH)
