@@ -1,0 +1,116 @@
+"""Row builders: one clean row per table, a test overrides only the field it is about.
+
+Values are given as text and cast to the declared type; an unknown field is an error.
+"""
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from auditlake import constants as K
+
+AUDIT = "_source_file STRING, _source_modified_at TIMESTAMP, _ingested_at TIMESTAMP"
+FEED = f"{K.FEED_DDL}, channel STRING, _rescued_data STRING, {AUDIT}"
+HISTORY = f"{K.HISTORY_DDL}, _rescued_data STRING, {AUDIT}"
+PROFILE = f"{K.PROFILE_DDL}, _rescued_data STRING, {AUDIT}"
+
+_AUDIT_ROW = {"_source_modified_at": "2026-10-07 05:00:00", "_ingested_at": "2026-10-07 06:00:00"}
+_FEED_ROW = {
+    "event_id": "G1", "event_ts": "2026-10-06T12:30:00Z", "type": "PAYMENT", "amount": "25.50",
+    "customer_id": "CG1", "counterparty_id": "MG1", "origin_balance_before": "1000.00",
+    "origin_balance_after": "974.50", "status": "APPROVED", "decline_reason": None, "is_fraud": "0",
+    "source_system": "generator-v1", "channel": "app", "_rescued_data": None,
+    "_source_file": "/landing/transactions_daily/transactions_2026-10-06.jsonl", **_AUDIT_ROW,
+}
+_HISTORY_ROW = {
+    "step": "1", "type": "PAYMENT", "amount": "100.00", "nameOrig": "C1", "oldbalanceOrg": "500.00",
+    "newbalanceOrig": "400.00", "nameDest": "M1", "oldbalanceDest": "0.00", "newbalanceDest": "0.00",
+    "isFraud": "0", "isFlaggedFraud": "0", "_rescued_data": None, "_source_file": "/landing/history/h.csv",
+    **_AUDIT_ROW,
+}
+_PROFILE_ROW = {
+    "customer_id": "CG1", "entity_type": "customer", "segment": "standard", "region": "north",
+    "changed_at": "2026-09-20 00:00:00", "_rescued_data": None,
+    "_source_file": "/landing/customer_profile/customer_profile_2026-09-20.csv", **_AUDIT_ROW,
+}
+_TX_ROW = {
+    "event_id": "T1", "event_ts": "2026-10-06 12:30:00", "event_date": "2026-10-06", "txn_type": "TRANSFER",
+    "amount": "100.00", "customer_id": "CG1", "counterparty_id": "CG2", "counterparty_kind": "customer",
+    "origin_balance_before": "1000.00", "origin_balance_after": "900.00", "status": "APPROVED",
+    "status_source": "source_system", "is_fraud": "false", "is_zero_amount": "false",
+    "is_bank_holiday": "false", "channel": "app", "source_system": "generator-v1",
+    "_source_file": "/f", "_ingested_at": "2026-10-07 06:00:00",
+}
+_DIM_ROW = {
+    "customer_key": "11", "customer_id": "CG1", "entity_type": "customer", "segment": "standard",
+    "region": "north", "valid_from": "2026-09-20 00:00:00", "valid_to": K.OPEN_END, "is_current": "true",
+}
+TX = ", ".join(c for c in K.UNIFIED_DDL.split(", ") if not c.startswith(("failed_checks", "event_ts_raw")))
+DIM = (
+    "customer_key BIGINT, customer_id STRING, entity_type STRING, segment STRING, region STRING, "
+    "valid_from TIMESTAMP, valid_to TIMESTAMP, is_current BOOLEAN"
+)
+FACT = (
+    "event_id STRING, event_ts TIMESTAMP, date_key INT, hour_of_day INT, type_key INT, customer_id STRING, "
+    "counterparty_id STRING, amount DECIMAL(18,2), amount_band_sort INT, amount_band STRING, "
+    "origin_balance_before DECIMAL(18,2), status STRING, is_fraud BOOLEAN, source_system STRING, day_part STRING, "
+    "is_declined BOOLEAN, flag_balance_drain BOOLEAN, flag_night_high_value BOOLEAN, flag_burst BOOLEAN, "
+    "flag_source_rule BOOLEAN, origin_customer_key BIGINT, counterparty_key BIGINT"
+)
+_FACT_ROW = {
+    "event_id": "F1", "event_ts": "2026-10-06 12:30:00", "date_key": "20261006", "hour_of_day": "12",
+    "type_key": "4", "customer_id": "CG1", "counterparty_id": "CG2", "amount": "100.00",
+    "amount_band_sort": "3", "amount_band": "100 to 999.99", "origin_balance_before": "1000.00",
+    "status": "APPROVED", "is_fraud": "false", "source_system": "generator-v1", "day_part": "afternoon",
+    "is_declined": "false", "flag_balance_drain": "false", "flag_night_high_value": "false",
+    "flag_burst": "false", "flag_source_rule": "false", "origin_customer_key": "11", "counterparty_key": "12",
+}
+
+
+def frame(spark, ddl, rows, defaults=None):
+    """Typed frame from dictionaries of text."""
+    fields = StructType.fromDDL(ddl).fields
+    names = [f.name for f in fields]
+    full = []
+    for row in rows:
+        unknown = set(row) - set(names)
+        if unknown:
+            raise KeyError(f"unknown fields {sorted(unknown)}")
+        merged = {**(defaults or {}), **row}
+        full.append(tuple(merged.get(n) for n in names))
+    texts = StructType([StructField(n, StringType()) for n in names])
+    return spark.createDataFrame(full, texts).select(*[F.col(f.name).cast(f.dataType) for f in fields])
+
+
+def feed(spark, *rows):
+    return frame(spark, FEED, rows, _FEED_ROW)
+
+
+def history(spark, *rows):
+    return frame(spark, HISTORY, rows, _HISTORY_ROW)
+
+
+def profile(spark, *rows):
+    return frame(spark, PROFILE, rows, _PROFILE_ROW)
+
+
+def tx(spark, *rows):
+    return frame(spark, TX, rows, _TX_ROW)
+
+
+def dim(spark, *rows):
+    return frame(spark, DIM, rows, _DIM_ROW)
+
+
+def fact(spark, *rows):
+    return frame(spark, FACT, rows, _FACT_ROW)
+
+
+def holidays(spark, *rows):
+    ddl = "division STRING, title STRING, notes STRING, bunting BOOLEAN, loaded_at TIMESTAMP, holiday_date DATE"
+    base = {"division": "england-and-wales", "title": "Summer", "notes": "", "bunting": "true",
+            "loaded_at": "2026-01-01 00:00:00", "holiday_date": "2026-08-31"}
+    return frame(spark, ddl, rows, base)
+
+
+def by(df, key="event_id"):
+    return {r[key]: r for r in df.collect()}
