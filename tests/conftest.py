@@ -14,12 +14,17 @@ def spark(tmp_path_factory):
         "local[8]",
         "auditlake-tests",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            # Tiny inputs: plan time is everything, so no adaptive stages and little code generation.
+            "spark.sql.shuffle.partitions": "2",
+            "spark.sql.adaptive.enabled": "false",
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
             "spark.ui.enabled": "false",
             "spark.log.level": "ERROR",
             "spark.driver.memory": "8g",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )
+    # The queries run later in the session under production settings; tests reset them here.
     yield session
     session.stop()
