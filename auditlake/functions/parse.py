@@ -72,4 +72,6 @@ def surrogate_key(business_key: Column, start: Column) -> Column:
 
 def reason_list(rules: list[tuple[str, Column]]) -> Column:
     """Codes of the rules that hold, in the given order; NULL counts as not holding."""
-    return F.array_compact(F.array(*[F.when(cond, F.lit(code)) for code, cond in rules]))
+    # Blanks removed by value: unlike a lambda filter, this stays inside generated code.
+    fired = F.array(*[F.when(cond, F.lit(code)).otherwise(F.lit("")) for code, cond in rules])
+    return F.array_remove(fired, "")

@@ -14,13 +14,18 @@ from auditlake.operators.keyed import HEAVY_ROWS, last_known, slice_heavy
 def with_holiday_flag(
     tx: DataFrame, holidays: DataFrame, division: str = K.HEADLINE_DIVISION
 ) -> DataFrame:
-    """Add ``is_bank_holiday``. ``tx`` may be a stream; a date with two names never adds a row."""
+    """Add ``is_bank_holiday``. ``tx`` may be a stream; a date with two names never adds a row.
+
+    The distinct dates are broadcast: there are only so many calendar days, however large the
+    holiday table. So the transactions are never shuffled by date.
+    """
     dates = (
         holidays.where(F.col("division") == division)
         .select(F.col("holiday_date").alias("_holiday"))
         .distinct()
     )
-    joined = tx.drop("is_bank_holiday").join(dates, F.col("event_date") == F.col("_holiday"), "left")
+    match = F.col("event_date") == F.col("_holiday")
+    joined = tx.drop("is_bank_holiday").join(F.broadcast(dates), match, "left")
     return joined.withColumn("is_bank_holiday", F.col("_holiday").isNotNull()).drop("_holiday")
 
 

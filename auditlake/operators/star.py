@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from auditlake.functions import (
 )
 from auditlake.operators.joins import lookup, pit_join
 from auditlake.operators.keyed import crowded_points
+from auditlake.session import stage
 
 REGIONS = {"eaw": "england-and-wales", "scotland": "scotland", "ni": "northern-ireland"}
 
@@ -81,16 +84,20 @@ def burst_flag(
     tx: DataFrame,
     minutes: int = K.BURST_MINUTES,
     threshold: int = K.BURST_COUNT,
+    staged: bool = False,
 ) -> DataFrame:
     """Add ``flag_burst``: a transfer with enough transfers of its customer close in time.
 
-    The crowded moments are found first from the transfers alone; they are few, so the wide rows
-    are normally joined to them without a shuffle.
+    The crowded moments are found first from the transfers alone, and they are few. ``staged``
+    writes them to the scratch folder, so the planner knows their size and joins the wide rows to
+    them without a shuffle whenever they fit its broadcast threshold.
     """
     crowded = crowded_points(
         tx, "customer_id", "event_ts", F.col("txn_type") == "TRANSFER",
         minutes * 60, minutes * 60, threshold,
     ).select(F.col("customer_id").alias("_c_id"), F.col("event_ts").alias("_c_ts"))
+    if staged:
+        crowded = stage(crowded, "crowded")
     match = (F.col("customer_id") == F.col("_c_id")) & (F.col("event_ts") == F.col("_c_ts"))
     flag = (F.col("txn_type") == "TRANSFER") & F.col("_c_id").isNotNull()
     return tx.join(crowded, match, "left").withColumn("flag_burst", flag).drop("_c_id", "_c_ts")
@@ -103,15 +110,18 @@ def fact_transactions(
     burst_minutes: int = K.BURST_MINUTES,
     burst_count: int = K.BURST_COUNT,
     night_amount: float = K.NIGHT_AMOUNT,
+    staged: bool = False,
+    point_in_time: Callable[..., DataFrame] = pit_join,
 ) -> DataFrame:
     """One row per transaction with keys, bands and rule flags.
 
     ``dim_customer`` adds the two customer keys (version valid at event time, -1 when unknown);
-    leave it out where no customer key is read.
+    leave it out where no customer key is read. ``point_in_time`` is the form of that join; pass
+    ``pit_join_linear`` where single customers have very many versions and transactions.
     """
     hour = F.hour("event_ts")
     sort = band_sort(F.col("amount"))
-    flagged = burst_flag(tx, burst_minutes, burst_count)
+    flagged = burst_flag(tx, burst_minutes, burst_count, staged)
     keyed = lookup(flagged, dim_type, "txn_type", "type_name", ["type_key"])
     fact = keyed.select(
         "event_id",
@@ -146,5 +156,5 @@ def fact_transactions(
     )
     if dim_customer is None:
         return fact
-    sent = pit_join(fact, dim_customer, "customer_id", "event_ts", "origin_customer_key")
-    return pit_join(sent, dim_customer, "counterparty_id", "event_ts", "counterparty_key")
+    sent = point_in_time(fact, dim_customer, "customer_id", "event_ts", "origin_customer_key")
+    return point_in_time(sent, dim_customer, "counterparty_id", "event_ts", "counterparty_key")

@@ -7,13 +7,10 @@ so the number of each is known without looking at the feed.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auditlake import constants as K
-from auditlake.session import prepare
 
 ANCHOR = "1995-01-01 00:00:00"
 CALENDAR = ("1995-01-01", "2024-12-31")
@@ -25,126 +22,85 @@ HOLIDAY_STARTS = (("2024-01-01", ""), ("1996-06-01", " SUMMER"))
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One benchmark table with its wall-clock times read as UTC timestamps."""
-    df = prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     zoned = [n for n, t in df.dtypes if t == "timestamp_ntz"]
     return df.withColumns({n: F.col(n).cast("timestamp") for n in zoned}) if zoned else df
 
 
-def _money(col: Column) -> Column:
-    return col.cast("decimal(18,2)")
-
-
 def _event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    return events.select(
+    return table(spark, sf_dir, "events").selectExpr(
         "*",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        (F.col("event_id") % 100).cast("int").alias("m"),
-        _money(F.col("value")).alias("val"),
-        F.to_date("ts").alias("day"),
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        "CAST(event_id % 100 AS INT) AS m",
+        "CAST(value AS DECIMAL(18,2)) AS val",
+        "to_date(ts) AS day",
     )
 
 
-def _txn_type(event_type: Column) -> Column:
-    pairs = {
-        "click": "TRANSFER",
-        "error": "CASH_OUT",
-        "purchase": "PAYMENT",
-        "signup": "CASH_IN",
-        "view": "DEBIT",
-    }
-    return reduce(lambda e, kv: e.when(event_type == kv[0], kv[1]), pairs.items(), F)
-
-
-def _counterparty(e: DataFrame) -> Column:
-    merchant = F.col("event_type").isin("purchase", "view")
-    return F.concat(F.when(merchant, "MG").otherwise("CG"), F.col("k").cast("string"))
-
-
 def raw_feed(spark: SparkSession, sf_dir: str, status_defects: bool = False) -> DataFrame:
     """``events`` as the daily feed, defects and duplicate deliveries included."""
-    e = _event_fields(spark, sf_dir)
-    m, val = F.col("m"), F.col("val")
-    clean_ts = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    declined = F.col("k") < 10
-    status = F.when(declined, "DECLINED").otherwise("APPROVED")
-    if status_defects:
-        status = F.when(m == 5, "PENDING").otherwise(status)
-    before = F.when(F.col("event_id") % 50 == 0, val).otherwise(_money(val * 2))
-    copies = F.explode(F.when(m.isin(10, 11), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    rows = e.select("*", copies.alias("copy"))
-    return rows.select(
-        F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("event_id"),
-        F.when(m == 4, "10:30")
-        .when(m == 24, F.date_format("ts", "yyyy-MM-dd"))
-        .when(m == 44, "2024-02-30T10:00:00Z")
-        .otherwise(clean_ts)
-        .alias("event_ts"),
-        F.when(m == 3, "REFUND").otherwise(_txn_type(F.col("event_type"))).alias("type"),
-        F.when(m == 1, None).when(m == 2, _money(-val)).otherwise(val).alias("amount"),
-        F.when(m != 21, F.concat(F.lit("CG"), F.col("user_id").cast("string"))).alias("customer_id"),
-        _counterparty(e).alias("counterparty_id"),
-        before.alias("origin_balance_before"),
-        _money(before - val).alias("origin_balance_after"),
-        status.alias("status"),
-        F.when(declined, "LIMIT").alias("decline_reason"),
-        F.when(F.col("event_id") % 71 != 0, (F.col("k") % 10 == 0).cast("int")).alias("is_fraud"),
-        F.lit(K.FEED_SOURCE).alias("source_system"),
-        F.when(
-            F.col("day") >= F.lit(CHANNEL_FROM).cast("date"),
-            F.when(F.col("event_id") % 2 == 0, "app").otherwise("web"),
-        ).alias("channel"),
-        F.lit(None).cast("string").alias("_rescued_data"),
-        F.concat(
-            F.lit("/landing/transactions_daily/transactions_"), F.col("day").cast("string"), F.lit(".jsonl")
-        ).alias("_source_file"),
-        F.timestamp_add("HOUR", F.lit(24), F.col("day").cast("timestamp")).alias("_source_modified_at"),
-        F.timestamp_add("HOUR", F.lit(30) + F.col("copy"), F.col("day").cast("timestamp")).alias("_ingested_at"),
+    declined = "CASE WHEN k < 10 THEN 'DECLINED' ELSE 'APPROVED' END"
+    status = f"CASE WHEN m = 5 THEN 'PENDING' ELSE {declined} END" if status_defects else declined
+    before = "CASE WHEN event_id % 50 = 0 THEN val ELSE CAST(val * 2 AS DECIMAL(18,2)) END"
+    delivered = _event_fields(spark, sf_dir).selectExpr(
+        "*",
+        f"{before} AS before",
+        "explode(CASE WHEN m IN (10, 11) THEN array(0, 1) ELSE array(0) END) AS copy",
+    )
+    return delivered.selectExpr(
+        "concat('E', event_id) AS event_id",
+        "CASE m WHEN 4 THEN '10:30' WHEN 24 THEN date_format(ts, 'yyyy-MM-dd') "
+        "WHEN 44 THEN '2024-02-30T10:00:00Z' "
+        "ELSE date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") END AS event_ts",
+        "CASE WHEN m = 3 THEN 'REFUND' ELSE CASE event_type WHEN 'click' THEN 'TRANSFER' "
+        "WHEN 'error' THEN 'CASH_OUT' WHEN 'purchase' THEN 'PAYMENT' WHEN 'signup' THEN 'CASH_IN' "
+        "WHEN 'view' THEN 'DEBIT' END END AS type",
+        "CASE m WHEN 1 THEN NULL WHEN 2 THEN CAST(-val AS DECIMAL(18,2)) ELSE val END AS amount",
+        "CASE WHEN m <> 21 THEN concat('CG', user_id) END AS customer_id",
+        "concat(CASE WHEN event_type IN ('purchase', 'view') THEN 'MG' ELSE 'CG' END, k) AS counterparty_id",
+        "before AS origin_balance_before",
+        "CAST(before - val AS DECIMAL(18,2)) AS origin_balance_after",
+        f"{status} AS status",
+        "CASE WHEN k < 10 THEN 'LIMIT' END AS decline_reason",
+        "CASE WHEN event_id % 71 <> 0 THEN CAST(k % 10 = 0 AS INT) END AS is_fraud",
+        f"'{K.FEED_SOURCE}' AS source_system",
+        f"CASE WHEN day >= DATE '{CHANNEL_FROM}' THEN if(event_id % 2 = 0, 'app', 'web') END AS channel",
+        "CAST(NULL AS STRING) AS _rescued_data",
+        "concat('/landing/transactions_daily/transactions_', day, '.jsonl') AS _source_file",
+        "timestampadd(HOUR, 24, CAST(day AS TIMESTAMP)) AS _source_modified_at",
+        "timestampadd(HOUR, 30 + copy, CAST(day AS TIMESTAMP)) AS _ingested_at",
     )
 
 
 def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as the step-based history."""
-    li = table(spark, sf_dir, "lineitem")
-    kind = F.col("l_linenumber") % 5
-    txn_type = (
-        F.when(kind == 0, "CASH_IN")
-        .when(kind == 1, "CASH_OUT")
-        .when(kind == 2, "TRANSFER")
-        .when(kind == 3, "PAYMENT")
-        .otherwise("DEBIT")
-    )
-    merchant = kind == 3
-    amount = F.when(F.col("l_partkey") % 500 == 0, _money(F.lit(0))).otherwise(
-        _money(F.col("l_extendedprice"))
+    money = "CAST({} AS DECIMAL(18,2))".format
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        "*",
+        "CASE l_linenumber % 5 WHEN 0 THEN 'CASH_IN' WHEN 1 THEN 'CASH_OUT' WHEN 2 THEN 'TRANSFER' "
+        "WHEN 3 THEN 'PAYMENT' ELSE 'DEBIT' END AS type",
+        f"CASE WHEN l_partkey % 500 = 0 THEN {money('0')} ELSE {money('l_extendedprice')} END AS amount",
+        "l_linenumber % 5 = 3 AS merchant",
+        "CAST(l_quantity AS INT) AS quantity",
     )
-    rows = li.select("*", txn_type.alias("type"), amount.alias("amount"), merchant.alias("merchant"))
-    quantity = F.col("l_quantity").cast("int")
-    before = F.when(quantity == 1, F.col("amount")).otherwise(_money(F.col("amount") + quantity))
-    received = F.when(F.col("merchant"), _money(F.lit(0))).otherwise(_money(quantity * 100))
-    day = F.datediff(F.col("l_shipdate"), F.lit(ANCHOR).cast("date"))
-    risky = F.col("type").isin("TRANSFER", "CASH_OUT") & (F.col("l_returnflag") == "R")
-    flagged = (F.col("type") == "TRANSFER") & (F.col("l_returnflag") == "R") & (quantity == 50)
-    return rows.select(
-        (day * 24 + F.col("l_suppkey") % 24 + 1).cast("int").alias("step"),
+    before = f"CASE WHEN quantity = 1 THEN amount ELSE {money('amount + quantity')} END"
+    received = f"CASE WHEN merchant THEN {money('0')} ELSE {money('quantity * 100')} END"
+    return rows.selectExpr(
+        f"CAST(datediff(l_shipdate, DATE '{ANCHOR[:10]}') * 24 + l_suppkey % 24 + 1 AS INT) AS step",
         "type",
         "amount",
-        F.concat(F.lit("C"), F.col("l_orderkey").cast("string")).alias("nameOrig"),
-        before.alias("oldbalanceOrg"),
-        _money(before - F.col("amount")).alias("newbalanceOrig"),
-        F.when(F.col("merchant"), F.concat(F.lit("M"), F.col("l_suppkey").cast("string")))
-        .otherwise(F.concat(F.lit("C"), F.col("l_partkey").cast("string")))
-        .alias("nameDest"),
-        received.alias("oldbalanceDest"),
-        F.when(F.col("merchant"), _money(F.lit(0)))
-        .otherwise(_money(received + F.col("amount")))
-        .alias("newbalanceDest"),
-        risky.cast("int").alias("isFraud"),
-        flagged.cast("int").alias("isFlaggedFraud"),
-        F.lit(None).cast("string").alias("_rescued_data"),
-        F.lit("/landing/history/history.csv").alias("_source_file"),
-        F.lit("2024-02-01 00:00:00").cast("timestamp").alias("_source_modified_at"),
-        F.lit("2024-02-01 01:00:00").cast("timestamp").alias("_ingested_at"),
+        "concat('C', l_orderkey) AS nameOrig",
+        f"{before} AS oldbalanceOrg",
+        money(f"{before} - amount") + " AS newbalanceOrig",
+        "CASE WHEN merchant THEN concat('M', l_suppkey) ELSE concat('C', l_partkey) END AS nameDest",
+        f"{received} AS oldbalanceDest",
+        f"CASE WHEN merchant THEN {money('0')} ELSE {money(received + ' + amount')} END AS newbalanceDest",
+        "CAST(type IN ('TRANSFER', 'CASH_OUT') AND l_returnflag = 'R' AS INT) AS isFraud",
+        "CAST(type = 'TRANSFER' AND l_returnflag = 'R' AND quantity = 50 AS INT) AS isFlaggedFraud",
+        "CAST(NULL AS STRING) AS _rescued_data",
+        "'/landing/history/history.csv' AS _source_file",
+        "TIMESTAMP '2024-02-01 00:00:00' AS _source_modified_at",
+        "TIMESTAMP '2024-02-01 01:00:00' AS _ingested_at",
     )
 
 

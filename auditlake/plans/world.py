@@ -106,7 +106,7 @@ class World:
 
     def _fact(self, dim_customer: DataFrame | None) -> DataFrame:
         return star.fact_transactions(
-            self.transactions, self.dim_type, dim_customer, BURST_MINUTES, BURST_COUNT, NIGHT_AMOUNT
+            self.transactions, self.dim_type, dim_customer, BURST_MINUTES, BURST_COUNT, NIGHT_AMOUNT, self.staged
         )
 
     @cached_property

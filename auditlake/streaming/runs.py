@@ -18,6 +18,7 @@ from auditlake.operators.keyed import HEAVY_ROWS
 from auditlake.sources.files import new_json_columns, parse_json_lines, read_lines
 
 BATCH = "batch_id"
+BUCKET = "key_bucket"
 
 
 def run_available(df: DataFrame, path: str, checkpoint: str) -> None:
@@ -81,23 +82,32 @@ def scd1_current(
 
 def scd2_stream(
     changes: DataFrame, keys: list[str], sequence: str, track: list[str], target: str, checkpoint: str,
-    tie_break: list[str] | None = None, heavy_rows: int | None = HEAVY_ROWS,
+    tie_break: list[str] | None = None, heavy_rows: int | None = HEAVY_ROWS, buckets: int = 64,
 ) -> None:
     """Version history from a stream, with events in any order.
 
     Each micro-batch joins the event log, and the history of the keys it touches is cut again from
-    their whole log. ``scd2_current`` takes the newest cut of each key.
+    their whole log. The log is stored by key bucket, so a micro-batch reads back only the buckets
+    of its own keys. ``scd2_current`` takes the newest cut of each key.
     """
     schema = changes.schema
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    stored = StructType([*schema.fields]).add(BUCKET, IntegerType())
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        write_batch(batch, f"{target}/events", batch_id)
-        # A retried batch must not see events of later batches, and there are none: ids only grow.
-        log = read_batches(spark, f"{target}/events", schema)
-        touched = log.where(F.col(BATCH) == batch_id).select(*keys).distinct()
-        affected = log.drop(BATCH).join(touched, keys, "left_semi")
-        cut = scd2(affected, keys, sequence, track, tie_break=tie_break, heavy_rows=heavy_rows)
+        # Rebalanced rather than repartitioned: a bucket with a hot key is split over several files.
+        arrived = batch.withColumn(BUCKET, bucket).hint("rebalance", BUCKET)
+        path = f"{target}/events/{BATCH}={batch_id}"
+        arrived.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        log = read_batches(spark, f"{target}/events", stored)
+        mine = log.where(F.col(BATCH) == batch_id)
+        reached = [r[0] for r in mine.select(BUCKET).distinct().collect()]  # at most ``buckets``
+        touched = mine.select(*keys).distinct()
+        affected = log.where(F.col(BUCKET).isin(reached)).join(touched, keys, "left_semi")
+        cut = scd2(
+            affected.drop(BATCH, BUCKET), keys, sequence, track, tie_break=tie_break, heavy_rows=heavy_rows
+        )
         write_batch(cut, f"{target}/history", batch_id)
 
     run_batches(changes, handle, checkpoint)

@@ -2,7 +2,9 @@
 
 import re
 from pathlib import Path
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -56,17 +58,21 @@ def test_default_figures_appear_in_the_check_names(spark):
     assert (row["known_history_rows"], row["known_history_drain"]) == (6362620, 8018)
 
 
-def test_scratch_follows_the_session_setting(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
-        assert a != b and a.startswith(str(tmp_path))
-    finally:
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
-        else:
-            spark.conf.unset("spark.checkpoint.dir")
+def fake_session(master, folder):
+    conf = SimpleNamespace(get=lambda key, default=None: folder if key == "spark.checkpoint.dir" else default)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_scratch_follows_the_session_setting():
+    session = fake_session("yarn", "hdfs://shared/tmp/")
+    a, b = scratch_dir(session, "x"), scratch_dir(session, "x")
+    assert a != b and a.startswith("hdfs://shared/tmp/x-")
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(fake_session("yarn", None), "x")
+    assert scratch_dir(fake_session("local[2]", None), "x")
 
 
 def test_the_wide_fact_is_not_shuffled_by_key_for_the_burst_rule(spark):
