@@ -32,7 +32,7 @@ def test_bands_have_one_label_each():
     assert len(K.BAND_LABELS) == len(K.BAND_EDGES) + 1
 
 
-def test_contracts_are_valid_schemas():
+def test_contracts_are_valid_schemas(spark):
     for ddl in (K.FEED_DDL, K.HISTORY_DDL, K.PROFILE_DDL, K.UNIFIED_DDL, K.CHECK_RESULTS_DDL, K.EXPECTATION_RESULTS_DDL):
         assert StructType.fromDDL(ddl).fields
 
