@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -9,8 +10,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from auditlake.session import scratch_dir
 
@@ -158,3 +160,61 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def word_count(docs: DataFrame, text_col: str, name: str) -> DataFrame:
+    """All columns and the number of words of each whole text; null has none.
+
+    ``bytes.split`` cuts at exactly the six ASCII white-space bytes.
+    """
+    schema = StructType([*docs.schema.fields, StructField(name, LongType())])
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(text_col).cast(pa.large_binary())
+            sizes = [len(t.split()) if t else 0 for t in texts.to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64())], [*batch.schema.names, name])
+
+    return docs.mapInArrow(run, schema)
+
+
+def running_total(df: DataFrame, group: list[str], piece: str, order: list[str], value: Column, name: str) -> DataFrame:
+    """Add the sum of ``value`` over the earlier rows of each group, without a task per group.
+
+    ``piece`` cuts a group into consecutive runs: it must grow with ``order``. Runs are summed apart,
+    their totals are added up over one row per run, and joined back.
+    """
+    local = Window.partitionBy(*group, piece).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(*group).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        df.groupBy(*group, piece)
+        .agg(F.sum(value).alias("_total"))
+        .select(*group, piece, F.coalesce(F.sum("_total").over(across), F.lit(0)).alias("_before"))
+    )
+    return (
+        df.withColumn("_local", F.coalesce(F.sum(value).over(local), F.lit(0)))
+        .join(totals, [*group, piece])
+        .withColumn(name, F.col("_local") + F.col("_before"))
+        .drop("_local", "_before")
+    )
+
+
+def pieces_for(rows: int) -> int:
+    """Runs to cut ``rows`` rows into: as many runs as rows in a run."""
+    return max(1, math.isqrt(rows))
+
+
+def ranked(df: DataFrame, order: list[Column], name: str, label: str) -> DataFrame:
+    """Add the place of each row in the given order, from 0; sorted by ranges, counted per range."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = (
+        df.repartitionByRange(n, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_id", F.monotonically_increasing_id())
+    )
+    kept = staged(ranges, label).withColumn("_range", F.shiftright("_id", 33))
+    counts = kept.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))  # one row per partition
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    within = F.col("_id") - F.shiftleft(F.col("_range"), 33)
+    return kept.join(bases, "_range").withColumn(name, F.col("_base") + within).drop("_base", "_id", "_range")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import langid, quality
+from auditlake.llm import langid, mixing, quality
 from auditlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,36 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.taken(table(spark, sf_dir, "documents")).withColumn("target", F.round("target", 6))
+
+
+ORACLES["op4_source_mix"] = r"""
+WITH docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, 2 * sum(size)::BIGINT AS cap,
+         [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+  FROM docs GROUP BY source),
+filled AS (
+  SELECT *, row_number() OVER w AS k, sum(cap) OVER w - cap AS cap_before, sum(weight) OVER () - sum(weight) OVER w + weight AS weight_left
+  FROM sources WINDOW w AS (ORDER BY cap / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+level AS (
+  SELECT (1.5 * (SELECT sum(source_size) FROM sources) - cap_before) / weight_left AS water
+  FROM filled WHERE water * weight <= cap ORDER BY k LIMIT 1),
+targets AS (SELECT source, source_size, least(cap::DOUBLE, weight * water) AS target FROM sources, level),
+placed AS (
+  SELECT doc_id, size, source_size, target, round(target)::BIGINT AS words,
+         sum(size) OVER (PARTITION BY t.source ORDER BY md5(doc_id::VARCHAR) ROWS UNBOUNDED PRECEDING) - size AS start
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, round(target, 6) AS target,
+       (least(size, greatest(0, words - start)) + least(size, greatest(0, words - source_size - start)))::BIGINT AS taken
+FROM placed
+"""
+
+
 @query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of the labelled ones."""
