@@ -127,7 +127,7 @@ def publish(folder: str, name: str, chunks) -> int:
     store, at = shared_fs(folder)
     private = f"{at}/.{name}.{uuid.uuid4().hex}"
     size = 0
-    with store.open_output_stream(private) as out:
+    with store.open_output_stream(private, compression=None) as out:
         for chunk in chunks:
             out.write(chunk)
             size += len(chunk)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import langid, mixing, quality
+from auditlake.llm import langid, mixing, quality, warc
 from auditlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,23 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived and read back."""
+    return warc.archive(table(spark, sf_dir, "pages")).drop("file")
+
+
+ORACLES["op2_warc"] = """
+WITH given AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+typed AS (
+  SELECT *, CASE WHEN octet_length(payload) >= 1000 THEN max(page_id) OVER (PARTITION BY payload) END AS response FROM given)
+SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN response <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN response <> page_id THEN response END AS refers_to
+FROM typed
+"""
+
+
 @query
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
