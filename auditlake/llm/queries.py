@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import langid, mixing, quality, warc
+from auditlake.llm import langid, mixing, packing, quality, token_files, warc
 from auditlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
+# Vocabulary files are parameters of the operators; these are the queries'.
+WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -67,6 +71,21 @@ FROM placed
 """
 
 
+@query
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of every document, written and read back."""
+    docs = table(spark, sf_dir, "documents")
+    manifest, folder = token_files.token_files(docs, public_tokenizers.path(WORD_TOKENIZER), end_id=2)
+    return token_files.read_token_files(manifest, folder)
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of at most 2048 tokens."""
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, public_tokenizers.path(WORD_TOKENIZER), end_id=1, with_ids=False).drop("ids")
+
+
 @query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of the labelled ones."""
