@@ -218,3 +218,14 @@ def ranked(df: DataFrame, order: list[Column], name: str, label: str) -> DataFra
     bases = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     within = F.col("_id") - F.shiftleft(F.col("_range"), 33)
     return kept.join(bases, "_range").withColumn(name, F.col("_base") + within).drop("_base", "_id", "_range")
+
+
+def boxed(df: DataFrame, name: str = "_row") -> Column:
+    """All columns as one struct, so that helper columns cannot clash with theirs."""
+    return F.struct(*[F.col(f"`{c}`").alias(c) for c in df.columns]).alias(name)
+
+
+def unboxed(columns: list[str], replaced: dict[str, Column], name: str = "_row") -> list[Column]:
+    """The columns of the struct again, some of them replaced; replacements with new names follow."""
+    back = [replaced.get(c, F.col(name).getField(c)).alias(c) for c in columns]
+    return back + [v.alias(k) for k, v in replaced.items() if k not in columns]
