@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import langid, line_dedup, mixing, packing, quality, token_files, warc
+from auditlake.llm import langid, line_dedup, mixing, packing, quality, token_counts, token_files, warc
 from auditlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,13 @@ FROM typed
 """
 
 
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.token_counts(docs, public_tokenizers.path(PIECE_TOKENIZER), limit=4096)
+
+
 @query
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
