@@ -131,8 +131,8 @@ class Transducer:
             self.column[c] = len(self.columns)
             self.columns.append(int(c))
         while len(self.columns) > self.next.shape[1]:
-            self.next = np.concatenate([self.next, np.full_like(self.next, -1)], 1)
-            self.emits = np.concatenate([self.emits, np.zeros_like(self.emits)], 1)
+            self.next = np.concatenate([self.next, np.full_like(self.next[:, :32], -1)], 1)
+            self.emits = np.concatenate([self.emits, np.zeros_like(self.emits[:, :32])], 1)
         return self.column[classes]
 
     def _compile(self, state: int, column: int):
