@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import langid, line_dedup, mixing, packing, quality, token_counts, token_files, warc
+from auditlake.llm import jaccard, langid, line_dedup, mixing, packing, quality, token_counts, token_files, warc
 from auditlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,6 +136,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near-duplicate texts of every document."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules of every document with the verdict on its host."""
