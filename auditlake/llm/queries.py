@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import jaccard, langid, line_dedup, mixing, packing, quality, token_counts, token_files, warc
+from auditlake.llm import jaccard, langid, line_dedup, mixing, packing, quality, token_counts, token_files, vectors, warc
 from auditlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +119,26 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest, folder)
 
 
+@query
+def op6_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding."""
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op6_vector_dedup"] = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (SELECT vec_id AS node, vec_id AS seen FROM embeddings UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.seen)
+SELECT node AS vec_id, (SELECT count(*) FROM links WHERE a = node) AS n_links, min(seen) AS component_id, node = min(seen) AS kept
+FROM reach GROUP BY node
+"""
+
+
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of at most 2048 tokens."""
