@@ -20,8 +20,8 @@ Texts are read by units of documents; frequencies are counted in blocks of hash
 unit sends its sorted tokens once. Exact copies (equal words) are one document throughout.
 
 Defined cases: a null or empty text has no tokens and is linked with nothing, like a text without
-words; fewer words than ``WIDTH`` are one token; equal rows and equal ids are linked like others; a null
-id never is the smallest; an empty table gives an empty result. Columns other than id and text are
+words; fewer words than ``WIDTH`` are one token; equal rows are linked like others, rows of one id but other words are
+their own documents; a null id never is the smallest; an empty table gives an empty result. Columns other than id and text are
 ignored, whatever their names.
 """
 
@@ -31,10 +31,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditlake.llm.common import Words, mix, slices, staged, utf8
+from auditlake.llm.common import Words, boxed, mix, slices, staged, unboxed, utf8
 from auditlake.llm.components import components
 
 WIDTH = 5
@@ -49,14 +49,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 KEY = ["key_a", "key_b"]
 
 
-def normalized(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def normalized(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     """``doc_id``, the words in lower case parted by single spaces, and two hashes of them."""
-    lower = F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, LOWER)
+    lower = F.translate(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), UPPER, LOWER)
     words = F.btrim(F.regexp_replace(lower, r"[\x20\x09-\x0D]+", " "), F.lit(" "))
-    given = docs.select(F.col(id_col).alias("doc_id"), words.alias("words"))
-    return given.select(
-        "doc_id", "words", F.xxhash64("words").alias(KEY[0]), F.xxhash64(F.lit("second"), "words").alias(KEY[1])
-    )
+    given = docs.select(F.col(f"`{id_col}`").alias("doc_id"), words.alias("words"), *more)
+    return given.select("*", F.xxhash64("words").alias(KEY[0]), F.xxhash64(F.lit("second"), "words").alias(KEY[1]))
 
 
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -213,8 +211,8 @@ def indexed(units: DataFrame, classes: DataFrame, frequent: int = FREQUENT) -> D
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough. Sizes are compared before sets are."""
-    left = sets.select(F.col("rep").alias("a"), F.col("n").alias("_n_a"), F.col("tokens").alias("_t_a"))
-    right = sets.select(F.col("rep").alias("b"), F.col("n").alias("_n_b"), F.col("tokens").alias("_t_b"))
+    left = sets.select(F.col("node").alias("a"), F.col("n").alias("_n_a"), F.col("tokens").alias("_t_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("n").alias("_n_b"), F.col("tokens").alias("_t_b"))
     shared = F.size(F.array_intersect("_t_a", "_t_b"))
     enough = 100 * shared >= PERCENT * (F.col("_n_a") + F.col("_n_b") - shared)
     return pairs.join(left, "a").join(right, "b").where(enough).select("a", "b")
@@ -226,31 +224,31 @@ def _sized(pairs: DataFrame) -> DataFrame:
 
 
 def link_components(found: DataFrame) -> DataFrame:
-    """``node``, ``component`` of linked documents, from ``rep``, ``n``, ``signatures``, ``tokens``."""
-    sets = found.where(F.size("signatures") > 0).select("rep", "n", "tokens")
+    """``node``, ``component`` of linked documents, from ``node``, ``n``, ``signatures``, ``tokens``."""
+    sets = found.where(F.size("signatures") > 0).select("node", "n", "tokens")
     postings = staged(
-        found.select("rep", "n", F.explode(F.array_distinct("signatures")).alias("sign")), "signatures"
+        found.select("node", "n", F.explode(F.array_distinct("signatures")).alias("sign")), "signatures"
     )
     # Signatures of one document only are dropped at once.
-    live = postings.withColumn("comp", F.col("rep"))
+    live = postings.withColumn("comp", F.col("node"))
     links = None
     for centre in range(CENTRES + 1):
         spread = live.groupBy("sign").agg(
             F.min("comp").alias("_least"),
             F.max("comp").alias("_most"),
-            F.min_by(F.struct("rep", "n", "comp"), F.xxhash64(F.lit(centre), "rep")).alias("_centre"),
+            F.min_by(F.struct("node", "n", "comp"), F.xxhash64(F.lit(centre), "node")).alias("_centre"),
         )
         open_signs = spread.where("_least <> _most").select("sign", "_centre")
         live = staged(live.join(open_signs, "sign"), "open-signatures")
         if centre < CENTRES:
             # Everyone against the centre of the signature.
             pairs = live.where(F.col("_centre.comp") != F.col("comp")).select(
-                F.col("rep").alias("a"), F.col("n").alias("_na"), F.col("_centre.rep").alias("b"), F.col("_centre.n").alias("_nb")
+                F.col("node").alias("a"), F.col("n").alias("_na"), F.col("_centre.node").alias("b"), F.col("_centre.n").alias("_nb")
             )
         else:
             # Everyone of a component against everyone of the others.
-            other = live.select("sign", F.col("rep").alias("b"), F.col("n").alias("_nb"), F.col("comp").alias("_other"))
-            mine = live.select("sign", F.col("rep").alias("a"), F.col("n").alias("_na"), "comp")
+            other = live.select("sign", F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("comp").alias("_other"))
+            mine = live.select("sign", F.col("node").alias("a"), F.col("n").alias("_na"), "comp")
             pairs = mine.join(other, "sign").where("comp < _other").select("a", "_na", "b", "_nb")
         live = live.drop("_centre")
         more = staged(verified(_sized(pairs), sets), "verified")
@@ -258,21 +256,20 @@ def link_components(found: DataFrame) -> DataFrame:
         joined = components(links)
         live = (
             live.drop("comp")
-            .join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-            .withColumn("comp", F.coalesce("component", "rep"))
+            .join(joined, "node", "left")
+            .withColumn("comp", F.coalesce("component", "node"))
             .drop("component")
         )
     return joined
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT
-) -> DataFrame:
-    """Per row: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable by links."""
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
+    """Per row: ``doc_id``, ``key_a``, ``key_b`` (of its words), ``n_shingles``, ``component`` (null for a
+    text without words, else the same for linked texts only) and ``component_id``."""
     given = normalized(docs, id_col, text_col)
     members = staged(given.select("doc_id", *KEY, F.octet_length("words").alias("bytes")), "members")
     reps = members.groupBy(*KEY).agg(F.min("doc_id").alias("rep"), F.max("bytes").alias("bytes"))
-    total, many = reps.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count(F.lit(1))).first()
+    total = reps.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     units_wanted = max(1, math.ceil(total / UNIT_BYTES))
     blocks = max(LEAST_BLOCKS, math.ceil(total / 4 / BLOCK_TOKENS))
 
@@ -280,9 +277,8 @@ def near_duplicates(
         # A copy met again in the same task need not travel.
         seen: set[tuple[int, int]] = set()
         for batch in batches:
-            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
             new = []
-            for key in keys:
+            for key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 new.append(key not in seen)
                 seen.add(key)
             yield batch.filter(pa.array(new, pa.bool_()))
@@ -291,14 +287,40 @@ def near_duplicates(
     texts = given.where("words <> ''").select(*KEY, "words").mapInArrow(drop_copies, "key_a bigint, key_b bigint, words string")
     units = texts.select(*KEY, "words", unit)
     found = indexed(units, count_classes(units, blocks), frequent)
-    found = staged(found.join(reps.select(*KEY, "rep"), KEY).withColumnRenamed("n_shingles", "n"), "indexed")
-    merged = link_components(found.where("rep is not null"))
+    found = staged(found.withColumnRenamed("n_shingles", "n").withColumn("node", F.col("key_a")), "indexed")
+    merged = link_components(found)
     classes = (
-        found.select(*KEY, "rep", "n")
-        .join(merged.withColumnRenamed("node", "rep"), "rep", "left")
-        .select(*KEY, "n", F.coalesce("component", "rep").alias("component_id"))
+        found.select(*KEY, "node", "n")
+        .join(merged, "node", "left")
+        .select(*KEY, "n", F.coalesce("component", "node").alias("component"))
+        .join(reps.select(*KEY, "rep"), KEY)
     )
+    classes = staged(classes, "classes")
+    least = classes.groupBy("component").agg(F.min("rep").alias("_least"))
+    classes = classes.join(least, "component").select(*KEY, "n", "component", "_least")
     # Texts without words are in no unit: they are linked with nothing.
     return members.join(classes, KEY, "left").select(
-        "doc_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+        "doc_id", *KEY, F.coalesce("n", F.lit(0)).cast("bigint").alias("n_shingles"), "component",
+        F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("_least")).alias("component_id"),
+    )
+
+
+def near_duplicates(docs: DataFrame, **settings) -> DataFrame:
+    """Per row: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable by links."""
+    return grouped(docs, **settings).select("doc_id", "n_shingles", "component_id")
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The documents without near-duplicates: of each component the row with the smallest id stays
+    (one of them, if rows repeat it). Texts without words all stay."""
+    found = staged(grouped(docs, id_col, text_col, **settings), "groups").where("component is not null")
+    # Null ids sort behind all others.
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *KEY)
+    chosen = found.groupBy("component").agg(F.min(row).alias("_first")).select("_first.*")
+    keyed = normalized(docs, id_col, text_col, boxed(docs)).withColumnRenamed("doc_id", "_id")
+    no_words = keyed.where("words = ''").select("_row")
+    matches = keyed["_id"].eqNullSafe(chosen["doc_id"])
+    for k in KEY:
+        matches &= keyed[k] == chosen[k]
+    stay = keyed.where("words <> ''").join(chosen, matches).select("_row", keyed[KEY[0]], keyed[KEY[1]]).dropDuplicates(KEY)
+    return stay.select("_row").unionByName(no_words).select(*unboxed(docs.columns, {}))

@@ -18,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from auditlake.llm.common import mix
+from auditlake.llm.common import boxed, mix, unboxed
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
@@ -147,26 +148,28 @@ def score_text(model: Model, text: str | None) -> tuple[str, float]:
     return model.langs[best], float(weights[best] / weights.sum())
 
 
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` but any of these names, then ``lang_pred`` and ``score``."""
-    spark = docs.sparkSession
-    given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = given.schema["doc_id"].dataType.simpleString()
-    shared = spark.sparkContext.broadcast(model)  # at most MODEL_BYTES
+def labelled(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The documents with ``lang_pred`` and ``score``, which replace columns of those names."""
+    given = docs.select(boxed(docs), F.col(f"`{text_col}`").alias("_text"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MODEL_BYTES
+    schema = StructType([given.schema["_row"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches):
         for batch in batches:
-            found = [score_text(shared.value, t) for t in batch.column("text").to_pylist()]
+            found = [score_text(shared.value, t) for t in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([f[0] for f in found], pa.string()),
-                    pa.array([f[1] for f in found], pa.float64()),
-                ],
-                ["doc_id", "lang_pred", "score"],
+                [batch.column("_row"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                ["_row", "lang_pred", "score"],
             )
 
-    return given.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    scored = given.mapInArrow(run, schema)
+    return scored.select(*unboxed(docs.columns, {"lang_pred": F.col("lang_pred"), "score": F.col("score")}))
+
+
+def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document: ``doc_id``, ``lang_pred``, ``score``."""
+    given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return labelled(given, model).select("doc_id", "lang_pred", "score")
 
 
 def held_out(id_col: str = "doc_id"):

@@ -22,7 +22,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditlake.llm.common import pieces_for, ranked, running_total, staged, word_count
+from auditlake.llm.common import boxed, pieces_for, ranked, running_total, staged, unboxed, word_count
 
 WEIGHTS = (5, 2, 1)
 FACTOR = 1.5
@@ -36,22 +36,28 @@ STEP = round(LATTICE * (math.sqrt(5) - 1) / 2)
 SPARE = 3
 
 
+def row_key(docs: DataFrame):
+    """Two hashes of a whole row (but for columns that cannot be hashed)."""
+    columns = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    nulls = [c.isNull() for c in columns]  # a null leaves a hash as it is, so nulls are hashed apart
+    return [F.xxhash64(*columns, *nulls).alias("row_a"), F.xxhash64(F.lit("second"), *columns, *nulls).alias("row_b")]
+
+
 def sized_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One narrow staged row per document: ``row``, ``doc_id``, ``source``, ``size``, the shuffle
-    order and two hashes that name the text."""
+    order and two hashes that name the whole row."""
     given = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text")
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"), *row_key(docs)
     )
     sized = word_count(given, "text", "size")
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    texts = F.coalesce(F.col("text"), F.lit(""))
     narrow = sized.select(
         "doc_id",
         "source",
         "size",
         F.md5(name.cast("binary")).alias("shuffle"),
-        F.xxhash64(name, texts).alias("text_a"),
-        F.xxhash64(F.lit("second"), name, texts).alias("text_b"),
+        "row_a",
+        "row_b",
         F.monotonically_increasing_id().alias("row"),
     )
     return staged(narrow, "mix-sizes")
@@ -163,16 +169,10 @@ def mixed_documents(docs: DataFrame, text_col: str = "text", **settings) -> Data
     """
     rows, pieces = mix(docs, text_col=text_col, **settings)
     passes = pieces.groupBy("row", "epoch").agg(F.sum("words").alias("_words"))
-    wanted = rows.join(passes, "row").select("text_a", "text_b", F.col("size").alias("_size"), "_words", "epoch")
-    name = F.coalesce(F.col(settings.get("id_col", "doc_id")).cast("string"), F.lit("null"))
-    texts = F.coalesce(F.col(text_col), F.lit(""))
-    # Equal rows are one text here; ``wanted`` has a row for each of them.
-    keyed = docs.withColumns(
-        {"text_a": F.xxhash64(name, texts), "text_b": F.xxhash64(F.lit("second"), name, texts)}
-    ).dropDuplicates(["text_a", "text_b"])
-    words = F.regexp_extract_all(F.col(text_col), F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    wanted = rows.join(passes, "row").select("row_a", "row_b", F.col("size").alias("_size"), "_words", "epoch")
+    # Equal rows are one row here; ``wanted`` has a row for each of them.
+    keyed = docs.select(boxed(docs), F.col(f"`{text_col}`").alias("_text"), *row_key(docs)).dropDuplicates(["row_a", "row_b"])
+    words = F.regexp_extract_all("_text", F.lit(r"([^\x20\x09-\x0D]+)"), 1)
     cut = F.array_join(F.slice(words, F.lit(1), F.col("_words").cast("int")), " ")
-    whole = F.col("_words") == F.col("_size")
-    return keyed.join(wanted, ["text_a", "text_b"]).select(
-        *[F.when(whole, F.col(c)).otherwise(cut).alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    )
+    text = F.when(F.col("_words") == F.col("_size"), F.col("_text")).otherwise(cut)
+    return keyed.join(wanted, ["row_a", "row_b"]).select(*unboxed(docs.columns, {text_col: text}))
