@@ -12,12 +12,13 @@ from auditlake import constants as K
 from auditlake.functions import surrogate_key
 from auditlake.operators.joins import latest_snapshot
 from auditlake.operators.keyed import (
-    HEAVY_ROWS,
     SLICE,
+    SLICE_SECONDS,
+    join_null_safe,
     last_known,
     latest_by,
-    slice_heavy,
     total_order,
+    with_slice,
 )
 
 
@@ -47,43 +48,66 @@ def scd2(
     track: list[str],
     except_cols: list[str] = (),
     tie_break: list[str] | None = None,
-    heavy_rows: int | None = HEAVY_ROWS,
+    seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """Version history: a new version starts when a tracked column changes.
 
     Adds ``start_at`` (time of the change) and ``end_at`` (start of the next version, NULL for the
     open one). Columns that are not tracked show their last value within the version. Input order
-    does not matter; of several changes at one time only the last counts.
+    does not matter; of several changes at one time only the last counts. A NULL key is a key.
     """
     kept = [c for c in changes.columns if c not in except_cols]
     ties = [c for c in sorted(kept) if c not in (*keys, sequence)] if tie_break is None else tie_break
     other = [c for c in kept if c not in (*keys, sequence, *track)]
-    needed = list(dict.fromkeys([*keys, sequence, *track, *other, *ties]))
-    events = slice_heavy(
-        changes.select(*needed).where(F.col(sequence).isNotNull()), keys, sequence, heavy_rows
+    ranked = F.struct(*[F.col(c).alias(f"t{i}") for i, c in enumerate([*ties, *track, *other])])
+    moments = (
+        changes.where(F.col(sequence).isNotNull())
+        .groupBy(*keys, sequence)
+        .agg(F.max_by(F.struct(*track, *other), ranked).alias("_row"))
+        .select(*keys, sequence, F.struct(*[F.col(f"_row.{c}") for c in track]).alias("_now"), "_row")
     )
 
-    in_order = W.partitionBy(*keys, SLICE).orderBy(
-        F.col(sequence).asc(), *[F.col(c).asc_nulls_first() for c in ties]
+    def differs(before: str):
+        changed = [~F.col(f"_now.{c}").eqNullSafe(F.col(f"{before}.{c}")) for c in track]
+        return F.col(before).isNull() | reduce(lambda a, b: a | b, changed)
+
+    within = W.partitionBy(*keys, SLICE).orderBy(sequence)
+    local = (
+        with_slice(moments, sequence, seconds)
+        .withColumn("_before", F.lag("_now").over(within))
+        .withColumn("_inner", F.col("_before").isNotNull() & differs("_before"))
     )
-    following = F.lead(sequence).over(in_order)
-    events = events.withColumn("_next_seq", following).where(
-        F.col("_next_seq").isNull() | (F.col("_next_seq") != F.col(sequence))
+    # One row per key and slice: what it ends with, and where its first version starts.
+    slices = W.partitionBy(*keys).orderBy(SLICE)
+    summary = (
+        local.groupBy(*keys, SLICE)
+        .agg(
+            F.min(sequence).alias("_first_seq"),
+            F.min_by("_now", sequence).alias("_now"),
+            F.max_by("_now", sequence).alias("_last"),
+            F.min(F.when(F.col("_inner"), F.col(sequence))).alias("_inner_start"),
+        )
+        .withColumn("_previous", F.lag("_last").over(slices))
+        .withColumn("_opens", differs("_previous"))
+        .withColumn("_start", F.when(F.col("_opens"), F.col("_first_seq")).otherwise(F.col("_inner_start")))
+        .withColumn(
+            "_later", F.first("_start", ignorenulls=True).over(slices.rowsBetween(1, W.unboundedFollowing))
+        )
+        .select(*keys, SLICE, "_opens", "_later")
     )
-
-    tracked = F.struct(*track)
-    events = last_known(events, keys, [sequence], {"_before": (tracked, False)})
-    changed = reduce(
-        lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_before.{c}")) for c in track]
+    start = F.when(F.when(F.col("_before").isNull(), F.col("_opens")).otherwise(F.col("_inner")), F.col(sequence))
+    following = F.first("_starts", ignorenulls=True).over(within.rowsBetween(1, W.unboundedFollowing))
+    versions = (
+        join_null_safe(local, summary, [*keys, SLICE])
+        .withColumn("_starts", start)
+        .withColumn("_end", F.coalesce(following, F.col("_later")))
     )
-    starts = F.when(F.col("_before").isNull() | changed, F.col(sequence))
-    versions = last_known(events, keys, [sequence], {"_end": (starts, False)}, backward=True)
 
     # All rows of a version share the start of the next one.
     result = versions.groupBy(*keys, "_end").agg(
         F.min(sequence).alias("start_at"),
-        F.min_by(tracked, F.col(sequence)).alias("_tracked"),
-        *([F.max_by(F.struct(*other), F.col(sequence)).alias("_other")] if other else []),
+        F.min_by("_now", sequence).alias("_tracked"),
+        F.max_by("_row", sequence).alias("_other"),
     )
     columns = {
         **{c: F.col(f"_tracked.{c}") for c in track},
@@ -126,12 +150,12 @@ def unknown_member(spark) -> DataFrame:
     )
 
 
-def version_links(dim: DataFrame, heavy_rows: int | None = HEAVY_ROWS) -> DataFrame:
+def version_links(dim: DataFrame, seconds: int = SLICE_SECONDS) -> DataFrame:
     """Every known version with the start of the one after it (``next_from``)."""
     known = dim.where(F.col("customer_key") != K.UNKNOWN_KEY).select(
         "customer_key", "customer_id", "valid_from", "valid_to", "is_current"
     )
-    sliced = slice_heavy(known, ["customer_id"], "valid_from", heavy_rows)
+    sliced = with_slice(known, "valid_from", seconds)
     # customer_key makes the order total, so overlapping versions are linked one by one.
     return last_known(
         sliced,
@@ -142,9 +166,9 @@ def version_links(dim: DataFrame, heavy_rows: int | None = HEAVY_ROWS) -> DataFr
     )
 
 
-def scd2_integrity(dim: DataFrame, heavy_rows: int | None = HEAVY_ROWS) -> DataFrame:
+def scd2_integrity(dim: DataFrame, seconds: int = SLICE_SECONDS) -> DataFrame:
     """One row of counts: gaps or overlaps, inverted ranges, customers without one current row."""
-    links = version_links(dim, heavy_rows)
+    links = version_links(dim, seconds)
     per_customer = links.groupBy("customer_id").agg(
         F.count_if(
             F.col("next_from").isNotNull() & (F.col("valid_to") != F.col("next_from"))

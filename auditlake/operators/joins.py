@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditlake import constants as K
-from auditlake.operators.keyed import HEAVY_ROWS, last_known, slice_heavy
+from auditlake.operators.keyed import SLICE_SECONDS, last_known, with_slice
 
 
 def with_holiday_flag(
@@ -29,37 +29,6 @@ def with_holiday_flag(
     return joined.withColumn("is_bank_holiday", F.col("_holiday").isNotNull()).drop("_holiday")
 
 
-def pit_join(
-    facts: DataFrame,
-    versions: DataFrame,
-    key: str,
-    ts: str,
-    out: str,
-    version_key: str = "customer_id",
-    value: str = "customer_key",
-    unknown: int | None = K.UNKNOWN_KEY,
-) -> DataFrame:
-    """Value of the version valid at the fact's time, on the half-open [valid_from, valid_to).
-
-    One equi-join with the range as a residual condition: a broadcast hash join while the versions
-    are small, a sort-merge join that adaptive execution can split otherwise.
-    """
-    right = versions.select(
-        F.col(version_key).alias("_v_key"),
-        F.col(value).alias("_v_value"),
-        F.col("valid_from").alias("_v_from"),
-        F.col("valid_to").alias("_v_to"),
-    )
-    match = (
-        (F.col(key) == F.col("_v_key"))
-        & (F.col(ts) >= F.col("_v_from"))
-        & (F.col(ts) < F.col("_v_to"))
-    )
-    found = F.col("_v_value") if unknown is None else F.coalesce("_v_value", F.lit(unknown))
-    joined = facts.join(right, match, "left")
-    return joined.withColumn(out, found).drop("_v_key", "_v_value", "_v_from", "_v_to")
-
-
 def asof_join(
     facts: DataFrame,
     events: DataFrame,
@@ -69,36 +38,37 @@ def asof_join(
     event_ts: str,
     values: list[str],
     out: str,
-    heavy_rows: int | None = HEAVY_ROWS,
+    seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """Add ``out``: a struct of the latest event at or before each fact, NULL without one.
 
-    Linear in facts plus events, whatever the number of events a key has. An event at exactly the
-    fact's time counts; of several events at one time the highest values win.
+    Facts are reduced to their distinct (key, time), events to the highest values at one; these meet
+    in time slices, and the answer is joined back to the facts on (key, time). Linear in facts plus
+    events, whatever a key holds. Facts without a key or time look for nothing.
     """
-    order = ["_at", "_is_fact", "_rank"]
-    event = F.struct(F.col(event_ts).alias("at"), *values)
-    right = events.where(F.col(event_key).isNotNull()).select(
-        F.col(event_key).alias("_key"),
-        F.col(event_ts).alias("_at"),
-        F.lit(0).alias("_is_fact"),
-        F.struct(*values).alias("_rank"),
-        event.alias("_event"),
+    points = (
+        facts.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+        .groupBy(F.col(key).alias("_key"), F.col(ts).alias("_at"))
+        .agg(F.lit(True).alias("_is_fact"))
     )
-    left = facts.select(
-        F.col(key).alias("_key"),
-        F.col(ts).alias("_at"),
-        F.lit(1).alias("_is_fact"),
-        F.struct(*facts.columns).alias("_fact"),
+    moments = (
+        events.where(F.col(event_key).isNotNull() & F.col(event_ts).isNotNull())
+        .groupBy(F.col(event_key).alias("_key"), F.col(event_ts).alias("_at"))
+        .agg(F.max(F.struct(F.col(event_ts).alias("at"), *values)).alias("_event"))
     )
-    both = slice_heavy(
-        right.unionByName(left, allowMissingColumns=True), ["_key"], "_at", heavy_rows
+    both = with_slice(points.unionByName(moments, allowMissingColumns=True), "_at", seconds)
+    # An event at a fact's own time sorts before it.
+    placed = both.withColumn("_rank", F.coalesce(F.col("_is_fact"), F.lit(False)))
+    known = last_known(placed, ["_key"], ["_at", "_rank"], {out: (F.col("_event"), True)})
+    answers = known.where("_is_fact").select(
+        F.col("_key").alias("_a_key"), F.col("_at").alias("_a_at"), F.col(out).alias("_a_out")
     )
-    known = last_known(both, ["_key"], order, {out: (F.col("_event"), True)})
-    return known.where(F.col("_is_fact") == 1).select("_fact.*", out)
+    match = (F.col(key) == F.col("_a_key")) & (F.col(ts) == F.col("_a_at"))
+    joined = facts.join(answers, match, "left")
+    return joined.withColumn(out, F.col("_a_out")).drop("_a_key", "_a_at", "_a_out")
 
 
-def pit_join_linear(
+def pit_join(
     facts: DataFrame,
     versions: DataFrame,
     key: str,
@@ -107,14 +77,14 @@ def pit_join_linear(
     version_key: str = "customer_id",
     value: str = "customer_key",
     unknown: int | None = K.UNKNOWN_KEY,
-    heavy_rows: int | None = HEAVY_ROWS,
+    seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
-    """Same result as ``pit_join`` for versions that do not overlap, in one pass per key.
+    """Value of the version valid at the fact's time, on the half-open [valid_from, valid_to).
 
-    Use it when a key has both many versions and many facts.
+    The versions of a key must not overlap, so only the latest one that has begun can be valid.
     """
     joined = asof_join(
-        facts, versions, key, ts, version_key, "valid_from", [value, "valid_to"], "_hit", heavy_rows
+        facts, versions, key, ts, version_key, "valid_from", [value, "valid_to"], "_hit", seconds
     )
     found = F.when(F.col(ts) < F.col("_hit.valid_to"), F.col(f"_hit.{value}"))
     if unknown is not None:
@@ -130,11 +100,11 @@ def asof_recompute(
     key: str = "customer_id",
     ts: str = "event_ts",
     changed_at: str = "changed_at",
-    heavy_rows: int | None = HEAVY_ROWS,
+    seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """Attributes at fact time straight from the change events, without the version history."""
     joined = asof_join(
-        facts.select(id_col, key, ts), events, key, ts, key, changed_at, attrs, "_hit", heavy_rows
+        facts.select(id_col, key, ts), events, key, ts, key, changed_at, attrs, "_hit", seconds
     )
     return joined.where(F.col("_hit").isNotNull()).select(
         id_col, *[F.col(f"_hit.{a}").alias(f"expected_{a}") for a in attrs]

@@ -1,52 +1,36 @@
 """Per-key ordered operations that stay spread out when one key holds much of the data.
 
-A window over a key puts all of that key's rows in one task. Keys above ``heavy_rows`` are
-therefore cut into time slices that are processed apart; what a slice needs from its neighbours is
-computed from one summary row per slice and joined back. Results are the same for every setting.
+A window over a key puts all of that key's rows in one task. So every key is cut into time slices that
+are processed apart; what a slice needs from its neighbours comes from one summary row per key and
+slice, joined back null-safe. Callers first reduce to one row per key and time, so many rows at one
+moment are summed up in their own tasks. There is one path for all keys and sizes.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-HEAVY_ROWS = 1_000_000
-# A key ranked below this place holds less than 1/10,000 of the rows, so it needs no slicing. The
-# list of heavy keys is therefore small enough to broadcast whatever the size of the data.
-HEAVY_KEYS_MOST = 10_000
-SLICE_SECONDS = 3600
+SLICE_SECONDS = 86_400
 SLICE = "_slice"
 
 
-def heavy_keys(df: DataFrame, keys: list[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """The keys with more than ``heavy_rows`` rows, largest first, at most HEAVY_KEYS_MOST."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_key_rows"))
-    return (
-        counted.where(F.col("_key_rows") > heavy_rows)
-        .orderBy(F.desc("_key_rows"), *keys)
-        .limit(HEAVY_KEYS_MOST)
-        .select(*keys)
-    )
+def with_slice(df: DataFrame, ts: str, seconds: int = SLICE_SECONDS) -> DataFrame:
+    """Add ``_slice``, the number of the time slice of each row."""
+    number = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(seconds * 1_000_000))
+    return df.withColumn(SLICE, number)
 
 
-def slice_heavy(
-    df: DataFrame,
-    keys: list[str],
-    ts: str,
-    heavy_rows: int | None = HEAVY_ROWS,
-    seconds: int = SLICE_SECONDS,
-) -> DataFrame:
-    """Add ``_slice``: NULL for ordinary keys, a time slice number for heavy ones."""
-    if heavy_rows is None:
-        return df.withColumn(SLICE, F.lit(None).cast("bigint"))
-    heavy = heavy_keys(df, keys, heavy_rows).withColumn("_is_heavy", F.lit(True))
-    number = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(seconds * 1_000_000))
-    return (
-        df.join(F.broadcast(heavy), keys, "left")
-        .withColumn(SLICE, F.when(F.col("_is_heavy"), number))
-        .select(*df.columns, SLICE)
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Equi-join on columns of the same names; a NULL key is a key like others."""
+    renamed = right.withColumnsRenamed({c: f"_s{i}" for i, c in enumerate(keys)})
+    match = reduce(
+        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(keys)]
     )
+    return left.join(renamed, match, how).drop(*[f"_s{i}" for i in range(len(keys))])
 
 
 def last_known(
@@ -59,7 +43,8 @@ def last_known(
     """For each row, the nearest non-NULL value at or before it within its key.
 
     ``values`` maps a new column to (value, inclusive): inclusive looks at the row itself too.
-    ``backward`` looks at the rows after it instead. ``df`` must carry ``_slice``.
+    ``backward`` looks at the rows after it instead. ``df`` must carry ``_slice``, which grows with
+    the order.
     """
     sort = [F.col(c).desc() if backward else F.col(c).asc() for c in order]
     names = list(values)
@@ -68,18 +53,10 @@ def last_known(
 
     position = F.struct(*[F.col(c) for c in order])
     ends = F.min_by if backward else F.max_by
-    summary = (
-        valued.where(F.col(SLICE).isNotNull())
-        .groupBy(*keys, SLICE)
-        .agg(
-            *[
-                ends(F.col(f"_v_{n}"), F.when(F.col(f"_v_{n}").isNotNull(), position)).alias(
-                    f"_end_{n}"
-                )
-                for n in names
-            ]
-        )
-    )
+    last_of = {
+        n: ends(F.col(f"_v_{n}"), F.when(F.col(f"_v_{n}").isNotNull(), position)) for n in names
+    }
+    summary = valued.groupBy(*keys, SLICE).agg(*[v.alias(f"_end_{n}") for n, v in last_of.items()])
     slice_sort = F.col(SLICE).desc() if backward else F.col(SLICE).asc()
     earlier = W.partitionBy(*keys).orderBy(slice_sort).rowsBetween(W.unboundedPreceding, -1)
     carried = summary.select(
@@ -98,7 +75,7 @@ def last_known(
         )
         for n, (_, inclusive) in values.items()
     }
-    return valued.join(carried, [*keys, SLICE], "left").withColumns(result).select(*given, *names)
+    return join_null_safe(valued, carried, [*keys, SLICE]).withColumns(result).select(*given, *names)
 
 
 def latest_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

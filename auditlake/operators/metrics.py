@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from auditlake.functions import count_true, ratio
 
@@ -136,13 +137,12 @@ def star_metrics(
 def with_previous_day(
     daily: DataFrame, columns: list[str], day: str = "calendar_date", by: list[str] = ()
 ) -> DataFrame:
-    """Add ``previous_<column>``: the value one calendar day earlier, NULL when that day is missing."""
-    before = daily.select(
-        F.date_add(F.col(day), 1).alias("_day"),
-        *[F.col(c).alias(f"_by_{c}") for c in by],
-        *[F.col(c).alias(f"previous_{c}") for c in columns],
+    """Add ``previous_<column>``: the value one calendar day earlier, NULL when that day is missing.
+
+    One row per ``by`` and day is expected, so a window holds as many rows as there are days.
+    """
+    in_order = W.partitionBy(*by).orderBy(day)
+    is_next = F.lag(day).over(in_order) == F.date_sub(F.col(day), 1)
+    return daily.withColumns(
+        {f"previous_{c}": F.when(is_next, F.lag(c).over(in_order)) for c in columns}
     )
-    match = F.col(day) == F.col("_day")
-    for c in by:
-        match = match & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    return daily.join(before, match, "left").drop("_day", *[f"_by_{c}" for c in by])

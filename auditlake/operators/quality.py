@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -91,12 +92,15 @@ def expect(
 def audited_write(
     df: DataFrame, rules: Sequence[Expectation], dataset: str, update_id: str, staging: str, target: str
 ) -> DataFrame:
-    """Write, audit, publish. The rules are counted while the rows are staged, in the same pass;
-    the target is replaced only when no FAIL rule was violated. Returns the metrics."""
+    """Write, audit, publish. The rules are counted while the rows are written to a folder of the update
+    under ``staging``, in the same pass. Unless a FAIL rule was violated, one row in the pointer table
+    ``target`` then names that folder, so nothing is written twice and a failure leaves the old version
+    in place. ``read_audited`` reads what was published last. Returns the metrics."""
     spark = df.sparkSession
     seen = Observation()
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *_failed_counts(rules))
-    drop_violations(observed, rules).write.mode("overwrite").parquet(staging)
+    version = f"{staging.rstrip('/')}/{dataset}-{update_id}-{uuid.uuid4().hex}"
+    drop_violations(observed, rules).write.mode("overwrite").parquet(version)
     counts = seen.get
     rows = [
         (update_id, dataset, r.name, counts["rows"] - counts[f"failed_{i}"], counts[f"failed_{i}"])
@@ -105,11 +109,24 @@ def audited_write(
     broken = {r.name: n[4] for r, n in zip(rules, rows) if r.action == FAIL and n[4]}
     if broken:
         raise ExpectationFailed(dataset, broken)
-    spark.read.schema(df.schema).parquet(staging).write.mode("overwrite").parquet(target)
+    pointer = spark.range(1).select(
+        F.lit(dataset).alias("dataset"), F.lit(update_id).alias("update_id"), F.lit(version).alias("version"),
+        F.current_timestamp().alias("published_at"),
+    )
+    pointer.coalesce(1).write.mode("append").parquet(target)
     ddl = "update_id STRING, dataset STRING, expectation STRING, passed_records BIGINT, failed_records BIGINT"
     return spark.createDataFrame(rows, ddl)
 
 
+def read_audited(spark, target: str, dataset: str) -> DataFrame:
+    """The rows of a dataset as published last."""
+    published = spark.read.parquet(target).where(F.col("dataset") == dataset)
+    newest = published.orderBy(F.desc("published_at"), F.desc("update_id")).first()
+    if newest is None:
+        raise LookupError(f"{dataset} has not been published")
+    return spark.read.parquet(newest["version"])
+
+
 def latest_expectations(metrics: DataFrame, at: str = "update_at") -> DataFrame:
     """Metrics of the newest update, summed over its flows."""
     return (

@@ -73,11 +73,13 @@ def validate_payloads(
 def scan_lines(
     df: DataFrame, id_col: str, text: str, patterns: tuple[str, ...] = DEFAULT_PATTERNS
 ) -> DataFrame:
-    """Numbers of the lines where a pattern matches, with how many do. The match is not shown."""
+    """Numbers of the lines where a pattern matches, with how many do. The match is not shown.
+
+    Texts are split first, so ``^`` and ``$`` are the ends of a line.
+    """
     any_pattern = FLAGS + "|".join(f"(?:{p})" for p in patterns)
     lines = (
-        df.where(F.col(text).rlike(any_pattern))
-        .select(id_col, F.posexplode(F.split(text, LINE_END)).alias("_position", "_line"))
+        df.select(id_col, F.posexplode(F.split(text, LINE_END)).alias("_position", "_line"))
         .where(F.col("_line").rlike(any_pattern))
     )
     hits = reduce(

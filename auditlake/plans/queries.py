@@ -124,7 +124,7 @@ def fact_transactions(spark, sf):
     dim = w.dim_customer.select("customer_id", "valid_from", "valid_to")
     sent = joins.pit_join(w.fact, dim, "customer_id", "event_ts", "origin_from", value="valid_from", unknown=None)
     both = joins.pit_join(sent, dim, "counterparty_id", "event_ts", "counterparty_from", value="valid_from", unknown=None)
-    return both.drop("channel", "decline_reason", "origin_balance_after")
+    return both
 
 
 def _clicks_within(spark, sf, seconds):
@@ -377,7 +377,21 @@ def fingerprint(spark, sf):
 
 @query
 def fingerprint_native(spark, sf):
-    return quality.fingerprint(B.table(spark, sf, "lineitem"), B.table(spark, sf, "lineitem").columns)
+    """Spark's own hash as a fingerprint: the same after reordering, another one after one edit."""
+    line = B.table(spark, sf, "lineitem")
+    edited = F.when((F.col("l_orderkey") == F.lit(1)) & (F.col("l_linenumber") == 1), F.col("l_quantity") + 1)
+    prints = {
+        "given": line,
+        "reordered": line.repartition("l_partkey").sortWithinPartitions(F.desc("l_extendedprice")),
+        "edited": line.withColumn("l_quantity", F.coalesce(edited, F.col("l_quantity"))),
+    }
+    rows = [quality.fingerprint(df, line.columns).withColumnsRenamed({"row_count": f"{k}_rows", "content_hash": k}) for k, df in prints.items()]
+    one = F.broadcast(rows[0]).join(F.broadcast(rows[1])).join(F.broadcast(rows[2]))  # three single rows
+    return one.select(
+        F.col("given_rows").alias("row_count"),
+        (F.col("given") == F.col("reordered")).alias("same_when_reordered"),
+        (F.col("given") != F.col("edited")).alias("other_when_edited"),
+    )
 
 
 # ---- Change data -------------------------------------------------------------------------------
@@ -392,11 +406,11 @@ def scd1_lineitem(spark, sf):
     return cdc.scd1(line, LINE_KEYS, "l_shipdate", ["l_linestatus"], LINE_TIES)
 
 
-def _stream(spark, df: DataFrame, label: str, files: int = 4) -> DataFrame:
-    """A landed copy of a table as a stream of several micro-batches."""
+def _stream(spark, df: DataFrame, label: str, bytes_per_trigger: int = 8 << 30) -> DataFrame:
+    """A landed copy of a table as a stream, in the table's own partitions."""
     path = scratch_dir(spark, label)
-    df.repartition(files).write.parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", max(files // 2, 1)).parquet(path)
+    df.write.parquet(path)
+    return spark.readStream.schema(df.schema).option("maxBytesPerTrigger", bytes_per_trigger).parquet(path)
 
 
 @query
@@ -455,10 +469,12 @@ def scd2_untracked(spark, sf):
 def scd2_stream(spark, sf):
     profile = B.signup_profile(spark, sf)
     target, checkpoint = scratch_dir(spark, "scd2"), scratch_dir(spark, "scd2-checkpoint")
-    # Shuffled into files, so the micro-batches deliver events out of order.
     changes = _stream(spark, profile, "profile")
     runs.scd2_stream(changes, ["customer_id"], "changed_at", ORDER_TRACK, target, checkpoint, ["event_id"])
-    return runs.scd2_current(spark, target, ["customer_id"]).drop("event_id")
+    history = runs.scd2_current(
+        spark, target, profile.schema, ["customer_id"], "changed_at", ORDER_TRACK, tie_break=["event_id"]
+    )
+    return history.drop("event_id")
 
 
 @query
@@ -491,7 +507,7 @@ def pit_join_lineitem(spark, sf):
 @query
 def pit_join_linear(spark, sf):
     facts = _shipped(spark, sf)
-    return joins.pit_join_linear(
+    return joins.pit_join(
         facts, _orders_history(spark, sf), "o_custkey", "l_shipdate", "version_from", value="valid_from", unknown=None
     )
 
@@ -790,7 +806,7 @@ def _land_csv(spark, sf) -> str:
 
 def _contract(spark, path, streaming):
     return files.read_contract(
-        spark, path, LINE_CONTRACT, streaming=streaming, timestamp_format=K.PROFILE_TS_FORMAT, tz="UTC", max_files=2 if streaming else None
+        spark, path, LINE_CONTRACT, streaming=streaming, timestamp_format=K.PROFILE_TS_FORMAT, tz="UTC"
     )
 
 
@@ -846,7 +862,7 @@ def read_evolving(spark, sf):
 @query
 def read_evolving_stream(spark, sf):
     landing, target = _land_json(spark, sf), scratch_dir(spark, "evolving")
-    runs.ingest_evolving(spark, landing, FEED_HINTS, target, scratch_dir(spark, "evolving-checkpoint"), glob="*.txt", max_files=2)
+    runs.ingest_evolving(spark, landing, FEED_HINTS, target, scratch_dir(spark, "evolving-checkpoint"), glob="*.txt")
     return _evolved_report(runs.read_evolved(spark, target, FEED_HINTS))
 
 
@@ -926,7 +942,7 @@ def star_metrics_calendar(spark, sf):
 @query
 def with_previous_day(spark, sf):
     """Daily history fraud rate; the history has days without rows."""
-    daily = World(spark, sf).kpi_daily.where(F.col("fraud_count") > 0)
+    daily = World(spark, sf).kpi_daily
     out = metrics.with_previous_day(daily, ["fraud_rate", "txn_count"], by=["source_system"])
     return out.select("calendar_date", "source_system", "fraud_rate", "previous_fraud_rate", "previous_txn_count")
 

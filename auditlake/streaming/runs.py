@@ -14,7 +14,7 @@ from pyspark.sql.types import IntegerType, StringType, StructType, TimestampType
 
 from auditlake.operators import shape
 from auditlake.operators.cdc import scd1, scd2
-from auditlake.operators.keyed import HEAVY_ROWS
+from auditlake.operators.keyed import join_null_safe
 from auditlake.sources.files import new_json_columns, parse_json_lines, read_lines
 
 BATCH = "batch_id"
@@ -62,7 +62,7 @@ def scd1_stream(
     """Keyed upsert without a rewrite of the target: each micro-batch adds its winners only.
 
     ``scd1_current`` resolves them, so a run costs what arrived, not what has been stored, and no
-    state grows with the number of keys.
+    state grows with the number of keys. ``scd1_compact`` folds what has been stored.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -80,44 +80,84 @@ def scd1_current(
     return scd1(stored, keys, sequence, except_cols, tie_break)
 
 
+def scd1_compact(
+    spark: SparkSession, target: str, compacted: str, schema: StructType, keys: list[str], sequence: str,
+    tie_break: list[str] | None = None,
+) -> str:
+    """Write the winners of all stored micro-batches as batch -1 of a new target, and return it.
+
+    Run it between two runs of the stream; the next run, with the same checkpoint, goes on in the
+    new target. The old one stays until its owner removes it.
+    """
+    winners = scd1_current(spark, target, schema, keys, sequence, tie_break=tie_break)
+    write_batch(winners, compacted, -1)
+    return compacted
+
+
 def scd2_stream(
     changes: DataFrame, keys: list[str], sequence: str, track: list[str], target: str, checkpoint: str,
-    tie_break: list[str] | None = None, heavy_rows: int | None = HEAVY_ROWS, buckets: int = 64,
+    tie_break: list[str] | None = None, buckets: int = 64,
 ) -> None:
-    """Version history from a stream, with events in any order.
+    """Version history from a stream, with events in any order. A NULL key is a key.
 
-    Each micro-batch joins the event log, and the history of the keys it touches is cut again from
-    their whole log. The log is stored by key bucket, so a micro-batch reads back only the buckets
-    of its own keys. ``scd2_current`` takes the newest cut of each key.
+    A micro-batch adds its events to the log, which is stored by key bucket; nothing stored is read.
+    ``scd2_current`` cuts the versions from the log. Give ``buckets`` the number of buckets that
+    keeps one in reach of a task; ``scd2_compact`` folds the log bucket by bucket.
     """
-    schema = changes.schema
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    stored = StructType([*schema.fields]).add(BUCKET, IntegerType())
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         # Rebalanced rather than repartitioned: a bucket with a hot key is split over several files.
-        arrived = batch.withColumn(BUCKET, bucket).hint("rebalance", BUCKET)
-        path = f"{target}/events/{BATCH}={batch_id}"
+        arrived = batch.withColumn(BUCKET, _bucket(keys, buckets)).hint("rebalance", BUCKET)
+        path = f"{target}/{BATCH}={batch_id}"
         arrived.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
-        log = read_batches(spark, f"{target}/events", stored)
-        mine = log.where(F.col(BATCH) == batch_id)
-        reached = [r[0] for r in mine.select(BUCKET).distinct().collect()]  # at most ``buckets``
-        touched = mine.select(*keys).distinct()
-        affected = log.where(F.col(BUCKET).isin(reached)).join(touched, keys, "left_semi")
-        cut = scd2(
-            affected.drop(BATCH, BUCKET), keys, sequence, track, tie_break=tie_break, heavy_rows=heavy_rows
-        )
-        write_batch(cut, f"{target}/history", batch_id)
 
     run_batches(changes, handle, checkpoint)
 
 
-def scd2_current(spark: SparkSession, target: str, keys: list[str]) -> DataFrame:
-    """Each key's versions from the last micro-batch that touched it."""
-    history = spark.read.parquet(f"{target}/history")
-    newest = history.groupBy(*keys).agg(F.max(BATCH).alias(BATCH))
-    return history.join(newest, [*keys, BATCH], "left_semi").drop(BATCH)
+def _bucket(keys: list[str], buckets: int):
+    # A NULL leaves a hash as it is, so NULLs are hashed too.
+    return F.pmod(F.xxhash64(*keys, *[F.col(k).isNull() for k in keys]), F.lit(buckets)).cast("int")
+
+
+def scd2_log(spark: SparkSession, target: str, schema: StructType) -> DataFrame:
+    """All stored events, with their batch and bucket."""
+    return read_batches(spark, target, StructType([*schema.fields]).add(BUCKET, IntegerType()))
+
+
+def scd2_current(
+    spark: SparkSession, target: str, schema: StructType, keys: list[str], sequence: str, track: list[str],
+    except_cols: list[str] = (), tie_break: list[str] | None = None,
+) -> DataFrame:
+    """The version history of every key. A filter on the bucket column prunes the log."""
+    log = scd2_log(spark, target, schema).drop(BATCH, BUCKET)
+    return scd2(log, keys, sequence, track, except_cols, tie_break)
+
+
+def scd2_touched(
+    spark: SparkSession, target: str, schema: StructType, keys: list[str], sequence: str, track: list[str],
+    since: int, except_cols: list[str] = (), tie_break: list[str] | None = None,
+) -> DataFrame:
+    """The history of the keys with events in micro-batch ``since`` or later, cut from their whole log."""
+    log = scd2_log(spark, target, schema)
+    touched = log.where(F.col(BATCH) >= since).select(*keys).distinct()
+    mine = join_null_safe(log, touched, keys, "left_semi").drop(BATCH, BUCKET)
+    return scd2(mine, keys, sequence, track, except_cols, tie_break)
+
+
+def scd2_compact(
+    spark: SparkSession, target: str, compacted: str, schema: StructType, keys: list[str], sequence: str,
+    tie_break: list[str] | None = None, buckets: int = 64,
+) -> str:
+    """Write the log as batch -1 of a new target, one event per key and time, and return it.
+
+    Later events may split any version, so the log keeps every moment; repeated deliveries and
+    overruled events of one moment go. See ``scd1_compact`` for how a stream goes on.
+    """
+    log = scd2_log(spark, target, schema).drop(BATCH, BUCKET)
+    moments = scd1(log, [*keys, sequence], sequence, tie_break=tie_break)
+    folded = moments.withColumn(BUCKET, _bucket(keys, buckets)).hint("rebalance", BUCKET)
+    folded.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{compacted}/{BATCH}=-1")
+    return compacted
 
 
 def split_stream(tagged: DataFrame, clean: str, rejected: str, checkpoint: str, at=None) -> None:

@@ -8,16 +8,18 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from auditlake import constants as K
 
+# The other party of the default transaction.
+PEER = "CG4072"
 AUDIT = "_source_file STRING, _source_modified_at TIMESTAMP, _ingested_at TIMESTAMP"
 FEED = f"{K.FEED_DDL}, channel STRING, _rescued_data STRING, {AUDIT}"
 HISTORY = f"{K.HISTORY_DDL}, _rescued_data STRING, {AUDIT}"
 PROFILE = f"{K.PROFILE_DDL}, _rescued_data STRING, {AUDIT}"
 
-_AUDIT_ROW = {"_source_modified_at": "2026-10-07 05:00:00", "_ingested_at": "2026-10-07 06:00:00"}
+_AUDIT_ROW = {"_source_modified_at": "2026-10-07 03:52:00", "_ingested_at": "2026-10-07 04:11:00"}
 _FEED_ROW = {
-    "event_id": "G1", "event_ts": "2026-10-06T12:30:00Z", "type": "PAYMENT", "amount": "25.50",
-    "customer_id": "CG1", "counterparty_id": "MG1", "origin_balance_before": "1000.00",
-    "origin_balance_after": "974.50", "status": "APPROVED", "decline_reason": None, "is_fraud": "0",
+    "event_id": "E5501", "event_ts": "2026-10-06T12:30:00Z", "type": "PAYMENT", "amount": "61.20",
+    "customer_id": "CG4071", "counterparty_id": "MG8803", "origin_balance_before": "500.00",
+    "origin_balance_after": "438.80", "status": "APPROVED", "decline_reason": None, "is_fraud": "0",
     "source_system": "generator-v1", "channel": "app", "_rescued_data": None,
     "_source_file": "/landing/transactions_daily/transactions_2026-10-06.jsonl", **_AUDIT_ROW,
 }
@@ -28,20 +30,20 @@ _HISTORY_ROW = {
     **_AUDIT_ROW,
 }
 _PROFILE_ROW = {
-    "customer_id": "CG1", "entity_type": "customer", "segment": "standard", "region": "north",
+    "customer_id": "CG4071", "entity_type": "customer", "segment": "standard", "region": "north",
     "changed_at": "2026-09-20 00:00:00", "_rescued_data": None,
     "_source_file": "/landing/customer_profile/customer_profile_2026-09-20.csv", **_AUDIT_ROW,
 }
 _TX_ROW = {
     "event_id": "T1", "event_ts": "2026-10-06 12:30:00", "event_date": "2026-10-06", "txn_type": "TRANSFER",
-    "amount": "100.00", "customer_id": "CG1", "counterparty_id": "CG2", "counterparty_kind": "customer",
+    "amount": "100.00", "customer_id": "CG4071", "counterparty_id": "CG4072", "counterparty_kind": "customer",
     "origin_balance_before": "1000.00", "origin_balance_after": "900.00", "status": "APPROVED",
     "status_source": "source_system", "is_fraud": "false", "is_zero_amount": "false",
     "is_bank_holiday": "false", "channel": "app", "source_system": "generator-v1",
-    "_source_file": "/f", "_ingested_at": "2026-10-07 06:00:00",
+    "_source_file": "/f", "_ingested_at": "2026-10-07 04:11:00",
 }
 _DIM_ROW = {
-    "customer_key": "11", "customer_id": "CG1", "entity_type": "customer", "segment": "standard",
+    "customer_key": "11", "customer_id": "CG4071", "entity_type": "customer", "segment": "standard",
     "region": "north", "valid_from": "2026-09-20 00:00:00", "valid_to": K.OPEN_END, "is_current": "true",
 }
 TX = ", ".join(c for c in K.UNIFIED_DDL.split(", ") if not c.startswith(("failed_checks", "event_ts_raw")))
@@ -58,7 +60,7 @@ FACT = (
 )
 _FACT_ROW = {
     "event_id": "F1", "event_ts": "2026-10-06 12:30:00", "date_key": "20261006", "hour_of_day": "12",
-    "type_key": "4", "customer_id": "CG1", "counterparty_id": "CG2", "amount": "100.00",
+    "type_key": "4", "customer_id": "CG4071", "counterparty_id": "CG4072", "amount": "100.00",
     "amount_band_sort": "3", "amount_band": "100 to 999.99", "origin_balance_before": "1000.00",
     "status": "APPROVED", "is_fraud": "false", "source_system": "generator-v1", "day_part": "afternoon",
     "is_declined": "false", "flag_balance_drain": "false", "flag_night_high_value": "false",

@@ -65,7 +65,7 @@ if __name__ == "__main__":
     sf_dir = sys.argv[1]
     session = build_session(
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "16g", "spark.log.level": "ERROR"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g", "spark.log.level": "ERROR"},
     )
     con, sqls = connect(sf_dir), oracle_sql()
     bad = 0

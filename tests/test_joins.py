@@ -11,52 +11,49 @@ VERSIONS = [
     {"customer_key": "1", "valid_from": "2026-01-01 00:00:00", "valid_to": "2026-02-01 00:00:00", "is_current": "false"},
     {"customer_key": "2", "valid_from": "2026-02-01 00:00:00"},
 ]
-FORMS = [joins.pit_join, joins.pit_join_linear]
 
 
-@pytest.mark.parametrize("form", FORMS)
 @pytest.mark.parametrize(
     ("at", "expected"),
     [("2025-12-31 23:59:59", -1), ("2026-01-01 00:00:00", 1), ("2026-01-31 23:59:59", 1), ("2026-02-01 00:00:00", 2), ("2030-01-01 00:00:00", 2)],
 )
-def test_the_version_valid_at_event_time(spark, form, at, expected):
-    out = form(tx(spark, {"event_ts": at}), dim(spark, *VERSIONS), "customer_id", "event_ts", "key")
+def test_the_version_valid_at_event_time(spark, at, expected):
+    out = joins.pit_join(tx(spark, {"event_ts": at}), dim(spark, *VERSIONS), "customer_id", "event_ts", "key")
     assert [r["key"] for r in out.collect()] == [expected]
 
 
-@pytest.mark.parametrize("form", FORMS)
-def test_unmatched_and_null_ids_get_the_unknown_key(spark, form):
+def test_unmatched_and_null_ids_get_the_unknown_key(spark):
     rows = tx(spark, {"customer_id": "C404"}, {"customer_id": None})
     versions = dim(spark, *VERSIONS, {"customer_id": None, "customer_key": "9", "valid_from": "2026-01-01 00:00:00"})
-    assert [r["key"] for r in form(rows, versions, "customer_id", "event_ts", "key").collect()] == [-1, -1]
+    assert [r["key"] for r in joins.pit_join(rows, versions, "customer_id", "event_ts", "key").collect()] == [-1, -1]
 
 
-@pytest.mark.parametrize("form", FORMS)
-def test_a_gap_between_versions_is_no_match(spark, form):
+def test_a_gap_between_versions_is_no_match(spark):
     gap = [{**VERSIONS[0], "valid_to": "2026-01-15 00:00:00"}, VERSIONS[1]]
-    out = form(tx(spark, {"event_ts": "2026-01-20 00:00:00"}), dim(spark, *gap), "customer_id", "event_ts", "key")
+    out = joins.pit_join(tx(spark, {"event_ts": "2026-01-20 00:00:00"}), dim(spark, *gap), "customer_id", "event_ts", "key")
     assert out.first()["key"] == -1
 
 
-@pytest.mark.parametrize("heavy_rows", [None, 40, 0])
-def test_both_forms_agree_with_brute_force_on_a_hot_key(spark, heavy_rows):
+@pytest.mark.parametrize("seconds", [1, 600, 10**7])
+def test_the_join_agrees_with_brute_force_on_hot_and_null_keys(spark, seconds):
     rng = random.Random(11)
     at = lambda: datetime(2026, 1, 1) + timedelta(minutes=rng.randrange(0, 4000))
-    pick = lambda: rng.choice(["hot"] * 4 + ["a", "b"])
+    pick = lambda: rng.choice(["hot"] * 4 + ["warm"] * 3 + ["a", "b"])
     starts = sorted({(pick(), at()) for _ in range(80)})
     versions = []
     for n, (key, start) in enumerate(starts):
         later = [s for k, s in starts if k == key and s > start]
         versions.append((n, key, start, min(later) if later else datetime(9999, 12, 31)))
     facts = [(i, pick(), at()) for i in range(300)] + [(1000 + n, key, start) for n, key, start, _ in versions]
+    facts += [(2000 + i, None, at()) for i in range(60)] + [(3000 + i, "hot", datetime(2026, 1, 2, 3, 4, 5)) for i in range(60)]
+    facts += [(4000, "hot", None)]
     v = spark.createDataFrame(versions, "customer_key BIGINT, customer_id STRING, valid_from TIMESTAMP, valid_to TIMESTAMP")
     f = spark.createDataFrame(facts, "id INT, who STRING, ts TIMESTAMP")
-    found = {r["id"]: r["key"] for r in joins.pit_join_linear(f, v, "who", "ts", "key", heavy_rows=heavy_rows).collect()}
-    interval = {r["id"]: r["key"] for r in joins.pit_join(f, v, "who", "ts", "key").collect()}
+    found = {r["id"]: r["key"] for r in joins.pit_join(f, v, "who", "ts", "key", seconds=seconds).collect()}
     expected = {
-        i: next((n for n, k, s, e in versions if k == who and s <= ts < e), -1) for i, who, ts in facts
+        i: next((n for n, k, s, e in versions if k == who and ts and s <= ts < e), -1) for i, who, ts in facts
     }
-    assert found == interval == expected and len(found) == len(facts)
+    assert found == expected and len(found) == len(facts)
 
 
 def test_recomputed_attributes_take_the_latest_change_at_or_before_the_event(spark):

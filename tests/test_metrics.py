@@ -57,7 +57,7 @@ def test_star_measures_by_role_agree_with_the_kpi_tables(spark):
         {"origin_customer_key": "-1", "is_declined": None},
     )
     people = dim(
-        spark, {}, {"customer_key": "12", "customer_id": "CG2", "segment": "premium"},
+        spark, {}, {"customer_key": "12", "customer_id": "CG4072", "segment": "premium"},
         {"customer_key": "-1", "customer_id": "UNKNOWN", "segment": "Unknown", "region": "Unknown"},
     )
     sent = {r["segment"]: r for r in metrics.star_metrics(facts, ["segment"], people).collect()}

@@ -39,14 +39,18 @@ def test_an_empty_frame_violates_nothing(spark):
 
 
 def test_audited_write_publishes_only_what_passed(spark, tmp_path):
-    target = str(tmp_path / "target")
+    target, staging = str(tmp_path / "target"), str(tmp_path / "s")
     soft = [Expectation("p", "x > 0", DROP), Expectation("q", "x IS NOT NULL", WARN)]
-    metrics = quality.audited_write(numbers(spark), soft, "t", "u", str(tmp_path / "s1"), target)
+    metrics = quality.audited_write(numbers(spark), soft, "t", "u", staging, target)
     assert counts(metrics) == {"p": (1, 2), "q": (2, 1)}
     with pytest.raises(ExpectationFailed):
         hard = [Expectation("p", "x > 0", FAIL)]
-        quality.audited_write(numbers(spark), hard, "t", "u", str(tmp_path / "s2"), target)
-    assert [r["x"] for r in spark.read.parquet(target).collect()] == [1]
+        quality.audited_write(numbers(spark), hard, "t", "u", staging, target)
+    assert [r["x"] for r in quality.read_audited(spark, target, "t").collect()] == [1]
+    quality.audited_write(numbers(spark), [], "t", "u", staging, target)
+    assert quality.read_audited(spark, target, "t").count() == 3
+    with pytest.raises(LookupError):
+        quality.read_audited(spark, target, "other")
 
 
 def test_all_rules_are_there_and_hard_ones_are_hard():
@@ -59,7 +63,7 @@ def test_all_rules_are_there_and_hard_ones_are_hard():
 
 CLEAN = {
     "silver.transactions": lambda s: tx(s, {}),
-    "silver.customer_profile_events": lambda s: profile(s, {}, {"customer_id": "MG1", "entity_type": "merchant"}),
+    "silver.customer_profile_events": lambda s: profile(s, {}, {"customer_id": "MG8803", "entity_type": "merchant"}),
     "silver.bank_holidays": lambda s: holidays(s, {}),
     "bronze.transactions_daily": lambda s: feed(s, {}),
 }
@@ -73,7 +77,7 @@ DEFECTS = [
     ("silver.transactions", lambda s: tx(s, {"event_date": "2029-01-01"}), "event_date_in_range"),
     ("silver.transactions", lambda s: tx(s, {"counterparty_id": None}), "counterparty_present"),
     ("silver.customer_profile_events", lambda s: profile(s, {"entity_type": "bank"}), "known_entity_type"),
-    ("silver.customer_profile_events", lambda s: profile(s, {"customer_id": "MG1"}), "id_prefix_matches_type"),
+    ("silver.customer_profile_events", lambda s: profile(s, {"customer_id": "MG8803"}), "id_prefix_matches_type"),
     ("silver.bank_holidays", lambda s: holidays(s, {"title": ""}), "title_present"),
     ("silver.bank_holidays", lambda s: holidays(s, {"division": "wales"}), "known_division"),
     ("bronze.transactions_daily", lambda s: feed(s, {"_rescued_data": "{}"}), "no_contract_violations"),

@@ -1,7 +1,8 @@
 import random
 
 import pytest
-from builders import feed, frame, history
+from builders import feed, frame
+from builders import history as paid
 from pyspark.sql import functions as F
 
 from auditlake.operators import cdc, joins, shape
@@ -41,35 +42,60 @@ def test_scd1_stream_equals_batch_under_replay(spark, events, tmp_path):
     same(cdc.scd1(events, ["id"], "at").drop("region"), now)
 
 
-@pytest.mark.parametrize("heavy_rows", [None, 10])
-def test_scd2_stream_equals_batch_for_events_in_any_order(spark, events, tmp_path, heavy_rows):
-    stream, _ = landed(events, tmp_path)
+def test_compacted_winners_are_the_winners(spark, events, tmp_path):
+    stream, path = landed(events, tmp_path)
+    target, checkpoint = str(tmp_path / "t"), str(tmp_path / "ck")
+    runs.scd1_stream(stream, ["id"], "at", target, checkpoint)
+    folded = runs.scd1_compact(spark, target, str(tmp_path / "t2"), events.schema, ["id"], "at")
+    assert spark.read.parquet(folded).count() == events.select("id").distinct().count()
+    late = frame(spark, EVENT, [{"id": "a", "at": "2027-01-01 00:00:00", "segment": "z", "region": "n", "n": "999"}])
+    late.write.mode("append").parquet(path)
+    runs.scd1_stream(stream, ["id"], "at", folded, checkpoint)  # the stream goes on in the new target
+    same(cdc.scd1(events.unionByName(late), ["id"], "at"), runs.scd1_current(spark, folded, events.schema, ["id"], "at"))
+
+
+VERSIONS = (["id"], "at", ["segment", "region"])
+
+
+def history(spark, target, events, cut=runs.scd2_current, **more):
+    return cut(spark, target, events.schema, *VERSIONS, tie_break=["n"], **more)
+
+
+def test_scd2_stream_equals_batch_with_null_keys_in_any_order(spark, events, tmp_path):
+    keyless = events.unionByName(events.where("n < 30").withColumn("id", F.lit(None).cast("string")))
+    stream, _ = landed(keyless, tmp_path)
     target = str(tmp_path / "t")
-    runs.scd2_stream(stream, ["id"], "at", ["segment", "region"], target, str(tmp_path / "ck"), ["n"], heavy_rows)
-    now = runs.scd2_current(spark, target, ["id"])
-    same(cdc.scd2(events, ["id"], "at", ["segment", "region"], tie_break=["n"]), now)
+    runs.scd2_stream(stream, *VERSIONS, target, str(tmp_path / "ck"), ["n"])
+    now = history(spark, target, events)
+    assert now.where("id IS NULL").count() > 1
+    same(cdc.scd2(keyless, *VERSIONS, tie_break=["n"]), now)
 
 
-def test_a_late_change_recuts_only_its_own_key(spark, events, tmp_path):
+def test_a_late_change_recuts_its_own_key(spark, events, tmp_path):
     stream, path = landed(events, tmp_path)
     target, checkpoint = str(tmp_path / "t"), str(tmp_path / "ck")
-    args = (["id"], "at", ["segment", "region"], target, checkpoint, ["n"])
-    runs.scd2_stream(stream, *args)
-    before = {r["id"]: r["n"] for r in runs.scd2_current(spark, target, ["id"]).groupBy("id").agg(F.count("*").alias("n")).collect()}
-    newest = spark.read.parquet(f"{target}/history").agg(F.max("batch_id")).first()[0]
+    runs.scd2_stream(stream, *VERSIONS, target, checkpoint, ["n"])
+    newest = runs.scd2_log(spark, target, events.schema).agg(F.max("batch_id")).first()[0]
     late = frame(spark, EVENT, [{"id": "b", "at": "2026-01-01 00:30:00", "segment": "z", "region": "n", "n": "999"}])
     late.write.mode("append").parquet(path)
-    runs.scd2_stream(stream, *args)
-    recut = spark.read.parquet(f"{target}/history").where(F.col("batch_id") > newest)
-    assert {r["id"] for r in recut.collect()} == {"b"}
-    after = runs.scd2_current(spark, target, ["id"])
-    same(cdc.scd2(events.unionByName(late), ["id"], "at", ["segment", "region"], tie_break=["n"]), after)
-    assert after.where("id = 'a'").count() == before["a"]
+    runs.scd2_stream(stream, *VERSIONS, target, checkpoint, ["n"])
+    whole = cdc.scd2(events.unionByName(late), *VERSIONS, tie_break=["n"])
+    same(whole, history(spark, target, events))
+    same(whole.where("id = 'b'"), history(spark, target, events, runs.scd2_touched, since=newest + 1))
+
+
+def test_a_compacted_log_gives_the_same_history(spark, events, tmp_path):
+    stream, _ = landed(events.unionByName(events), tmp_path)
+    target = str(tmp_path / "t")
+    runs.scd2_stream(stream, *VERSIONS, target, str(tmp_path / "ck"), ["n"])
+    folded = runs.scd2_compact(spark, target, str(tmp_path / "t2"), events.schema, ["id"], "at", ["n"])
+    assert runs.scd2_log(spark, folded, events.schema).count() <= events.count()
+    same(cdc.scd2(events, *VERSIONS, tie_break=["n"]), history(spark, folded, events))
 
 
 def test_two_flows_split_into_two_sinks(spark, tmp_path):
     feed(spark, {"event_id": "ok"}, {"event_id": "bad", "amount": "-1"}).write.parquet(str(tmp_path / "f"))
-    history(spark, {}, {"type": "X"}).write.parquet(str(tmp_path / "h"))
+    paid(spark, {}, {"type": "X"}).write.parquet(str(tmp_path / "h"))
     read = lambda name: spark.readStream.schema(spark.read.parquet(str(tmp_path / name)).schema).parquet(str(tmp_path / name))
     flows = shape.unify([shape.map_feed(read("f")), shape.map_history(read("h"))])
     clean, rejected, checkpoint = (str(tmp_path / n) for n in ("clean", "rejected", "ck"))
