@@ -240,9 +240,9 @@ def audit_tables(w: World) -> dict[str, DataFrame]:
         "profile": w.profile,
         "payloads": w.payloads,
         "manifests": w.manifests,
-        "profile_landing": w.profile.withColumnRenamed("_source_file", "file_path"),
-        "history_landing": w.history.select(F.col("amount").cast("string").alias("amount")),
-        "feed_landing": w.feed.select("event_id"),
+        "profile_landing": w.profile_files,
+        "history_landing": w.history_files,
+        "feed_landing": w.feed_files,
         "profile_events": w.profile_events,
         "transactions": w.transactions,
         "quarantine": w.quarantine,
@@ -658,31 +658,38 @@ def reconcile_constraints(spark, sf):
 
 
 def bound_known(spark, sf) -> suites.Known:
-    """What is known about the bound sources, counted from ``lineitem`` alone."""
+    """What is known about the bound sources, counted from ``lineitem`` and ``nation`` alone."""
     li = B.table(spark, sf, "lineitem")
     kind, returned = F.col("l_linenumber") % 5, F.col("l_returnflag") == "R"
     quantity = F.col("l_quantity").cast("int")
+    shipped = F.date_trunc("day", "l_shipdate") + F.make_dt_interval(hours=F.col("l_suppkey") % 24)
     counted = li.agg(
         F.count(F.lit(1)).alias("history_rows"),
         F.count_if(kind.isin(1, 2) & returned).alias("history_fraud"),
         F.count_if((kind == 2) & returned & (quantity == 50)).alias("history_flagged"),
         F.count_if(kind.isin(1, 2) & (quantity == 1) & (F.col("l_partkey") % 500 != 0)).alias("history_drain"),
+        F.min(shipped).alias("first_at"),
+        F.max(shipped).alias("last_at"),
     )
-    # Headline holidays 1996-06-01 + n, as steps from the anchor 1995-01-01 (day 516).
-    days = [516 + n for n in (0, 3, 5, 8, 10, 13, 15, 18, 20, 23)]
+    # Holidays that stayed, in the region of the headline division: one or two days a nation.
+    nations = B.table(spark, sf, "nation").where((F.col("n_regionkey") % 3 == 0) & (F.col("n_nationkey") % 5 != 4))
+    starts = F.array(*[F.date_add(F.lit(start).cast("date"), F.col("n_nationkey")) for start, _ in B.HOLIDAY_STARTS])
+    days = nations.select(F.explode(starts).alias("day")).distinct()
+    per_day = li.groupBy(F.to_date("l_shipdate").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    on_holidays = per_day.join(days, "day").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("holiday_rows"))
+    headline = nations.agg(F.count(F.lit(1))).first()[0]
     return suites.Known(
         anchor=B.ANCHOR,
-        last_step=59943,
-        holiday_steps=tuple((d * 24 + 1, d * 24 + 24) for d in days),
+        last_step="the last",
         holiday_steps_label="1 June",
-        payloads=2,
+        payloads=len(B.HOLIDAY_STARTS),
         summer_holiday="1996-06-01",
         headline_year=1996,
-        headline_holidays=10,
+        headline_holidays=headline,
         calendar_days=10958,
         history_drain=None,
         history_flagged=None,
-        counted=counted,
+        counted=reconcile.one_row([counted, on_holidays]),
     )
 
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from auditlake.operators import cdc, kpis, shape, star
 from auditlake.operators.joins import with_holiday_flag
 from auditlake.plans import bindings as B
-from auditlake.session import stage
+from auditlake.session import scratch_dir, stage
 from auditlake.sources import reference
+from auditlake.sources.files import scan_files
 
 # The benchmark amounts and times are sparser than real payments, so the bound rules are looser.
 BURST_MINUTES, BURST_COUNT, NIGHT_AMOUNT = 360, 3, 50
@@ -46,6 +47,32 @@ class World:
     def payloads(self) -> DataFrame:
         return self._keep(B.raw_holidays(self.spark, self.sf_dir), "payloads")
 
+    def _landed(self, df: DataFrame, label: str, fmt: str, **options) -> str:
+        """The folder of a raw table's columns as plain files, one folder per source file."""
+        path = scratch_dir(self.spark, f"landing-{label}")
+        plain = [c for c in df.columns if not c.startswith("_")]
+        named = df.select(*plain, F.element_at(F.split("_source_file", "/"), -1).alias("file"))
+        named.write.partitionBy("file").options(**options).format(fmt).save(path)
+        return path
+
+    @cached_property
+    def history_files(self) -> DataFrame:
+        """The history as landed: a scan of its CSV files, amounts as text."""
+        path = self._landed(B.raw_history(self.spark, self.sf_dir), "history", "csv", header=True)
+        return scan_files(self.spark, path, "csv", header=True).select(F.col("amount").cast("string").alias("amount"))
+
+    @cached_property
+    def feed_files(self) -> DataFrame:
+        path = self._landed(B.raw_feed(self.spark, self.sf_dir), "feed", "json")
+        return scan_files(self.spark, path, "json", "event_id STRING").select("event_id")
+
+    @cached_property
+    def profile_files(self) -> DataFrame:
+        """The profile as landed; ``file_path`` ends with the name of the source file."""
+        path = self._landed(B.raw_profile(self.spark, self.sf_dir), "profile", "csv", header=True)
+        found = scan_files(self.spark, path, "csv", header=True)
+        return found.withColumn("file_path", F.concat(F.lit("/landing/customer_profile/"), "file"))
+
     @cached_property
     def manifests(self) -> DataFrame:
         return B.manifests(self.spark, self.sf_dir)
@@ -67,9 +94,7 @@ class World:
     @cached_property
     def transactions(self) -> DataFrame:
         source = self.unified if self.staged else self.tagged
-        clean = cdc.scd1(
-            shape.split_valid(source), ["event_id"], "_ingested_at", OUTPUT_DROPS, tie_break=[]
-        )
+        clean = cdc.scd1(shape.split_valid(source), ["event_id"], "_ingested_at", OUTPUT_DROPS)
         return self._keep(clean, "transactions")
 
     @cached_property

@@ -54,6 +54,7 @@ def test_no_python_row_functions_and_no_local_checkpoints():
 def test_all_checks_are_stated_and_pass_on_the_bound_tables(spark):
     sf = "/root/testdata/sf0.001"
     rows = suites.run_checks(audit_tables(World(spark, sf, staged=True)), bound_known(spark, sf)).collect()
+    assert [(r["check_name"], r["expected"], r["actual"]) for r in rows if not r["passed"]] == []
     names = [(r["suite"], r["check_name"]) for r in rows]
     assert len(names) == len(set(names)) == 67
     per_suite = {s: sum(n[0] == s for n in names) for s in suites.SUITES}
