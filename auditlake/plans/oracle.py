@@ -759,6 +759,27 @@ FROM e"""
 QUERIES["clustered_layout"] = f"""
 SELECT {i('date_key')}, count(*) AS row_count, {n('sum(amount)', 'amount')} FROM fact
 WHERE date_key BETWEEN 19970101 AND 19971231 AND type_key = 4 GROUP BY date_key"""
+QUERIES["read_payloads"] = f"""
+SELECT division, count(*) AS holidays, {d('min(holiday_date)', 'first_day')} FROM (
+    SELECT n_regionkey, CAST(start AS DATE) + CAST(n_nationkey AS INT) AS holiday_date,
+        ['england-and-wales', 'scotland', 'northern-ireland'][n_regionkey % 3 + 1] AS division
+    FROM nation, (VALUES ('2024-01-01'), ('1996-06-01')) AS s(start), (VALUES (1), (2)) AS delivery(n)
+    WHERE n = 1 OR n_nationkey % 5 <> 4) GROUP BY division"""
+QUERIES["audit_columns"] = """
+SELECT count(*) AS row_count, count(*) AS with_file, count(*) AS with_file_time, count(*) AS with_read_time FROM lineitem"""
+QUERIES["rerun_without_new_files"] = "SELECT count(*) AS row_count FROM lineitem"
+QUERIES["rebuild"] = "SELECT count(*) AS row_count, TRUE AS same_as_batch FROM feed_tagged WHERE len(failed_checks) = 0"
+QUERIES["quality_tables"] = QUERIES["check_scorecard"]
+QUERIES["recomputed_table"] = """
+SELECT o_orderpriority, count(*) AS orders, CAST(2 AS BIGINT) AS version FROM orders GROUP BY o_orderpriority"""
+QUERIES["layout_report"] = """
+SELECT count(*) AS row_count, TRUE AS files_fit, TRUE AS files_skipped, TRUE AS bytes_fit FROM fact
+WHERE date_key BETWEEN 19970101 AND 19971231 AND type_key = 4"""
+QUERIES["scan_documents"] = """
+SELECT doc_id, pos AS line_no, CAST(starts_with(lower(line), 'the ') AS BIGINT) + CAST(ends_with(lower(line), 'and.') AS BIGINT)
+    + CAST(line = '' AS BIGINT) AS n_patterns
+FROM (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))
+WHERE starts_with(lower(line), 'the ') OR ends_with(lower(line), 'and.') OR line = ''"""
 FEED = "source_system = 'generator-v1'"
 QUERIES["metric_tiles"] = f"""
 SELECT {i('sum(txn_count)', 'transactions')}, sum(fraud_count) / sum(txn_count) AS fraud_rate, sum(approved_count) / sum(txn_count) AS approval_rate,

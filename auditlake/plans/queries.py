@@ -885,6 +885,108 @@ def clustered_layout(spark, sf):
     )
 
 
+@query
+def read_payloads(spark, sf):
+    """Calendar payloads, one file each, read whole; the holidays in them by division."""
+    path = scratch_dir(spark, "payloads")
+    named = B.raw_holidays(spark, sf).select("payload", F.element_at(F.split("_source_file", "/"), -1).alias("file"))
+    named.write.partitionBy("file").text(path)
+    rows = cdc.explode_calendar(files.read_payloads(spark, path, glob="*.txt"))
+    return rows.groupBy("division").agg(F.count(F.lit(1)).alias("holidays"), F.min("holiday_date").alias("first_day"))
+
+
+@query
+def audit_columns(spark, sf):
+    """Rows of a contract read that say which file they came from, of when, and when they were read."""
+    df = _contract(spark, _land_csv(spark, sf), streaming=False)
+    return df.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(F.col("_source_file").endswith(".csv")).alias("with_file"),
+        F.count_if(F.col("_source_modified_at") <= F.current_timestamp()).alias("with_file_time"),
+        F.count_if(F.col("_ingested_at").isNotNull()).alias("with_read_time"),
+    )
+
+
+@query
+def rerun_without_new_files(spark, sf):
+    """A stream run twice over the same files delivers every row once."""
+    landing, target, checkpoint = _land_csv(spark, sf), scratch_dir(spark, "bronze"), scratch_dir(spark, "bronze-checkpoint")
+    for _ in range(2):
+        runs.run_available(_contract(spark, landing, streaming=True), target, checkpoint)
+    return spark.read.parquet(target).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def rebuild(spark, sf):
+    """Feed and clean rows derived again through streams; their fingerprints are those of a batch."""
+    raw = B.raw_feed(spark, sf, status_defects=True)
+    columns = ["event_id", "amount", "customer_id", "status"]
+
+    def unified(before, target, checkpoint):
+        runs.run_available(shape.unify([shape.map_feed(_stream(spark, raw, "feed"))]), target, checkpoint)
+
+    def clean(before, target, checkpoint):
+        known = spark.read.parquet(before["unified"]).schema
+        flow = spark.readStream.schema(known).parquet(before["unified"])
+        runs.run_available(shape.split_valid(flow), target, checkpoint)
+
+    folders = runs.rebuild(spark, scratch_dir(spark, "layers"), {"unified": unified, "clean": clean})
+    streamed = quality.fingerprint(spark.read.parquet(folders["clean"]), columns)
+    batch = quality.fingerprint(shape.split_valid(shape.unify([shape.map_feed(raw)])), columns).withColumnsRenamed(
+        {"row_count": "batch_rows", "content_hash": "batch_hash"}
+    )
+    both = F.broadcast(streamed).join(F.broadcast(batch))  # two single rows
+    return both.select("row_count", (F.col("content_hash") == F.col("batch_hash")).alias("same_as_batch"))
+
+
+@query
+def quality_tables(spark, sf):
+    """Check history appended to its table and read back through the scorecard view."""
+    folder = scratch_dir(spark, "quality")
+    schema = f"quality_{folder[-32:]}"
+    sinks.ensure_quality_objects(spark, schema, folder)
+    rows = _check_results(spark, sf)
+    newest = rows.agg(F.max("run_at")).first()[0]
+    for part in (rows.where(F.col("run_at") < F.lit(newest)), rows.where(F.col("run_at") >= F.lit(newest))):
+        sinks.append_history(part, f"{schema}.{sinks.CHECK_TABLE}")
+    sinks.ensure_quality_objects(spark, schema, folder)
+    return spark.table(f"{schema}.check_scorecard")
+
+
+@query
+def recomputed_table(spark, sf):
+    """A table replaced by its full recomputation, twice."""
+    folder = scratch_dir(spark, "tables")
+    schema = f"tables_{folder[-32:]}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{folder}'")
+    orders = B.table(spark, sf, "orders")
+    for number in (1, 2):
+        counted = orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders"), F.lit(number).alias("version"))
+        sinks.materialize(counted, f"{schema}.by_priority")
+    return spark.table(f"{schema}.by_priority")
+
+
+@query
+def layout_report(spark, sf):
+    """Rows a filter hits in the clustered fact, and whether it touches some but not all files."""
+    path = scratch_dir(spark, "clustered")
+    sinks.write_clustered(World(spark, sf).fact, path, ["date_key", "type_key"], ["event_id"], files=8)
+    report = sinks.layout_report(spark, path, "date_key BETWEEN 19970101 AND 19971231 AND type_key = 4")
+    return report.select(
+        "row_count",
+        (F.col("files_touched") <= F.col("files")).alias("files_fit"),
+        (F.col("files_touched") < F.col("files")).alias("files_skipped"),
+        (F.col("bytes_touched") <= F.col("bytes")).alias("bytes_fit"),
+    )
+
+
+@query
+def scan_documents(spark, sf):
+    """Patterns bound to the ends of a line, on texts of many lines."""
+    docs = B.table(spark, sf, "documents").select("doc_id", "text")
+    return scan.scan_lines(docs, "doc_id", "text", ("^the ", "and\\.$", "^$"))
+
+
 # ---- Metric layer ------------------------------------------------------------------------------
 
 FEED_ONLY = {"source_system": K.FEED_SOURCE}

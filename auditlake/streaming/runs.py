@@ -6,6 +6,7 @@ overwrites its own folder, so a lost run never duplicates rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -224,3 +225,18 @@ def read_evolved(spark: SparkSession, target: str, hints: str) -> DataFrame:
     fields = fields.add("_rescued_data", StringType()).add("_source_file", StringType())
     fields = fields.add("_source_modified_at", TimestampType()).add("_ingested_at", TimestampType())
     return read_batches(spark, f"{target}/rows", fields).drop(BATCH)
+
+
+def rebuild(spark: SparkSession, root: str, layers: dict[str, Callable[[dict[str, str], str, str], None]]) -> dict[str, str]:
+    """Derive every layer again from its sources, with fresh checkpoints, and return their folders.
+
+    ``layers`` maps a name to a function of (folders of the layers before it, target, checkpoint), in
+    order. Each rebuild has a folder of its own; readers of the old one are not disturbed.
+    """
+    base = f"{root.rstrip('/')}/rebuild-{uuid.uuid4().hex}"
+    folders: dict[str, str] = {}
+    for name, derive in layers.items():
+        target = f"{base}/{name}"
+        derive(dict(folders), target, f"{base}/_checkpoints/{name}")
+        folders[name] = target
+    return folders

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import time
+from collections import Counter
 from decimal import Decimal
 from pathlib import Path
 
@@ -46,10 +47,11 @@ def differences(spark_df, con, sql: str) -> list[str]:
     if names != their_names:
         return [f"columns {names} <> {their_names}"]
     found = [] if len(mine) == len(theirs) else [f"rows {len(mine)} <> {len(theirs)}"]
-    mine_set, their_set = set(mine), set(theirs)
-    for label, rows in (("only in Spark", mine_set - their_set), ("only in SQL", their_set - mine_set)):
+    # Counted, so that a row too often on one side shows.
+    my_rows, their_rows = Counter(mine), Counter(theirs)
+    for label, rows in (("only in Spark", my_rows - their_rows), ("only in SQL", their_rows - my_rows)):
         if rows:
-            found.append(f"{len(rows)} {label}: {[dict(zip(names, r)) for r in sorted(rows, key=_key)[:2]]}")
+            found.append(f"{rows.total()} {label}: {[dict(zip(names, r)) for r in sorted(rows, key=_key)[:2]]}")
     if not found:
         types = [{type(v) for v in col if v is not None} for col in zip(*mine)]
         their_types = [{type(v) for v in col if v is not None} for col in zip(*theirs)]

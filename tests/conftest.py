@@ -22,6 +22,7 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.log.level": "ERROR",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )
