@@ -6,7 +6,6 @@ from auditlake.functions.flags import (
     day_part,
     derive_status,
     rule_balance_drain,
-    rule_burst,
     rule_night_high_value,
     rule_source,
 )
@@ -37,7 +36,6 @@ __all__ = [
     "ratio",
     "reason_list",
     "rule_balance_drain",
-    "rule_burst",
     "rule_night_high_value",
     "rule_source",
     "step_to_ts",

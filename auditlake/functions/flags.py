@@ -51,10 +51,6 @@ def rule_night_high_value(
     return (txn_type == "TRANSFER") & hour.between(*hours) & (amount >= threshold)
 
 
-def rule_burst(txn_type: Column, nearby: Column, threshold: int = K.BURST_COUNT) -> Column:
-    return (txn_type == "TRANSFER") & (nearby >= threshold)
-
-
 def rule_source(status_source: Column, status: Column) -> Column:
     """The source's own rule, known through the status derived from it."""
     return (status_source == K.HISTORY_STATUS_SOURCE) & (status == "DECLINED")

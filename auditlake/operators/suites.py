@@ -1,7 +1,7 @@
 """Check suites: uniform rows (suite, check_name, expected, actual, passed) and their runner.
 
 A suite first reduces every table to one row of measures, each table read once, and then states
-its checks over that row.
+its checks over that row. The names of the checks are fixed output values of the data model.
 """
 
 from __future__ import annotations

@@ -633,9 +633,8 @@ def holiday_flag_stream(spark, sf):
 
 @query
 def orphans(spark, sf):
-    """Suppliers of lines that a dimension of well-funded suppliers lacks, with their line counts."""
-    supplier = B.table(spark, sf, "supplier").where(F.col("s_acctbal") > 5000)
-    return joins.orphans(B.table(spark, sf, "lineitem"), supplier, "l_suppkey", "s_suppkey")
+    """Documents without a label, with their row counts."""
+    return joins.orphans(B.table(spark, sf, "documents"), B.table(spark, sf, "labels"), "doc_id", "doc_id")
 
 
 @query
