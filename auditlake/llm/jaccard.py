@@ -14,7 +14,7 @@ with similarity of ``PERCENT`` or more share at least o = ceil(s |A|) tokens, so
 Tokens of one document only are never shared and never indexed. Candidates are verified on whole sets
 of 64-bit hashes. Within a signature, documents are compared with a centre first; when links have
 merged a group of copies, only pairs of different components are left to compare, and all of those
-are. So a large group of copies costs its size, and no link between components is lost.
+are (a bound on how much they differ, from parity sketches, spares most of the sets). So a large group of copies costs its size, and no link between components is lost.
 
 Texts are read by units of documents; frequencies are counted in blocks of hash ranges to which each
 unit sends its sorted tokens once. Exact copies (equal words) are one document throughout.
@@ -45,6 +45,8 @@ UNIT_BYTES = 1 << 20
 BLOCK_TOKENS = 1 << 20
 LEAST_BLOCKS = 512
 CENTRES = 2
+# 64-bit words of a document's parity sketch.
+SKETCH = 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 KEY = ["key_a", "key_b"]
 
@@ -177,9 +179,15 @@ def signatures(tokens: np.ndarray, classes: np.ndarray, frequent: int = FREQUENT
     return np.concatenate(found)
 
 
+def parity_sketch(tokens: np.ndarray) -> np.ndarray:
+    """64 * SKETCH parity bits: two sets differ in as many tokens as their sketches in bits, or more."""
+    bits = np.bincount((mix(tokens) % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def indexed(units: DataFrame, classes: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     """Per document: key, ``n_shingles``, ``signatures`` and, where it has any, ``tokens`` (all tokens
-    that other documents have too)."""
+    that other documents have too), their parity ``sketch`` and ``own``, how many tokens it has alone."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         table, row, hashes, distinct, _ = unit_tokens(left)
@@ -189,12 +197,15 @@ def indexed(units: DataFrame, classes: DataFrame, frequent: int = FREQUENT) -> D
             raise ValueError("a unit's tokens and their classes differ in number")
         each = by_token[np.searchsorted(distinct, hashes)]
         first = np.searchsorted(row, np.arange(table.num_rows + 1))
-        signs, kept = [], []
+        signs, kept, sketches, alone = [], [], [], []
         for i in range(table.num_rows):
             own, own_classes = hashes[first[i] : first[i + 1]], each[first[i] : first[i + 1]]
             found = signatures(own, own_classes, frequent)
             signs.append(found.view(np.int64))
-            kept.append(own[own_classes > 0].view(np.int64) if len(found) else None)
+            shared = own[own_classes > 0]
+            kept.append(shared.view(np.int64) if len(found) else None)
+            sketches.append(parity_sketch(shared) if len(found) else None)
+            alone.append(len(own) - len(shared))
         return pa.table(
             {
                 KEY[0]: table.column(KEY[0]),
@@ -202,10 +213,15 @@ def indexed(units: DataFrame, classes: DataFrame, frequent: int = FREQUENT) -> D
                 "n_shingles": pa.array(np.diff(first), pa.int64()),
                 "signatures": pa.array(signs, pa.list_(pa.int64())),
                 "tokens": pa.array(kept, pa.list_(pa.int64())),
+                "sketch": pa.array(sketches, pa.list_(pa.int64())),
+                "own": pa.array(alone, pa.int64()),
             }
         )
 
-    schema = "key_a bigint, key_b bigint, n_shingles bigint, signatures array<bigint>, tokens array<bigint>"
+    schema = (
+        "key_a bigint, key_b bigint, n_shingles bigint, signatures array<bigint>, tokens array<bigint>, "
+        "sketch array<bigint>, own bigint"
+    )
     return units.groupBy("unit").cogroup(classes.groupBy("unit")).applyInArrow(run, schema)
 
 
@@ -246,10 +262,18 @@ def link_components(found: DataFrame) -> DataFrame:
                 F.col("node").alias("a"), F.col("n").alias("_na"), F.col("_centre.node").alias("b"), F.col("_centre.n").alias("_nb")
             )
         else:
-            # Everyone of a component against everyone of the others.
-            other = live.select("sign", F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("comp").alias("_other"))
-            mine = live.select("sign", F.col("node").alias("a"), F.col("n").alias("_na"), "comp")
-            pairs = mine.join(other, "sign").where("comp < _other").select("a", "_na", "b", "_nb")
+            # Everyone of a component against everyone of the others, but for pairs that differ in too
+            # many tokens: those either has alone, and those their sketches show.
+            words = [F.col("sketch")[i].alias(f"_w{i}") for i in range(SKETCH)]
+            sketches = found.where(F.size("signatures") > 0).select("node", "own", *words)
+            mine = live.join(sketches, "node").withColumnsRenamed({"node": "a", "n": "_na"})
+            renamed = {c: f"_b{c}" for c in ["comp", "own", *[f"_w{i}" for i in range(SKETCH)]]}
+            other = mine.drop("_centre").withColumnsRenamed({"a": "b", "_na": "_nb", **renamed})
+            apart = F.col("own") + F.col("_bown")
+            for i in range(SKETCH):
+                apart += F.bit_count(F.col(f"_w{i}").bitwiseXOR(F.col(f"_b_w{i}")))
+            near = (100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("_na") + F.col("_nb"))
+            pairs = mine.join(other, "sign").where((F.col("comp") < F.col("_bcomp")) & near).select("a", "_na", "b", "_nb")
         live = live.drop("_centre")
         more = staged(verified(_sized(pairs), sets), "verified")
         links = more if links is None else links.unionByName(more)
