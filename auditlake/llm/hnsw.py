@@ -130,6 +130,9 @@ def build(vectors: np.ndarray) -> list[np.ndarray]:
             stop = min(size, first + min(BATCH, first))
             queries = vectors[first:stop]
             entries = descend(vectors, layers, queries, level)
+            # Rows of the layer above that are not in this one yet are no way in.
+            entries = np.where(entries < first, entries, -1)
+            entries[(entries < 0).all(1), 0] = 0
             ids, sims = search_layer(vectors, graph[:first], queries, entries, BUILD_BEAM)
             chosen = diverse(vectors, ids, sims, graph.shape[1])
             graph[first:stop] = chosen

@@ -90,7 +90,7 @@ def unit(rng, n, dim):
 
 def test_the_graph_finds_near_neighbours():
     rng = np.random.default_rng(0)
-    x = unit(rng, 1500, 24).astype(np.float32)
+    x = unit(rng, 3000, 24).astype(np.float32)
     layers = hnsw.build(x)
     again = hnsw.unpack_layers(hnsw.pack_layers(layers), len(x))
     assert all((a == b).all() for a, b in zip(layers, again)) and len(layers) > 1
