@@ -243,16 +243,18 @@ def link_components(found: DataFrame) -> DataFrame:
     """``node``, ``component`` of linked documents, from ``node``, ``n``, ``signatures``, ``tokens``."""
     sets = found.where(F.size("signatures") > 0).select("node", "n", "tokens")
     postings = staged(
-        found.select("node", "n", F.explode(F.array_distinct("signatures")).alias("sign")), "signatures"
+        found.select("node", "n", "own", F.explode(F.array_distinct("signatures")).alias("sign")), "signatures"
     )
     # Signatures of one document only are dropped at once.
     live = postings.withColumn("comp", F.col("node"))
-    links = None
+    joined = None
     for centre in range(CENTRES + 1):
+        # First the document with the fewest tokens of its own: the least changed copy. Then any one.
+        order = F.struct(F.col("own") if centre == 0 else F.lit(0), F.xxhash64(F.lit(centre), "node"))
         spread = live.groupBy("sign").agg(
             F.min("comp").alias("_least"),
             F.max("comp").alias("_most"),
-            F.min_by(F.struct("node", "n", "comp"), F.xxhash64(F.lit(centre), "node")).alias("_centre"),
+            F.min_by(F.struct("node", "n", "comp"), order).alias("_centre"),
         )
         open_signs = spread.where("_least <> _most").select("sign", "_centre")
         live = staged(live.join(open_signs, "sign"), "open-signatures")
@@ -265,7 +267,7 @@ def link_components(found: DataFrame) -> DataFrame:
             # Everyone of a component against everyone of the others, but for pairs that differ in too
             # many tokens: those either has alone, and those their sketches show.
             words = [F.col("sketch")[i].alias(f"_w{i}") for i in range(SKETCH)]
-            sketches = found.where(F.size("signatures") > 0).select("node", "own", *words)
+            sketches = found.where(F.size("signatures") > 0).select("node", *words)
             mine = live.join(sketches, "node").withColumnsRenamed({"node": "a", "n": "_na"})
             renamed = {c: f"_b{c}" for c in ["comp", "own", *[f"_w{i}" for i in range(SKETCH)]]}
             other = mine.drop("_centre").withColumnsRenamed({"a": "b", "_na": "_nb", **renamed})
@@ -276,8 +278,10 @@ def link_components(found: DataFrame) -> DataFrame:
             pairs = mine.join(other, "sign").where((F.col("comp") < F.col("_bcomp")) & near).select("a", "_na", "b", "_nb")
         live = live.drop("_centre")
         more = staged(verified(_sized(pairs), sets), "verified")
-        links = more if links is None else links.unionByName(more)
-        joined = components(links)
+        # The stars so far stand for all links so far.
+        if joined is not None:
+            more = more.unionByName(joined.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        joined = components(more)
         live = (
             live.drop("comp")
             .join(joined, "node", "left")
