@@ -4,7 +4,7 @@ Vectors of one label (and length) are dealt to shards by hash; equal vectors are
 weight. Every shard's graph is built once. Every shard's points query every shard of their label,
 each pair of shards in one task: beams widen for queries whose beam is full of links, and for all until
 an audit of evenly spaced queries against all points finds at least ``RECALL`` of their links. Queries
-whose beam would be a quarter of the shard are compared with all its points. Links are verified by
+whose widened beam would cost more than all the shard's points are compared with all of them. Links are verified by
 cosine in double precision. Tasks give per-point sums and one link per point to its component.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and rows with a
@@ -31,6 +31,8 @@ AUDIT = 256
 # Float error of the search; candidates this far below the threshold are verified too.
 MARGIN = 1e-3
 BLOCK = 512
+# A widened beam costs about as much as a comparison with this many times as many points.
+WIDE = 32
 GROUP = ["label", "dim"]
 
 
@@ -121,10 +123,11 @@ class ShardPair:
         return a[sure], b[sure]
 
     def _search(self, rows: np.ndarray, beam: int):
-        """Links of the queries; beams full of links widen up to a quarter of the points."""
+        """Links of the queries; beams full of links widen while that is cheaper than all points."""
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        narrow = beam
         while len(rows):
-            if 4 * beam >= len(self.p):
+            if beam * (WIDE if beam > narrow else 4) >= len(self.p):
                 self.whole[rows] = True
                 break
             full = []
