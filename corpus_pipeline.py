@@ -41,9 +41,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the lines that many sources share."""
+    """Every document, without the lines that many sources and texts share; one of nothing else is empty."""
     prepare(spark)
-    return _with_length(line_dedup.line_dedup(docs), docs.columns)
+    return _with_length(line_dedup.line_dedup(docs, everywhere=True), docs.columns)
 
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
