@@ -8,17 +8,26 @@ Defined cases: text that is null or has no letter gets ``und`` with score 0, as
 when nothing was learned; a null language trains nothing; equal scores go to the language that sorts
 first by code point; texts of any length are scored whole, in slices; an empty table gives an empty
 result. Columns other than id, text and language are ignored, whatever their names.
+
+The posterior compares the learned languages with each other only. Whether a text is in any of them
+is told by its fit: the mean log-probability, in the predicted language, of its trigrams of letters.
+``bands`` has the fits of all training texts, each with its own n-grams left out; ``judged`` marks
+texts far below them, or nearer to random n-grams than to them. A text without such a trigram has no
+fit.
 """
 
 from __future__ import annotations
 
+import math
+import unicodedata
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from auditlake.llm.common import boxed, mix, unboxed
 
@@ -29,6 +38,10 @@ SMOOTHING = 0.5
 # Characters worked on at once.
 SLICE_CHARS = 1 << 18
 UNDETERMINED = "und"
+# Fits more than so many deviations below the mean are out; texts that are half in another language stay.
+WIDTH = 12
+# With fewer training texts their deviation says nothing.
+BAND_DOCS = 30
 
 
 @dataclass(frozen=True)
@@ -36,6 +49,7 @@ class Model:
     langs: list[str]
     log_prior: np.ndarray
     log_prob: np.ndarray  # buckets x languages
+    totals: np.ndarray  # smoothed n-grams per language
 
     @property
     def buckets(self) -> int:
@@ -61,6 +75,29 @@ def features(text: str, buckets: int):
         yield np.concatenate(found).astype(np.int64)
 
 
+@lru_cache(1)
+def _kinds() -> np.ndarray:
+    """Per code point: 1 for letters and marks, 2 for white space, else 0."""
+    kinds = np.zeros(0x110000, np.uint8)
+    for code in range(len(kinds)):
+        char = chr(code)
+        kinds[code] = 1 if unicodedata.category(char)[0] in "LM" else 2 * char.isspace()
+    return kinds
+
+
+def letter_trigrams(text: str, buckets: int):
+    """Bucket numbers, as in ``features``, of the trigrams of letters and white space, in slices."""
+    codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    prime = np.uint64(0x100000001B3)
+    for begin in range(0, len(codes) - 2, SLICE_CHARS):
+        part = codes[begin : begin + SLICE_CHARS + 2]
+        kind, part = _kinds()[part], part.astype(np.uint64)
+        a, b, c = kind[:-2], kind[1:-1], kind[2:]
+        pure = (a > 0) & (b > 0) & (c > 0) & ((a == 1) | (b == 1) | (c == 1))
+        rolling = (part[:-2][pure] * prime + part[1:-1][pure]) * prime + part[2:][pure]
+        yield (mix(rolling + np.uint64(3)) % np.uint64(buckets)).astype(np.int64)
+
+
 def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
@@ -128,9 +165,10 @@ def train(
     grams = np.zeros((fitting, len(langs)))
     place = {lang: i for i, lang in enumerate(langs)}
     grams[folded["bucket"].to_numpy(int), folded["lang"].map(place).to_numpy(int)] = folded["n"]
-    log_prob = np.log(grams + SMOOTHING) - np.log(grams.sum(0) + SMOOTHING * fitting)
+    totals = grams.sum(0) + SMOOTHING * fitting
+    log_prob = np.log(grams + SMOOTHING) - np.log(totals)
     docs = np.array([n for _, n in per_lang], float)
-    return Model(langs, np.log(docs / docs.sum()) if len(docs) else docs, log_prob.astype(np.float32))
+    return Model(langs, np.log(docs / docs.sum()) if len(docs) else docs, log_prob.astype(np.float32), totals)
 
 
 def score_text(model: Model, text: str | None) -> tuple[str, float]:
@@ -166,6 +204,97 @@ def labelled(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     return scored.select(*unboxed(docs.columns, {"lang_pred": F.col("lang_pred"), "score": F.col("score")}))
 
 
+def fit_text(model: Model, text: str, lang: str, trained: bool) -> tuple[int, float, float]:
+    """Number, mean and variance of the log-probabilities of a text's trigrams of letters.
+
+    The n-grams of a text that was trained on as ``lang`` are left out of the model."""
+    place = model.langs.index(lang)
+    total = model.totals[place]
+    if trained:
+        own = np.zeros(model.buckets, np.int64)
+        for part in features(text, model.buckets):
+            own += np.bincount(part, minlength=model.buckets)
+        rest = math.log(total - own.sum())
+    count, first, second = 0, 0.0, 0.0
+    for part in letter_trigrams(text, model.buckets):
+        values = model.log_prob[part, place].astype(np.float64)
+        if trained:
+            values = np.log(np.maximum(np.exp(values) * total - own[part], SMOOTHING)) - rest
+        count, first, second = count + len(values), first + values.sum(), second + (values**2).sum()
+    mean = first / count if count else -math.inf
+    return count, mean, max(second / count - mean**2, 0.0) if count else 0.0
+
+
+@dataclass(frozen=True)
+class Band:
+    """Fits of the training texts of one language, and the fit of random n-grams."""
+
+    docs: int
+    mean: float
+    deviation: float
+    within: float  # variance of the log-probabilities in a text
+    random: float
+
+    def holds(self, count: int, fit: float) -> bool:
+        if not count or fit < (self.mean + self.random) / 2:
+            return False
+        # Trigrams overlap, so about a third of them are independent.
+        deviation = math.sqrt(self.deviation**2 + 3 * self.within / count)
+        return self.docs < BAND_DOCS or fit >= self.mean - WIDTH * deviation
+
+
+def bands(labelled: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang") -> dict[str, Band]:
+    """The band of every language, over every row that the model was trained on."""
+    given = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(
+        F.col("text").isNotNull() & F.col("lang").isNotNull()
+    )
+    shared = labelled.sparkSession.sparkContext.broadcast(model)  # at most MODEL_BYTES
+
+    def run(batches):
+        for batch in batches:
+            langs = batch.column("lang").to_pylist()
+            found = [fit_text(shared.value, t, lang, True) for t, lang in zip(batch.column("text").to_pylist(), langs)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(langs, pa.string()), *[pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.int64(), pa.float64(), pa.float64()))]],
+                ["lang", "n", "fit", "within"],
+            )
+
+    fits = given.mapInArrow(run, "lang string, n bigint, fit double, within double").where("n > 0")
+    rows = fits.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("docs"), F.avg("fit").alias("mean"), F.stddev_pop("fit").alias("deviation"), F.avg("within").alias("within")
+    ).collect()  # one row per language
+    random = dict(zip(model.langs, model.log_prob.mean(0, dtype=np.float64).tolist()))
+    return {r["lang"]: Band(r["docs"], r["mean"], r["deviation"], r["within"], random[r["lang"]]) for r in rows}
+
+
+def judged(docs: DataFrame, model: Model, limits: dict[str, Band], trained, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The documents with ``lang_pred``, ``score`` and ``fits``, which replace columns of those names.
+
+    ``fits`` is true where the fit is within the band of ``lang_pred``. ``trained`` is a condition: true
+    for rows that the model was trained on, with their ``lang_col``."""
+    known = F.when(trained, F.col(f"`{lang_col}`").cast("string"))
+    given = docs.select(boxed(docs), F.col(f"`{text_col}`").alias("_text"), known.alias("_known"))
+    shared = docs.sparkSession.sparkContext.broadcast((model, limits))
+    told = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("fits", BooleanType())]
+
+    def judge(text, lang):
+        learned, within = shared.value
+        best, score = score_text(learned, text)
+        if best == UNDETERMINED or best not in within:
+            return best, score, False
+        count, fit, _ = fit_text(learned, text, best, best == lang)
+        return best, score, within[best].holds(count, fit)
+
+    def run(batches):
+        for batch in batches:
+            found = [judge(t, k) for t, k in zip(batch.column("_text").to_pylist(), batch.column("_known").to_pylist())]
+            columns = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), *columns], ["_row", "lang_pred", "score", "fits"])
+
+    scored = given.mapInArrow(run, StructType([given.schema["_row"], *told]))
+    return scored.select(*unboxed(docs.columns, {f.name: F.col(f.name) for f in told}))
+
+
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: ``doc_id``, ``lang_pred``, ``score``."""
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))

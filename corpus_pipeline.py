@@ -32,10 +32,13 @@ def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told, with ``lang`` set to it.
 
-    Texts that are null, have no letter or score under MIN_SCORE go."""
+    Texts that are null, have no letter or score under MIN_SCORE go, and those in none of the learned
+    languages: their trigrams fit the predicted one far worse than its training texts do."""
     prepare(spark)
-    model = langid.train(docs.where(~langid.held_out()))
-    told = langid.labelled(docs, model).where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_SCORE))
+    trained = ~langid.held_out()
+    model = langid.train(docs.where(trained))
+    judged = langid.judged(docs, model, langid.bands(docs.where(trained), model), trained)
+    told = judged.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_SCORE) & F.col("fits"))
     kind = docs.schema["lang"].dataType
     return told.withColumn("lang", F.col("lang_pred").cast(kind)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
