@@ -3,7 +3,8 @@
 Vectors of one label (and length) are dealt to shards by hash; equal vectors are one point with a
 weight. Every shard's graph is built once. Every shard's points query every shard of their label,
 each pair of shards in one task: beams widen for queries whose beam is full of links, and for all until
-an audit of evenly spaced queries against all points finds at least ``RECALL`` of their links. Queries
+an audit of evenly spaced queries against all points finds at least ``RECALL`` of their links. The audit
+goes on until it has seen ``AUDIT_LINKS`` links or every query. Queries
 whose widened beam would cost more than all the shard's points are compared with all of them. Links are verified by
 cosine in double precision. Tasks give per-point sums and one link per point to its component.
 
@@ -28,6 +29,8 @@ RECALL = 0.995
 SHARD_ROWS = 16_384
 BEAM = 48
 AUDIT = 256
+# An audit with fewer true links goes on to further queries, to all of them if need be.
+AUDIT_LINKS = 200
 # Float error of the search; candidates this far below the threshold are verified too.
 MARGIN = 1e-3
 BLOCK = 512
@@ -106,6 +109,7 @@ class ShardPair:
         total = len(queries) + (0 if same else len(points))
         self.links, self.root = np.zeros(total, np.int64), np.arange(total)
         self.whole = np.zeros(len(queries), bool)  # queries compared with all points
+        self.true = np.full(len(queries), -1)  # links of audited queries
 
     def _exact(self, rows: np.ndarray) -> np.ndarray:
         near = self.q[rows] @ self.p.T >= self.cosine
@@ -140,22 +144,29 @@ class ShardPair:
             rows, beam = np.concatenate(full), 2 * beam
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
-    def _recall(self, audit, a, b) -> float:
-        audit = audit[~self.whole[audit]]
+    def _recall(self, order, a) -> float:
+        order = order[~self.whole[order]]
+        got = np.bincount(a, minlength=len(self.q))
         true = found = 0
-        for begin in range(0, len(audit), 64):
-            rows = audit[begin : begin + 64]
-            true += int(self._exact(rows).sum())
-            found += int(np.isin(a, rows).sum())
+        for begin in range(0, len(order), 64):
+            if begin >= AUDIT and true >= AUDIT_LINKS:
+                break
+            rows = order[begin : begin + 64]
+            new = rows[self.true[rows] < 0]
+            if len(new):
+                self.true[new] = self._exact(new).sum(1)
+            true += int(self.true[rows].sum())
+            found += int(got[rows].sum())
         return found / true if true else 1.0
 
     def run(self):
         rows, beam = np.arange(len(self.q)), BEAM
-        audit = np.unique(np.linspace(0, len(rows) - 1, min(AUDIT, len(rows))).astype(int))
+        first = np.unique(np.linspace(0, len(rows) - 1, min(AUDIT, len(rows))).astype(int))
+        order = np.concatenate([first, np.setdiff1d(rows, first)])
         while True:
             self.whole[:] = False
             a, b = self._search(rows, beam)
-            if self._recall(audit, a, b) >= RECALL:
+            if self._recall(order, a) >= RECALL:
                 break
             beam *= 2
         # Pairs between queries that were not compared with all; found from either side.
