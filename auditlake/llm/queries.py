@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import jaccard, langid, line_dedup, mixing, packing, quality, token_counts, token_files, vectors, warc
-from auditlake.llm.common import table
+from auditlake.llm import grace, hard_negatives, jaccard, langid, line_dedup, mixing, packing, periodic, quality, token_counts, token_files, vectors, warc
+from auditlake.llm.common import WORD, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 # Vocabulary files are parameters of the operators; these are the queries'.
@@ -209,6 +209,86 @@ FROM judged LEFT JOIN rates USING (source)
 """
 
 
+@query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row that stays for every document, equal without white space."""
+    return grace.groups(table(spark, sf_dir, "documents")).drop("row_id")
+
+
+ORACLES["op11_exact_dedup"] = r"""
+WITH given AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body
+  FROM documents)
+SELECT doc_id, first(doc_id) OVER (PARTITION BY body ORDER BY chars DESC, doc_id) AS keep_id,
+       count(*) OVER (PARTITION BY body) AS group_size,
+       row_number() OVER (PARTITION BY body ORDER BY chars DESC, doc_id) = 1 AS kept, sha256(body) AS text_sha256
+FROM given
+"""
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth embedding, below each of its five best positives."""
+    given = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(given.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM usable a JOIN usable b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+       row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT same
+ AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """Every tenth document by the checksum of its id repeats a stretch of words from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = docs.select(
+        "doc_id", "text", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("w"), F.floor(h / 10).alias("g")
+    )
+    sized = words.withColumn("n", F.size("w").cast("bigint")).withColumn("n", F.when(F.col("n") > 0, F.col("n")))
+    placed = sized.withColumn("a", F.col("g") % F.col("n"))
+    placed = placed.withColumn("p", F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)) + 1)
+    at = lambda j: (F.col("a") + j % F.col("p")).cast("int")
+    cycle = F.transform(F.sequence(F.lit(0), F.col("n") - F.col("a") - 1), lambda j: F.get("w", at(j)))
+    repeated = F.concat_ws(" ", F.concat(F.slice("w", 1, F.col("a").cast("int")), cycle))
+    return placed.select("doc_id", F.when(F.col("n").isNotNull(), repeated).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words of every document, and digests of them and of the words they leave."""
+    found = periodic.periodic_runs(planted_periods(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    higher = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    line = lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))
+    return found.withColumn("best", F.reduce("runs", none, lambda best, r: F.when(higher(best, r), r).otherwise(best))).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform("runs", lambda r: F.concat(line(r), F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""

@@ -42,7 +42,7 @@ def test_query_equals_its_sql(session, name):
 
 
 def test_every_operator_has_a_query():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 11)) and "pipeline" in QUERIES
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 14)) and "pipeline" in QUERIES
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "jaccard_join", "source_mix", "packing"]
 
 
