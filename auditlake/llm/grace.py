@@ -235,6 +235,8 @@ def groups(
     number that is different in every row; without it rows are numbered as they are read. ``hash_bits``
     cuts the hashes of the tables, for tests of the comparison.
     """
+    if fan < 2:
+        raise ValueError("a cell takes two records or more")
     spark = docs.sparkSession
     row = F.col(row_col).cast("bigint") if row_col else F.lit(None).cast("bigint")
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row.alias("row"))

