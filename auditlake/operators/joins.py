@@ -81,7 +81,8 @@ def pit_join(
 ) -> DataFrame:
     """Value of the version valid at the fact's time, on the half-open [valid_from, valid_to).
 
-    The versions of a key must not overlap, so only the latest one that has begun can be valid.
+    The versions of a key must not overlap, so only the latest one that has begun can be valid;
+    ``pit_join_overlapping`` is for versions that may.
     """
     joined = asof_join(
         facts, versions, key, ts, version_key, "valid_from", [value, "valid_to"], "_hit", seconds
@@ -92,6 +93,107 @@ def pit_join(
     return joined.withColumn(out, found).drop("_hit")
 
 
+GRID = 8  # cells of a level that one of the next level covers
+
+
+def _at_level(level: int):
+    return lambda cell: F.struct(F.lit(level).alias("level"), cell.alias("cell"))
+
+
+def _cells(low, high, levels: int):
+    """Cells of a time grid that together cover slices low .. high - 1: (level, cell) structs, few for long spans."""
+    parts = []
+    for level in range(levels):
+        unit = GRID**level
+        first, last = F.ceil(low / unit), F.floor(high / unit)
+        spans = [(first, last)]
+        if level + 1 < levels:
+            # What whole cells of the next level cover is left to it.
+            inner, outer = F.ceil(low / (unit * GRID)) * GRID, F.floor(high / (unit * GRID)) * GRID
+            some = inner < outer
+            spans = [(first, F.when(some, inner).otherwise(last)), (F.when(some, outer).otherwise(last), last)]
+        for begin, end in spans:
+            cells = F.when(begin < end, F.sequence(begin, end - 1)).otherwise(F.array().cast("array<bigint>"))
+            parts.append(F.transform(cells, _at_level(level)))
+    return F.flatten(F.array(*parts))
+
+
+def pit_join_overlapping(
+    facts: DataFrame,
+    versions: DataFrame,
+    key: str,
+    ts: str,
+    out: str,
+    version_key: str = "customer_id",
+    value: str = "customer_key",
+    start: str = "valid_from",
+    end: str = "valid_to",
+    prefer: list[str] | None = None,
+    unknown: int | None = K.UNKNOWN_KEY,
+    seconds: int = SLICE_SECONDS,
+) -> DataFrame:
+    """Value of the best version valid at the fact's time; the versions of a key may overlap as they like.
+
+    Of several valid versions the one with the highest ``prefer`` (latest start, then value) is taken. A NULL
+    end is open; facts and versions without a key or time find nothing.
+
+    A version fills whole cells of a time grid, small at its ends and larger towards its middle, and parts of
+    the time slices of its first and last moment. In whole cells only the best version of a key can win, so
+    these are reduced to one row a cell before they meet the facts, one lookup per level. Only versions that
+    begin or end within a slice are compared with its facts one by one. A key's rows spread over its cells.
+    """
+    order = prefer or [start, value]
+    points = facts.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
+        F.col(key).alias("_key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("_at")
+    )
+    points = points.distinct()
+    width = seconds * 1_000_000
+    # Versions matter within the facts' time only.
+    times = points.agg(F.min("_at").alias("low"), F.max("_at").alias("high")).first()
+    floor, ceiling = (times["low"] or 0), (times["high"] or 0) + 1
+    first_slice, slices = floor // width, ceiling // width - floor // width + 1
+    levels = 1
+    while GRID**levels < slices:
+        levels += 1
+
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    known = versions.where(F.col(version_key).isNotNull() & F.col(start).isNotNull()).select(
+        F.col(version_key).alias("_key"),
+        F.greatest(micros(start), F.lit(first_slice * width)).alias("_from"),
+        F.least(F.coalesce(micros(end), F.lit(ceiling)), F.lit((first_slice + slices) * width)).alias("_to"),
+        F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.col(value).alias("value")).alias("_best"),
+    )
+    known = known.where(F.col("_from") < F.col("_to"))
+    slice_of = lambda c: F.floor(c / width) - first_slice
+    low, high = F.ceil(F.col("_from") / width) - first_slice, slice_of(F.col("_to"))
+    whole = (
+        known.select("_key", F.explode(F.when(low < high, _cells(low, high, levels))).alias("c"), "_best")
+        .groupBy("_key", "c.level", "c.cell")
+        .agg(F.max("_best").alias("_best"))
+    )
+    ends = F.array_distinct(F.array(slice_of(F.col("_from")), slice_of(F.col("_to"))))
+    partly = F.filter(ends, lambda s: (s < low) | (s >= high))
+    parts = known.select("_key", F.lit(-1).alias("level"), F.explode(partly).alias("cell"), "_best", "_from", "_to")
+    cells = whole.unionByName(parts, allowMissingColumns=True)
+
+    mine = slice_of(F.col("_at"))
+    asked = F.array(
+        F.struct(F.lit(-1).alias("level"), mine.alias("cell")),
+        *[F.struct(F.lit(n).alias("level"), F.floor(mine / GRID**n).alias("cell")) for n in range(levels)],
+    )
+    looked = points.select("_key", "_at", F.explode(asked).alias("a")).select("_key", "_at", "a.level", "a.cell")
+    inside = F.col("_from").isNull() | ((F.col("_at") >= F.col("_from")) & (F.col("_at") < F.col("_to")))
+    answers = (
+        looked.join(cells, ["_key", "level", "cell"])
+        .where(inside)
+        .groupBy(F.col("_key").alias("_a_key"), F.col("_at").alias("_a_at"))
+        .agg(F.max("_best").alias("_best"))
+    )
+    match = (F.col(key) == F.col("_a_key")) & (F.unix_micros(F.col(ts).cast("timestamp")) == F.col("_a_at"))
+    found = F.col("_best.value") if unknown is None else F.coalesce("_best.value", F.lit(unknown))
+    return facts.join(answers, match, "left").withColumn(out, found).drop("_a_key", "_a_at", "_best")
+
+
 def asof_recompute(
     facts: DataFrame,
     events: DataFrame,

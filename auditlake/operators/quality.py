@@ -89,6 +89,28 @@ def expect(
     return drop_violations(df, rules), metrics
 
 
+METRIC_DDL = "update_id STRING, dataset STRING, expectation STRING, passed_records BIGINT, failed_records BIGINT"
+
+
+def counted_write(df: DataFrame, rules: Sequence[Expectation], dataset: str, update_id: str, path: str) -> list[tuple]:
+    """Write the rows that no DROP rule refuses and count all rules in the same pass; one tuple per rule."""
+    seen = Observation()
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *_failed_counts(rules))
+    drop_violations(observed, rules).write.mode("overwrite").parquet(path)
+    counts = seen.get
+    return [
+        (update_id, dataset, r.name, counts["rows"] - counts[f"failed_{i}"], counts[f"failed_{i}"])
+        for i, r in enumerate(rules)
+    ]
+
+
+def refuse_broken(rules: Sequence[Expectation], dataset: str, metrics: list[tuple]) -> None:
+    """Raise if a FAIL rule has violations."""
+    broken = {r.name: n[4] for r, n in zip(rules, metrics) if r.action == FAIL and n[4]}
+    if broken:
+        raise ExpectationFailed(dataset, broken)
+
+
 def audited_write(
     df: DataFrame, rules: Sequence[Expectation], dataset: str, update_id: str, staging: str, target: str
 ) -> DataFrame:
@@ -97,25 +119,15 @@ def audited_write(
     ``target`` then names that folder, so nothing is written twice and a failure leaves the old version
     in place. ``read_audited`` reads what was published last. Returns the metrics."""
     spark = df.sparkSession
-    seen = Observation()
-    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *_failed_counts(rules))
     version = f"{staging.rstrip('/')}/{dataset}-{update_id}-{uuid.uuid4().hex}"
-    drop_violations(observed, rules).write.mode("overwrite").parquet(version)
-    counts = seen.get
-    rows = [
-        (update_id, dataset, r.name, counts["rows"] - counts[f"failed_{i}"], counts[f"failed_{i}"])
-        for i, r in enumerate(rules)
-    ]
-    broken = {r.name: n[4] for r, n in zip(rules, rows) if r.action == FAIL and n[4]}
-    if broken:
-        raise ExpectationFailed(dataset, broken)
+    metrics = counted_write(df, rules, dataset, update_id, version)
+    refuse_broken(rules, dataset, metrics)
     pointer = spark.range(1).select(
         F.lit(dataset).alias("dataset"), F.lit(update_id).alias("update_id"), F.lit(version).alias("version"),
         F.current_timestamp().alias("published_at"),
     )
     pointer.coalesce(1).write.mode("append").parquet(target)
-    ddl = "update_id STRING, dataset STRING, expectation STRING, passed_records BIGINT, failed_records BIGINT"
-    return spark.createDataFrame(rows, ddl)
+    return spark.createDataFrame(metrics, METRIC_DDL)
 
 
 def read_audited(spark, target: str, dataset: str) -> DataFrame:

@@ -409,6 +409,15 @@ SELECT event_id, {a('failed_checks')}, event_ts_raw, txn_type, CAST(amount AS DO
     CAST(is_fraud AS VARCHAR) AS is_fraud, CAST(12 AS BIGINT) AS n_fields FROM feed_tagged WHERE len(failed_checks) > 0"""
 QUERIES["expectations_drop"] = f"""
 SELECT event_id, {n('amount')}, {t('_ingested_at')} FROM raw_feed WHERE amount > 0 AND customer_id IS NOT NULL"""
+QUERIES["expectations_stream"] = f"""
+WITH kept AS (SELECT count(*) AS published_rows, {n('sum(amount)', 'published_amount')} FROM raw_feed WHERE amount > 0 AND customer_id IS NOT NULL),
+told AS (SELECT count(*) AS n, count(*) FILTER (coalesce(amount, 0) <= 0) AS a, count(*) FILTER (customer_id IS NULL) AS c,
+    count(*) FILTER (is_fraud IS NULL) AS f FROM raw_feed)
+SELECT v.expectation, n - v.failed AS passed_records, v.failed AS failed_records, TRUE AS several_batches, published_rows, published_amount
+FROM told CROSS JOIN LATERAL (VALUES ('positive_amount', a), ('known_customer', c), ('has_label', f), ('named_source', 0)) AS v(expectation, failed)
+CROSS JOIN kept"""
+QUERIES["unlisted_fields"] = """
+SELECT 'channel' AS name, count(*) AS row_count FROM events WHERE day(ts) >= 16 AND event_type IS NOT NULL HAVING count(*) > 0"""
 QUERIES["check_results"] = f"""
 SELECT {t('CAST(feed_date AS TIMESTAMP)', 'run_at')}, 'run-1' AS run_id, suite, check_name, CAST(expected AS VARCHAR) AS expected,
     CAST(actual AS VARCHAR) AS actual, passed FROM day_checks"""
@@ -447,7 +456,7 @@ QUERIES["fingerprint"] = """
 SELECT count(*) AS row_count, CAST(sum(CAST(('0x' || left(sha256(concat_ws('|', '=' || step, '=' || type, '=' || amount, '=' || nameOrig,
     '=' || nameDest, '=' || oldbalanceOrg, '=' || isFraud, '~')), 15)) AS HUGEINT)) AS VARCHAR) AS content_hash FROM raw_history"""
 LINE_TIES = "l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC, l_discount DESC, l_tax DESC"
-for name in ("scd1_lineitem", "scd1_stream"):
+for name in ("scd1_lineitem", "scd1_stream", "scd1_maintained"):
     QUERIES[name] = f"""
 SELECT l_orderkey, l_partkey, l_suppkey, {i('l_linenumber')}, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, {t('l_shipdate')}
 FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, {LINE_TIES}) = 1"""
@@ -456,7 +465,10 @@ SELECT CASE WHEN len(failed_checks) = 0 THEN 'clean' ELSE 'quarantine' END AS si
     count(*) AS row_count, {n('sum(amount)', 'amount')}
 FROM (SELECT * FROM feed_tagged UNION ALL BY NAME SELECT * FROM history_mapped) GROUP BY ALL"""
 SCD2 = f"customer_id, segment, region, entity_type, {t('start_at')}, {t('end_at')}"
-QUERIES["scd2_orders_profile"] = f"SELECT {SCD2} FROM order_versions"
+for name in ("scd2_orders_profile", "scd2_maintained"):
+    QUERIES[name] = f"SELECT {SCD2} FROM order_versions"
+QUERIES["scd1_maintained_batches"] = """
+SELECT count(DISTINCT (l_orderkey, l_linenumber)) AS row_count, TRUE AS several_batches, TRUE AS left_files_alone FROM lineitem"""
 QUERIES["scd2_untracked"] = f"SELECT {SCD2} FROM order_segments"
 QUERIES["scd2_stream"] = f"SELECT {SCD2} FROM signup_versions"
 QUERIES["dim_customer"] = f"""
@@ -468,6 +480,14 @@ SELECT l.l_orderkey, {i('l.l_linenumber', 'l_linenumber')}, l.l_partkey, {t('l.l
 FROM lineitem AS l JOIN orders AS o ON l.l_orderkey = o.o_orderkey
 LEFT JOIN order_versions AS v ON o.o_custkey = v.customer_id AND l.l_shipdate >= v.start_at AND l.l_shipdate < coalesce(v.end_at, {OPEN})"""
 
+QUERIES["pit_join_overlapping"] = f"""
+WITH terms AS (SELECT o_custkey, o_orderkey AS term, o_orderdate AS valid_from,
+    CASE WHEN o_orderkey % 50 <> 7 THEN o_orderdate + to_days(CAST(o_orderkey % 500 AS INTEGER)) END AS valid_to FROM orders)
+SELECT l.l_orderkey, {i('l.l_linenumber', 'l_linenumber')}, l.l_partkey, {t('l.l_shipdate', 'l_shipdate')}, l.l_extendedprice, o.o_custkey,
+    coalesce((SELECT arg_max(term, (valid_from, term)) FROM terms AS v
+        WHERE v.o_custkey = o.o_custkey AND l.l_shipdate >= v.valid_from AND (v.valid_to IS NULL OR l.l_shipdate < v.valid_to)), -1) AS term
+FROM lineitem AS l JOIN orders AS o ON l.l_orderkey = o.o_orderkey"""
+
 
 def signup_pit(key: str, table: str, alias: str) -> str:
     return (

@@ -28,8 +28,8 @@ from auditlake.operators.rules import DATASETS, expectations
 from auditlake.plans import bindings as B
 from auditlake.plans.world import FREQUENT, HUB_SENDERS, HUB_TRANSFERS, World
 from auditlake.session import prepare, scratch_dir, stage
-from auditlake.sources import files, reference, sinks
-from auditlake.streaming import runs
+from auditlake.sources import files, ranged, reference, sinks
+from auditlake.streaming import gated, maintained, runs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -406,11 +406,26 @@ def scd1_lineitem(spark, sf):
     return cdc.scd1(line, LINE_KEYS, "l_shipdate", ["l_linestatus"], LINE_TIES)
 
 
-def _stream(spark, df: DataFrame, label: str, bytes_per_trigger: int = 8 << 30) -> DataFrame:
-    """A landed copy of a table as a stream, in the table's own partitions."""
+MICRO_BATCHES = 4
+
+
+def _bytes_per_trigger(spark, path: str, glob: str = "part-*") -> int:
+    """A quarter of what has landed, so that every scale gives several micro-batches."""
+    sizes = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    return max(1, (sizes.agg(F.sum("length")).first()[0] or 0) // MICRO_BATCHES)
+
+
+def _landed(spark, df: DataFrame, label: str, by: tuple[str, ...] = ()) -> str:
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
-    return spark.readStream.schema(df.schema).option("maxBytesPerTrigger", bytes_per_trigger).parquet(path)
+    n = max(MICRO_BATCHES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    (df.repartitionByRange(n, *by) if by else df.repartition(n)).write.parquet(path)
+    return path
+
+
+def _stream(spark, df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """A landed copy of a table as a stream of several micro-batches."""
+    path = path or _landed(spark, df, label)
+    return spark.readStream.schema(df.schema).option("maxBytesPerTrigger", _bytes_per_trigger(spark, path)).parquet(path)
 
 
 @query
@@ -422,6 +437,38 @@ def scd1_stream(spark, sf):
     return runs.scd1_current(spark, target, line.schema, LINE_KEYS, "l_shipdate", ["l_linestatus"], LINE_TIES)
 
 
+def _kept_lines(spark, sf) -> str:
+    """Lines kept up by key: most arrive beside their neighbours, every sixteenth late and out of order."""
+    line = B.table(spark, sf, "lineitem")
+    late = F.xxhash64("l_orderkey", "l_linenumber", "l_partkey") % 16 == 0
+    path = _landed(spark, line.where(~late), "lineitem", by=("l_orderkey",))
+    line.where(late).coalesce(1).write.mode("append").parquet(path)
+    target = scratch_dir(spark, "kept-lines")
+    maintained.scd1_maintained(
+        _stream(spark, line, "lineitem", path), LINE_KEYS, "l_shipdate", target, scratch_dir(spark, "kept-checkpoint"),
+        LINE_TIES, rows_per_file=max(1, line.count() // 24),
+    )
+    return target
+
+
+@query
+def scd1_maintained(spark, sf):
+    schema = B.table(spark, sf, "lineitem").schema
+    return maintained.scd1_maintained_current(spark, _kept_lines(spark, sf), schema, ["l_linestatus"])
+
+
+@query
+def scd1_maintained_batches(spark, sf):
+    """Rows that keeping the lines up has left, and whether most batches left most files alone."""
+    batches = ranged.states(spark, _kept_lines(spark, sf))
+    spared = (F.col("files_stored") > 0) & (2 * F.col("files_rewritten") < F.col("files_stored"))
+    return batches.agg(
+        F.max_by("rows_now", "batch_id").alias("row_count"),
+        (F.count(F.lit(1)) >= 4).alias("several_batches"),
+        (F.count_if(spared) >= 3).alias("left_files_alone"),
+    )
+
+
 @query
 def split_stream(spark, sf):
     """Two flows in, two sinks out; the result counts both sinks."""
@@ -477,6 +524,18 @@ def scd2_stream(spark, sf):
     return history.drop("event_id")
 
 
+@query
+def scd2_maintained(spark, sf):
+    """Order profiles as versions that every micro-batch cuts again for its own customers."""
+    changes = B.orders_profile(spark, sf)
+    target = scratch_dir(spark, "kept-history")
+    maintained.scd2_maintained(
+        _stream(spark, changes, "orders-profile"), ["customer_id"], "changed_at", ORDER_TRACK, target,
+        scratch_dir(spark, "kept-checkpoint"), ["o_orderkey"],
+    )
+    return maintained.scd2_maintained_current(spark, target, changes.schema, "changed_at", ["o_orderkey"])
+
+
 @query
 def dim_customer(spark, sf):
     return World(spark, sf).dim_customer.drop("customer_key")
@@ -506,12 +565,27 @@ def pit_join_lineitem(spark, sf):
 
 @query
 def pit_join_linear(spark, sf):
+    """The same by the form that allows versions to overlap."""
     facts = _shipped(spark, sf)
-    return joins.pit_join(
+    return joins.pit_join_overlapping(
         facts, _orders_history(spark, sf), "o_custkey", "l_shipdate", "version_from", value="valid_from", unknown=None
     )
 
 
+@query
+def pit_join_overlapping(spark, sf):
+    """Every order is a term of its customer, open or of some weeks; lines get the newest term they fall in."""
+    orders = B.table(spark, sf, "orders")
+    days = F.make_dt_interval(days=(F.col("o_orderkey") % 500).cast("int"))
+    terms = orders.select(
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").alias("valid_from"),
+        F.when(F.col("o_orderkey") % 50 != 7, F.col("o_orderdate") + days).alias("valid_to"),
+        F.col("o_orderkey").alias("term"),
+    )
+    return joins.pit_join_overlapping(_shipped(spark, sf), terms, "o_custkey", "l_shipdate", "term", value="term", seconds=30 * 86_400)
+
+
 @query
 def pit_join_both_roles(spark, sf):
     """Sender and recipient versions of every event, -1 where there is none yet."""
@@ -804,15 +878,19 @@ def _line_texts(spark, sf):
     )
 
 
-def _land_csv(spark, sf) -> str:
+def _land_csv(spark, sf, parts: int | None = None) -> str:
+    """``parts`` deals the rows to so many files at least, for streams of several micro-batches."""
     path = scratch_dir(spark, "landing-csv")
-    _line_texts(spark, sf).write.option("header", True).csv(path)
+    texts = _line_texts(spark, sf)
+    if parts:
+        texts = texts.repartition(max(parts, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    texts.write.option("header", True).csv(path)
     return path
 
 
-def _contract(spark, path, streaming):
+def _contract(spark, path, streaming, **options):
     return files.read_contract(
-        spark, path, LINE_CONTRACT, streaming=streaming, timestamp_format=K.PROFILE_TS_FORMAT, tz="UTC"
+        spark, path, LINE_CONTRACT, streaming=streaming, timestamp_format=K.PROFILE_TS_FORMAT, tz="UTC", **options
     )
 
 
@@ -831,8 +909,9 @@ def read_contract(spark, sf):
 
 @query
 def read_contract_stream(spark, sf):
-    landing, target = _land_csv(spark, sf), scratch_dir(spark, "bronze")
-    runs.run_available(_contract(spark, landing, streaming=True), target, scratch_dir(spark, "bronze-checkpoint"))
+    landing, target = _land_csv(spark, sf, MICRO_BATCHES), scratch_dir(spark, "bronze")
+    per_trigger = _bytes_per_trigger(spark, landing)
+    runs.run_available(_contract(spark, landing, True, maxBytesPerTrigger=per_trigger), target, scratch_dir(spark, "bronze-checkpoint"))
     return _contract_report(spark.read.parquet(target))
 
 
@@ -862,14 +941,44 @@ def _evolved_report(df):
 
 @query
 def read_evolving(spark, sf):
-    return _evolved_report(files.read_evolving(spark, _land_json(spark, sf), FEED_HINTS, glob="*.txt"))
+    return _evolved_report(files.read_evolving(spark, _land_json(spark, sf), FEED_HINTS, "*.txt", ["channel"]))
 
 
 @query
 def read_evolving_stream(spark, sf):
     landing, target = _land_json(spark, sf), scratch_dir(spark, "evolving")
-    runs.ingest_evolving(spark, landing, FEED_HINTS, target, scratch_dir(spark, "evolving-checkpoint"), glob="*.txt")
-    return _evolved_report(runs.read_evolved(spark, target, FEED_HINTS))
+    per_trigger = _bytes_per_trigger(spark, landing, "*.txt")
+    checkpoint = scratch_dir(spark, "evolving-checkpoint")
+    runs.ingest_evolving(spark, landing, FEED_HINTS, target, checkpoint, glob="*.txt", maxBytesPerTrigger=per_trigger)
+    return _evolved_report(runs.read_evolved(spark, target, FEED_HINTS, ["channel"]))
+
+
+@query
+def unlisted_fields(spark, sf):
+    """Fields that the hints do not list, with the rows that have them."""
+    return files.unlisted_names(files.read_evolving(spark, _land_json(spark, sf), FEED_HINTS, "*.txt"))
+
+
+@query
+def expectations_stream(spark, sf):
+    """Rules counted and applied batch by batch: counts over all batches, and the rows that were published."""
+    rules = [
+        quality.Expectation("positive_amount", "amount > 0", quality.DROP),
+        quality.Expectation("known_customer", "customer_id IS NOT NULL", quality.DROP),
+        quality.Expectation("has_label", "is_fraud IS NOT NULL", quality.WARN),
+        quality.Expectation("named_source", "source_system IS NOT NULL", quality.FAIL),
+    ]
+    raw = B.raw_feed(spark, sf)
+    target = scratch_dir(spark, "gated")
+    gated.expect_stream(_stream(spark, raw, "feed"), rules, "feed", target, scratch_dir(spark, "gated-checkpoint"))
+    counted = gated.batch_metrics(spark, target).groupBy("expectation").agg(
+        F.sum("passed_records").alias("passed_records"),
+        F.sum("failed_records").alias("failed_records"),
+        (F.countDistinct("batch_id") >= 4).alias("several_batches"),
+    )
+    published = gated.read_published(spark, target, raw.schema)
+    kept = published.agg(F.count(F.lit(1)).alias("published_rows"), F.sum("amount").alias("published_amount"))
+    return counted.join(F.broadcast(kept))  # one row
 
 
 @query

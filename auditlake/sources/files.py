@@ -17,6 +17,7 @@ from pyspark.sql.types import (
 )
 
 RESCUE = "_rescued_data"
+UNLISTED = "_unlisted"
 
 
 def with_audit(df: DataFrame) -> DataFrame:
@@ -111,10 +112,12 @@ def read_contract(
 
 
 def read_lines(
-    spark: SparkSession, path: str, glob: str = "*.jsonl", streaming: bool = False, max_files: int | None = None
-) -> DataFrame:
+    spark: SparkSession, path: str, glob: str = "*.jsonl", streaming: bool = False, max_files: int | None = None,
+    **options: str,
+) -> DataFrame:
     """Text lines with audit columns: the schema-free first stage of an evolving JSON source."""
-    raw = _reader(spark, streaming, max_files).format("text").option("pathGlobFilter", glob).load(path)
+    reader = _reader(spark, streaming, max_files).format("text").option("pathGlobFilter", glob)
+    raw = reader.options(**options).load(path)
     return with_audit(raw)
 
 
@@ -132,36 +135,43 @@ def read_payloads(
     return with_audit(raw.select(F.col("value").alias("payload"), "_metadata")).drop("_metadata")
 
 
-def new_json_columns(lines: DataFrame, known: list[str], value: str = "value") -> list[str]:
-    """Top-level names in JSON lines that are not known yet: distinct names, not rows, are listed."""
-    names = lines.select(F.explode(F.json_object_keys(value)).alias("name")).distinct()
-    return sorted(r["name"] for r in names.where(~F.col("name").isin(known)).collect())
-
+def parse_json_lines(lines: DataFrame, hints: str, value: str = "value") -> DataFrame:
+    """JSON lines typed by the hints. Every line is parsed once; misfits are rescued.
 
-def parse_json_lines(lines: DataFrame, hints: str, extra: list[str], value: str = "value") -> DataFrame:
-    """JSON lines typed by the hints; columns beyond them are text. Misfits are rescued."""
+    Fields that the hints do not list stay in one column, ``_unlisted``, a map of their texts (objects as
+    JSON). So new fields never change the schema; ``with_unlisted`` makes columns of those asked for.
+    """
     fields = StructType.fromDDL(hints).fields
-    typed = F.from_json(value, hints)
-    raw = F.from_json(value, "MAP<STRING, STRING>")
-    staged = lines.withColumns({"_typed": typed, "_raw": raw})
-    misfits = {
-        f.name: F.when(F.col("_typed")[f.name].isNull(), F.col("_raw")[f.name]) for f in fields
-    }
+    raw = lines.withColumn("_raw", F.from_json(value, "MAP<STRING, STRING>"))
+    typed = {f.name: try_parse(F.col("_raw")[f.name], f, None, None) for f in fields}
+    wide = raw.withColumns({f"_t_{name}": column for name, column in typed.items()})
+    misfits = {f.name: F.when(F.col(f"_t_{f.name}").isNull(), F.col("_raw")[f.name]) for f in fields}
     not_json = F.when(F.col("_raw").isNull(), F.col(value))
-    rescued = _rescued_json({**misfits, "_line": not_json}).alias(RESCUE)
-    return staged.select(
-        *[F.col("_typed")[f.name].alias(f.name) for f in fields],
-        *[F.col("_raw")[name].alias(name) for name in extra],
-        rescued,
+    listed = F.lit([f.name for f in fields])
+    return wide.select(
+        *[F.col(f"_t_{f.name}").alias(f.name) for f in fields],
+        F.map_filter("_raw", lambda name, _: ~F.array_contains(listed, name)).alias(UNLISTED),
+        _rescued_json({**misfits, "_line": not_json}).alias(RESCUE),
         *[c for c in lines.columns if c != value],
     )
 
 
-def read_evolving(spark: SparkSession, path: str, hints: str, glob: str = "*.jsonl") -> DataFrame:
-    """Batch read of JSON lines with schema hints; unlisted columns are added as text."""
-    lines = read_lines(spark, path, glob)
-    known = [f.name for f in StructType.fromDDL(hints).fields]
-    return parse_json_lines(lines, hints, new_json_columns(lines, known))
+def with_unlisted(df: DataFrame, names: list[str]) -> DataFrame:
+    """Columns of the given fields beyond the hints, as text, NULL where a row has none, before the rescue
+    column; the others stay in ``_unlisted``."""
+    at = df.columns.index(RESCUE)
+    found = [F.col(UNLISTED)[name].alias(name) for name in names]
+    return df.select(*df.columns[:at], *found, *df.columns[at:])
+
+
+def unlisted_names(df: DataFrame) -> DataFrame:
+    """The fields beyond the hints: ``name`` and the rows that have it."""
+    return df.select(F.explode(F.map_keys(UNLISTED)).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def read_evolving(spark: SparkSession, path: str, hints: str, glob: str = "*.jsonl", names: list[str] = ()) -> DataFrame:
+    """Batch read of JSON lines with schema hints; the unlisted fields named become columns."""
+    return with_unlisted(parse_json_lines(read_lines(spark, path, glob), hints), list(names))
 
 
 def scan_files(spark: SparkSession, path: str, fmt: str, ddl: str | None = None, **options) -> DataFrame:

@@ -11,12 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructType, TimestampType
+from pyspark.sql.types import IntegerType, MapType, StringType, StructType, TimestampType
 
 from auditlake.operators import shape
 from auditlake.operators.cdc import scd1, scd2
 from auditlake.operators.keyed import join_null_safe
-from auditlake.sources.files import new_json_columns, parse_json_lines, read_lines
+from auditlake.sources.files import RESCUE, UNLISTED, parse_json_lines, read_lines, unlisted_names, with_unlisted
 
 BATCH = "batch_id"
 BUCKET = "key_bucket"
@@ -177,54 +177,28 @@ def split_stream(tagged: DataFrame, clean: str, rejected: str, checkpoint: str,
 
 def ingest_evolving(
     spark: SparkSession, path: str, hints: str, target: str, checkpoint: str,
-    glob: str = "*.jsonl", max_files: int | None = None,
+    glob: str = "*.jsonl", max_files: int | None = None, **options: str,
 ) -> None:
-    """JSON lines with schema hints into a table that gains columns as they appear.
+    """JSON lines with schema hints into a table that takes new fields as they appear.
 
-    The stream itself reads plain lines, so a new column never stops it: each micro-batch looks for
-    new names, records the grown schema, and writes with it. Earlier rows read as NULL.
+    Unlisted fields are one column of the table, so a new one changes no schema, never stops the stream, and
+    a micro-batch is one pass over its lines: it is parsed once and appended.
     """
-    names_path = f"{target}/columns"
-    hinted = [f.name for f in StructType.fromDDL(hints).fields]
+    lines = read_lines(spark, path, glob, streaming=True, max_files=max_files, **options)
+    run_available(parse_json_lines(lines, hints), target, checkpoint)
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        extra = evolved_columns(session, target, before=batch_id)
-        added = new_json_columns(batch, [*hinted, *extra])
-        extra = [*extra, *added]
-        if added:
-            names = session.range(1).select(
-                F.posexplode(F.array(*[F.lit(n) for n in extra])).alias("position", "name")
-            )
-            names.coalesce(1).write.mode("overwrite").parquet(f"{names_path}/{BATCH}={batch_id}")
-        write_batch(parse_json_lines(batch, hints, extra), f"{target}/rows", batch_id)
-
-    run_batches(read_lines(spark, path, glob, streaming=True, max_files=max_files), handle, checkpoint)
-
-
-def evolved_columns(spark: SparkSession, target: str, before: int | None = None) -> list[str]:
-    """Columns beyond the hints, in the order they appeared."""
-    try:
-        stored = spark.read.parquet(f"{target}/columns")
-    except Exception as error:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(error):
-            return []
-        raise
-    if before is not None:
-        stored = stored.where(F.col(BATCH) < before)
-    newest = stored.agg(F.max(BATCH).alias("_newest"))
-    rows = stored.join(F.broadcast(newest), F.col(BATCH) == F.col("_newest")).select("position", "name")
-    return [r["name"] for r in sorted(rows.collect())]
-
-
-def read_evolved(spark: SparkSession, target: str, hints: str) -> DataFrame:
-    """The evolving table under its newest schema."""
+
+def evolved_columns(spark: SparkSession, target: str, hints: str) -> list[str]:
+    """Fields beyond the hints that the table holds now, for a reader that wants them all."""
+    return sorted(r["name"] for r in unlisted_names(read_evolved(spark, target, hints)).collect())
+
+
+def read_evolved(spark: SparkSession, target: str, hints: str, names: list[str] = ()) -> DataFrame:
+    """The evolving table; the unlisted fields named become columns, rows without them show NULL."""
     fields = StructType.fromDDL(hints)
-    for name in evolved_columns(spark, target):
-        fields = fields.add(name, StringType())
-    fields = fields.add("_rescued_data", StringType()).add("_source_file", StringType())
+    fields = fields.add(UNLISTED, MapType(StringType(), StringType())).add(RESCUE, StringType()).add("_source_file", StringType())
     fields = fields.add("_source_modified_at", TimestampType()).add("_ingested_at", TimestampType())
-    return read_batches(spark, f"{target}/rows", fields).drop(BATCH)
+    return with_unlisted(spark.read.schema(fields).parquet(target), list(names))
 
 
 def rebuild(spark: SparkSession, root: str, layers: dict[str, Callable[[dict[str, str], str, str], None]]) -> dict[str, str]:

@@ -113,3 +113,32 @@ def test_latest_snapshot_and_newest(spark):
     df = frame(spark, "at TIMESTAMP, v INT", [{"at": "2026-01-01", "v": "1"}, {"at": "2026-01-02", "v": "2"}, {"at": "2026-01-02", "v": "3"}])
     assert sorted(r["v"] for r in joins.latest_snapshot(df, "at").collect()) == [2, 3]
     assert joins.newest(df.orderBy(F.desc("v")), "at").count() == 1
+
+
+@pytest.mark.parametrize("seconds", [3600, 86_400, 40 * 86_400])
+def test_overlapping_versions_against_brute_force(spark, seconds):
+    rng = random.Random(seconds)
+    moment = lambda: rng.randrange(0, 400 * 24) * 3600
+    versions = []
+    for i in range(160):
+        begin = moment()
+        length = rng.choice([0, 1800, 3600, 86_400, 9 * 86_400, 300 * 86_400])
+        versions.append((rng.choice(["a", "a", "b", None]), begin, None if i % 9 == 0 else begin + length, i))
+    facts = [(i, rng.choice(["a", "b", "c", None]), None if i % 31 == 0 else moment() + rng.randrange(0, 3600, 600)) for i in range(400)]
+    at = lambda c: F.timestamp_seconds(F.lit(1_700_000_000) + F.col(c)).alias(c)
+    v = spark.createDataFrame(versions, "k STRING, valid_from BIGINT, valid_to BIGINT, n INT").select("k", at("valid_from"), at("valid_to"), "n")
+    f = spark.createDataFrame(facts, "id INT, k STRING, ts BIGINT").select("id", "k", at("ts"))
+    found = joins.pit_join_overlapping(f, v, "k", "ts", "hit", version_key="k", value="n", seconds=seconds)
+    assert found.columns == ["id", "k", "ts", "hit"]
+    want = {}
+    for i, k, ts in facts:
+        valid = [(b, n) for vk, b, e, n in versions if k is not None and vk == k and ts is not None and b <= ts and (e is None or ts < e)]
+        want[i] = max(valid)[1] if valid else -1
+    assert {r["id"]: r["hit"] for r in found.collect()} == want and len({*want.values()}) > 40
+
+
+def test_overlapping_form_of_nothing(spark):
+    v = spark.createDataFrame([], "customer_id STRING, valid_from TIMESTAMP, valid_to TIMESTAMP, customer_key BIGINT")
+    f = spark.createDataFrame([(1, "a", None)], "id INT, k STRING, ts TIMESTAMP")
+    assert [r["hit"] for r in joins.pit_join_overlapping(f, v, "k", "ts", "hit").collect()] == [-1]
+    assert joins.pit_join_overlapping(f.limit(0), v, "k", "ts", "hit").count() == 0
