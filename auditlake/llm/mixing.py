@@ -162,17 +162,21 @@ def taken(docs: DataFrame, **settings) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, text_col: str = "text", **settings) -> DataFrame:
-    """The mix as documents: all columns of ``docs``, one row per document and pass that takes it.
+    """The mix as documents: all columns of ``docs``, one row per document and pass that takes it, in the order
+    of the schedule: sorted by the first slot that takes words of the document in that pass.
 
     A document that the last block of its source takes in part is its text up to the end of its last
     word taken, with all white space as it was.
     """
     rows, pieces = mix(docs, text_col=text_col, **settings)
-    passes = pieces.groupBy("row", "epoch").agg(F.sum("words").alias("_words"))
-    wanted = rows.join(passes, "row").select("row_a", "row_b", F.col("size").alias("_size"), "_words", "epoch")
+    passes = pieces.groupBy("row", "epoch").agg(F.sum("words").alias("_words"), F.min("slot").alias("_slot"))
+    wanted = rows.join(passes, "row").select("row_a", "row_b", F.col("size").alias("_size"), "_words", "epoch", "_slot")
     # Equal rows are one row here; ``wanted`` has a row for each of them.
     keyed = docs.select(boxed(docs), F.col(f"`{text_col}`").alias("_text"), *row_key(docs)).dropDuplicates(["row_a", "row_b"])
     words = F.regexp_extract_all("_text", F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), 1)  # with the space before them
     cut = F.array_join(F.slice(words, F.lit(1), F.col("_words").cast("int")), "")
     text = F.when(F.col("_words") == F.col("_size"), F.col("_text")).otherwise(cut)
-    return keyed.join(wanted, ["row_a", "row_b"]).select(*unboxed(docs.columns, {text_col: text}))
+    order = ["_slot", "row_a", "row_b"]
+    mixed = keyed.join(wanted, ["row_a", "row_b"]).select("_row", "_text", "_words", "_size", *order)
+    placed = mixed.repartitionByRange(*order).sortWithinPartitions(*order)
+    return placed.select(*unboxed(docs.columns, {text_col: text}))

@@ -229,7 +229,7 @@ def pack(
             ids, counts = with_end(*encode.encode(batch.column("text")), end_id)
             each = np.split(ids.astype(np.uint16 if encode.vocabulary_size <= 1 << 16 > end_id else np.uint32), np.cumsum(counts)[:-1])
             for doc_id, bearing, own in zip(batch.column("doc_id").to_pylist(), batch.column("loss").to_pylist(), each):
-                items[given_items] = (doc_id, own)
+                items[given_items] = (doc_id, own.copy())  # a view would hold the ids of the whole batch
                 bearing = len(own) if bearing is None else min(max(bearing, 0), len(own))
                 held.append(Piece(given_items, 0, len(own), len(own) - bearing))
                 given_items += 1

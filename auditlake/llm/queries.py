@@ -27,8 +27,8 @@ def query(fn: Query) -> Query:
 
 @query
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of every document without lines that many sites share."""
-    clean = line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    """What is left of every document without lines that many sites and many texts share."""
+    clean = line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), everywhere=True)
     return clean.select(
         "doc_id", "n_lines", "n_removed", F.length("text").cast("bigint").alias("clean_chars"), F.md5("text").alias("clean_md5")
     )
@@ -38,22 +38,20 @@ ORACLES["op1_line_dedup"] = r"""
 WITH docs AS (
   SELECT doc_id, source, text, string_split(text, chr(10)) AS l, row_number() OVER () AS row_id FROM documents),
 lines AS (
-  SELECT row_id, source, raw, pos, trim(raw, chr(32) || chr(9) || chr(13) || chr(11) || chr(12)) AS line
-  FROM (SELECT row_id, source, unnest(l) AS raw, unnest(range(len(l))) AS pos FROM docs)),
+  SELECT row_id, source, text, raw, pos, trim(raw, chr(32) || chr(9) || chr(13) || chr(11) || chr(12)) AS line
+  FROM (SELECT row_id, source, text, unnest(l) AS raw, unnest(range(len(l))) AS pos FROM docs)),
 shared AS (
-  SELECT line FROM lines WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 10),
+  SELECT line FROM lines WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 10 AND count(DISTINCT text) >= 10),
 marked AS (
   SELECT l.*, s.line IS NOT NULL AS common FROM lines l LEFT JOIN shared s USING (line)),
-judged AS (
+left_over AS (
   SELECT row_id, count(*) AS n_lines, count(*) FILTER (common) AS n_common,
-         coalesce(sum(length(line)) FILTER (NOT common), 0) AS kept_chars, sum(length(line)) AS chars,
          coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT common), '') AS kept_text
   FROM marked GROUP BY row_id),
 clean AS (
-  SELECT doc_id, coalesce(n_lines, 0) AS n_lines,
-         CASE WHEN n_common > 0 AND 2 * kept_chars >= chars THEN n_common ELSE 0 END AS n_removed,
-         CASE WHEN n_common > 0 AND 2 * kept_chars >= chars THEN kept_text ELSE text END AS text
-  FROM docs LEFT JOIN judged USING (row_id))
+  SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_common, 0) AS n_removed,
+         CASE WHEN n_common > 0 THEN kept_text ELSE text END AS text
+  FROM docs LEFT JOIN left_over USING (row_id))
 SELECT doc_id, n_lines, n_removed, length(text)::BIGINT AS clean_chars, md5(text) AS clean_md5 FROM clean
 """
 

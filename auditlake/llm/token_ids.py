@@ -16,11 +16,15 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
+from auditlake.llm.common import slices, utf8
+
 LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 # One word per line: letters and closing punctuation, or anything else.
 WORD_LINE = re.compile("^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)|(.+))$", re.M)
-# Words kept between batches. The cache starts anew beyond this; results do not depend on it.
-CACHE_WORDS = 1_000_000
+# Bytes of words and parts kept between slices of text, objects and dictionary entries included. The cache
+# starts anew beyond this; results do not depend on it.
+CACHE_BYTES = 48 << 20
+WORD_BYTES, PART_BYTES = 160, 200
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -61,6 +65,7 @@ class WordEncoder:
         self.word_parts = np.zeros((0, 2), np.int64)  # numbers of a word's two parts
         self.lengths, self.places = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.held = 0
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -99,7 +104,9 @@ class WordEncoder:
         """Encode the words that were new in this batch: first letter parts, then all others."""
         if not self.words.new:
             return
-        lines = WORD_LINE.findall(b"\n".join(self.words.new).decode())
+        text, parts = b"\n".join(self.words.new), len(self.parts)
+        words = len(self.words.new)
+        lines = WORD_LINE.findall(text.decode())
         self.words.new.clear()
         part = self.parts.__getitem__
         pairs = np.zeros((len(lines), 2), np.int64)
@@ -113,15 +120,23 @@ class WordEncoder:
             self._keep(*self._each(self.parts.new))
             self.parts.new.clear()
         self.word_parts = np.concatenate([self.word_parts, pairs])
+        # Parts are at most the bytes of their words again.
+        self.held += 2 * len(text) + WORD_BYTES * words + PART_BYTES * (len(self.parts) - parts)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a string column in one array, and the number of each; null is empty."""
-        texts = column.cast(pa.large_binary()).to_pylist()
+        _, offsets = utf8(column)
+        texts = column.cast(pa.large_binary())
+        found = [self._slice(texts.slice(begin, end - begin).to_pylist()) for begin, end in slices(offsets)]
+        ids, counts = zip(*found) if found else ((), ())
+        return np.concatenate([np.zeros(0, np.uint32), *ids]), np.concatenate([np.zeros(0, np.int64), *counts])
+
+    def _slice(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         if not self.by_words:
             each = self._encode([(t or b"").decode() for t in texts])
             counts = np.array([len(e) for e in each], np.int64)
             return np.concatenate([np.zeros(0, np.uint32), *each]), counts
-        if len(self.words) > CACHE_WORDS or len(self.parts) > CACHE_WORDS:
+        if self.held > CACHE_BYTES:
             self._clear()
         split = [t.split() if t else [] for t in texts]
         counts = np.array([len(s) for s in split], np.int64)
