@@ -21,9 +21,9 @@ from auditlake.llm.common import slices, utf8
 LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 # One word per line: letters and closing punctuation, or anything else.
 WORD_LINE = re.compile("^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)|(.+))$", re.M)
-# Bytes of words and parts kept between slices of text, objects and dictionary entries included. The cache
-# starts anew beyond this; results do not depend on it.
-CACHE_BYTES = 48 << 20
+# Bytes of words and parts kept between slices of text, objects and dictionary entries included. Beyond this
+# only words that have come again are kept, or none if these take half of it; results do not depend on it.
+CACHE_BYTES = 96 << 20
 WORD_BYTES, PART_BYTES = 160, 200
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -65,8 +65,28 @@ class WordEncoder:
         self.word_parts = np.zeros((0, 2), np.int64)  # numbers of a word's two parts
         self.lengths, self.places = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.uses = np.zeros(0, np.int64)  # of each word, since it was last kept
         self.held = 0
 
+    def _shrink(self):
+        """Forget the words that came once, with their parts."""
+        kept = np.flatnonzero(self.uses >= 2)
+        held = self.held * len(kept) // max(1, len(self.words))
+        if 2 * held > CACHE_BYTES:
+            self._clear()
+            return
+        words, parts = list(self.words), list(self.parts)
+        used, mapped = np.unique(np.append(0, self.word_parts[kept].ravel()), return_inverse=True)
+        self.words, self.parts = _Numbers(), _Numbers()
+        self.words.update((words[i], n) for n, i in enumerate(kept.tolist()))
+        self.parts.update((parts[i], n) for n, i in enumerate(used.tolist()))
+        self.word_parts = mapped[1:].reshape(-1, 2)
+        lengths = self.lengths[used]
+        stops = np.cumsum(lengths)
+        self.ids = self.ids[np.repeat(self.places[used] - (stops - lengths), lengths) + np.arange(stops[-1])]
+        self.lengths, self.places = lengths, stops - lengths
+        self.uses, self.held = np.ones(len(kept), np.int64), held
+
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(f.ids, np.uint32) for f in found]
@@ -137,13 +157,15 @@ class WordEncoder:
             counts = np.array([len(e) for e in each], np.int64)
             return np.concatenate([np.zeros(0, np.uint32), *each]), counts
         if self.held > CACHE_BYTES:
-            self._clear()
+            self._shrink()
         split = [t.split() if t else [] for t in texts]
         counts = np.array([len(s) for s in split], np.int64)
         number = self.words.__getitem__
         total = int(counts.sum())
         words = np.fromiter(map(number, chain.from_iterable(split)), np.int64, total)
         self._learn()
+        known = len(self.words)
+        self.uses = np.append(self.uses, np.zeros(known - len(self.uses), np.int64)) + np.bincount(words, minlength=known)
         parts = self.word_parts[words].ravel()
         lengths = self.lengths[parts]
         stops = np.cumsum(lengths)
