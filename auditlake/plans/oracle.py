@@ -509,8 +509,15 @@ QUERIES["asof_recompute"] = """
 SELECT e.event_id, arg_max(s.segment, s.changed_at) AS expected_segment, arg_max(s.region, s.changed_at) AS expected_region
 FROM e JOIN signups AS s ON e.user_id = s.customer_id AND e.ts >= s.changed_at GROUP BY e.event_id"""
 QUERIES["derivations_agree"] = f"""
-SELECT CAST(0 AS BIGINT) AS mismatches, count(DISTINCT e.event_id) AS recomputed, count(DISTINCT e.event_id) AS versioned
-FROM e JOIN signup_versions AS s ON e.user_id = s.customer_id AND e.ts >= s.start_at AND e.ts < coalesce(s.end_at, {OPEN})"""
+WITH recomputed AS (
+    SELECT e.event_id, arg_max(s.segment, s.changed_at) AS segment, arg_max(s.region, s.changed_at) AS region
+    FROM e JOIN signups AS s ON e.user_id = s.customer_id AND e.ts >= s.changed_at GROUP BY e.event_id),
+versioned AS (
+    SELECT e.event_id, s.segment, s.region
+    FROM e JOIN signup_versions AS s ON e.user_id = s.customer_id AND e.ts >= s.start_at AND e.ts < coalesce(s.end_at, {OPEN}))
+SELECT count(*) FILTER (r.segment <> v.segment OR r.region <> v.region) AS mismatches,
+    (SELECT count(*) FROM recomputed) AS recomputed, (SELECT count(*) FROM versioned) AS versioned
+FROM recomputed AS r JOIN versioned AS v USING (event_id)"""
 QUERIES["scd2_integrity"] = """
 WITH damaged AS (
     SELECT customer_id, valid_from, is_current, customer_key,
@@ -540,7 +547,7 @@ QUERIES["holiday_flag"] = f"SELECT {d('event_date')}, is_bank_holiday, count(*)
 QUERIES["holiday_flag_stream"] = f"""
 SELECT {d('event_date')}, is_bank_holiday, count(*) AS row_count FROM unified WHERE source_system = 'generator-v1' GROUP BY ALL"""
 QUERIES["orphans"] = """
-SELECT d.doc_id AS fk_value, count(*) AS fact_rows FROM documents AS d ANTI JOIN labels AS l ON d.doc_id = l.doc_id GROUP BY d.doc_id"""
+SELECT l_partkey AS fk_value, count(*) AS fact_rows FROM lineitem ANTI JOIN events ON l_partkey = user_id GROUP BY l_partkey"""
 QUERIES["overlap"] = "SELECT count(*) AS overlap FROM lineitem JOIN events ON l_partkey = user_id"
 QUERIES["control_totals"] = (
     "SELECT " + ", ".join([*map(n, TOTALS_MONEY), *map(i, TOTALS_COUNTS)]) + " FROM totals"
@@ -794,6 +801,16 @@ SELECT o_orderpriority, count(*) AS orders, CAST(2 AS BIGINT) AS version FROM or
 QUERIES["layout_report"] = """
 SELECT count(*) AS row_count, TRUE AS files_fit, TRUE AS files_skipped, TRUE AS bytes_fit FROM fact
 WHERE date_key BETWEEN 19970101 AND 19971231 AND type_key = 4"""
+LAYOUT_FILTERS = """(VALUES ('one day', 19970310, 19970310, 0, 99), ('one week and type', 19970310, 19970316, 4, 4),
+    ('one type', 0, 99999999, 4, 4), ('everything', 0, 99999999, 0, 99)) AS f(filter, d0, d1, t0, t1)"""
+QUERIES["curve_layout"] = f"""
+SELECT filter, count(event_id) AS row_count, {n('sum(amount)', 'amount')}, filter <> 'everything' AS skips_files
+FROM {LAYOUT_FILTERS} LEFT JOIN fact ON date_key BETWEEN d0 AND d1 AND type_key BETWEEN t0 AND t1 GROUP BY filter"""
+QUERIES["layout_pruning"] = f"""
+SELECT layout, filter, count(event_id) AS row_count, TRUE AS holds_all,
+    CASE filter WHEN 'everything' THEN FALSE WHEN 'one type' THEN layout = 'curve' ELSE layout <> 'plain' END AS skips_files
+FROM (VALUES ('plain'), ('partitioned'), ('clustered'), ('curve')) AS l(layout), {LAYOUT_FILTERS}
+LEFT JOIN fact ON date_key BETWEEN d0 AND d1 AND type_key BETWEEN t0 AND t1 GROUP BY ALL"""
 QUERIES["scan_documents"] = """
 SELECT doc_id, pos AS line_no, CAST(starts_with(lower(line), 'the ') AS BIGINT) + CAST(ends_with(lower(line), 'and.') AS BIGINT)
     + CAST(line = '' AS BIGINT) AS n_patterns

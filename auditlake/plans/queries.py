@@ -28,7 +28,7 @@ from auditlake.operators.rules import DATASETS, expectations
 from auditlake.plans import bindings as B
 from auditlake.plans.world import FREQUENT, HUB_SENDERS, HUB_TRANSFERS, World
 from auditlake.session import prepare, scratch_dir, stage
-from auditlake.sources import files, ranged, reference, sinks
+from auditlake.sources import files, layouts, ranged, reference, sinks
 from auditlake.streaming import gated, maintained, runs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -707,8 +707,9 @@ def holiday_flag_stream(spark, sf):
 
 @query
 def orphans(spark, sf):
-    """Documents without a label, with their row counts."""
-    return joins.orphans(B.table(spark, sf, "documents"), B.table(spark, sf, "labels"), "doc_id", "doc_id")
+    """Parts of the order lines that no event's user number covers, with their line counts."""
+    known = B.table(spark, sf, "events").select("user_id").distinct()
+    return joins.orphans(B.table(spark, sf, "lineitem"), known, "l_partkey", "user_id")
 
 
 @query
@@ -1088,6 +1089,58 @@ def layout_report(spark, sf):
     )
 
 
+LAYOUT_KEYS = ["date_key", "type_key"]
+LAYOUT_FILES = 16
+LAYOUT_FILTERS = {
+    "one day": {"date_key": (19970310, 19970310)},
+    "one week and type": {"date_key": (19970310, 19970316), "type_key": (4, 4)},
+    "one type": {"type_key": (4, 4)},
+    "everything": {},
+}
+
+
+def _within(ranges):
+    return reduce(lambda a, b: a & b, [F.col(k).between(*ends) for k, ends in ranges.items()], F.lit(True))
+
+
+@query
+def curve_layout(spark, sf):
+    """The fact along a curve over both keys: rows and amount per filter, and whether files are skipped."""
+    path = scratch_dir(spark, "curve")
+    layouts.write_curve(stage(World(spark, sf).fact, "laid-fact"), path, LAYOUT_KEYS, ["event_id"], files=LAYOUT_FILES)
+    pruned = layouts.pruning(layouts.footers(spark, path, LAYOUT_KEYS), LAYOUT_FILTERS)
+    stored = spark.read.parquet(path)
+    sums = [
+        stored.where(_within(ranges)).agg(F.lit(name).alias("filter"), F.count(F.lit(1)).alias("row_count"), F.sum("amount").alias("amount"))
+        for name, ranges in LAYOUT_FILTERS.items()
+    ]
+    found = reduce(DataFrame.unionByName, sums).join(pruned, "filter")
+    return found.select("filter", "row_count", "amount", (F.col("files_touched") < F.col("files")).alias("skips_files"))
+
+
+@query
+def layout_pruning(spark, sf):
+    """What four filters read of four layouts of the fact, from the footers: rows asked for, whether files are
+    skipped, and whether what is read holds all of them."""
+    fact = stage(World(spark, sf).fact.withColumn("month_key", F.floor(F.col("date_key") / 100)), "laid-fact")
+    path = {name: scratch_dir(spark, name) for name in ("plain", "partitioned", "clustered", "curve")}
+    fact.repartition(LAYOUT_FILES, F.xxhash64("event_id")).write.parquet(path["plain"])
+    fact.repartitionByRange(LAYOUT_FILES, "month_key", F.xxhash64("event_id")).write.partitionBy("month_key").parquet(path["partitioned"])
+    sinks.write_clustered(fact, path["clustered"], LAYOUT_KEYS, ["event_id"], files=LAYOUT_FILES)
+    layouts.write_curve(fact, path["curve"], LAYOUT_KEYS, ["event_id"], files=LAYOUT_FILES)
+    reports = [
+        layouts.pruning(layouts.footers(spark, at, LAYOUT_KEYS), LAYOUT_FILTERS).withColumn("layout", F.lit(name)) for name, at in path.items()
+    ]
+    asked = F.explode(F.array(*[F.struct(F.lit(n).alias("filter"), F.count_if(_within(r)).alias("row_count")) for n, r in LAYOUT_FILTERS.items()]))
+    rows = fact.agg(asked.alias("a")).select("a.*")  # one row per filter
+    found = reduce(DataFrame.unionByName, reports).join(rows, "filter")
+    return found.select(
+        "layout", "filter", "row_count",
+        (F.col("files_touched") < F.col("files")).alias("skips_files"),
+        (F.col("rows_touched") >= F.col("row_count")).alias("holds_all"),
+    )
+
+
 @query
 def scan_documents(spark, sf):
     """Patterns bound to the ends of a line, on texts of many lines."""
