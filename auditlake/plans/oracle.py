@@ -546,6 +546,14 @@ QUERIES["snapshot_replace"] = f"SELECT {HOLIDAY_ROWS} FROM order_holidays"
 QUERIES["holiday_flag"] = f"SELECT {d('event_date')}, is_bank_holiday, count(*) AS row_count FROM unified GROUP BY ALL"
 QUERIES["holiday_flag_stream"] = f"""
 SELECT {d('event_date')}, is_bank_holiday, count(*) AS row_count FROM unified WHERE source_system = 'generator-v1' GROUP BY ALL"""
+QUERIES["holiday_versions"] = f"""
+WITH days AS (
+    SELECT event_date, CASE WHEN CAST(right(event_id, 1) AS INT) % 2 = 1 THEN 2 ELSE 1 END AS side_version,
+        event_date IS NOT NULL AND event_date IN (SELECT holiday_date FROM holidays WHERE division = 'england-and-wales') AS holiday_now
+    FROM ({mapped_feed('raw_feed')}))
+SELECT how, {d('event_date')}, CAST(side_version AS BIGINT) AS side_version,
+    holiday_now AND (side_version = 2 OR day(event_date) % 2 = 1) AS is_bank_holiday, holiday_now, count(*) AS row_count
+FROM days, (VALUES ('stored'), ('derived again')) AS h(how) GROUP BY ALL"""
 QUERIES["orphans"] = """
 SELECT l_partkey AS fk_value, count(*) AS fact_rows FROM lineitem ANTI JOIN events ON l_partkey = user_id GROUP BY l_partkey"""
 QUERIES["overlap"] = "SELECT count(*) AS overlap FROM lineitem JOIN events ON l_partkey = user_id"

@@ -29,7 +29,7 @@ from auditlake.plans import bindings as B
 from auditlake.plans.world import FREQUENT, HUB_SENDERS, HUB_TRANSFERS, World
 from auditlake.session import prepare, scratch_dir, stage
 from auditlake.sources import files, layouts, ranged, reference, sinks
-from auditlake.streaming import gated, maintained, runs
+from auditlake.streaming import gated, maintained, pinned, runs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -702,6 +702,29 @@ def holiday_flag_stream(spark, sf):
     return spark.read.parquet(path).groupBy("event_date", "is_bank_holiday").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@query
+def holiday_versions(spark, sf):
+    """Holidays added while a stream runs: its stored flags keep the version they saw, derived again or not, and
+    only the calendar shows them. The first half of the feed arrives before the even days become holidays."""
+    holidays = stage(World(spark, sf).holidays.where(F.col("division") == K.HEADLINE_DIVISION), "holidays")
+    late = F.substring("event_id", -1, 1).isin("1", "3", "5", "7", "9")
+    tagged = stage(shape.unify([shape.map_feed(B.raw_feed(spark, sf))]).select("event_id", "event_date"), "feed-days")
+    side, landing, target, checkpoint = (scratch_dir(spark, n) for n in ("holiday-versions", "feed", "flagged", "flag-checkpoint"))
+    with_file = lambda df: df.select("*", F.col("_metadata.file_path").alias("file"))
+    flags = (side, holidays.schema, "event_date", "holiday_date", "is_bank_holiday", target)
+    for known, arrived in ((holidays.where(F.dayofmonth("holiday_date") % 2 == 1), ~late), (holidays, late)):
+        pinned.publish_side(known, side)
+        tagged.where(arrived).repartition(MICRO_BATCHES).write.mode("append").parquet(landing)
+        stream = with_file(_stream(spark, tagged, "feed", landing))
+        pinned.flag_stream(stream, *flags, checkpoint, "file")
+    stored = pinned.read_flagged(spark, target, stream.schema, "is_bank_holiday").withColumn("how", F.lit("stored"))
+    source = with_file(spark.read.schema(tagged.schema).parquet(landing))
+    again = pinned.replay(source, *flags, "file").withColumn("how", F.lit("derived again"))
+    columns = ["how", "event_date", "side_version", "is_bank_holiday"]
+    counted = stored.select(*columns).unionByName(again.select(*columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("row_count"))
+    return pinned.with_match(counted, pinned.read_side(spark, side, holidays.schema), "event_date", "holiday_date", "holiday_now")
+
+
 # ---- Reconciliation and suites -----------------------------------------------------------------
 
 
