@@ -2,11 +2,14 @@
 
 Vectors of one label (and length) are dealt to shards by hash; equal vectors are one point with a
 weight. Every shard's graph is built once. Every shard's points query every shard of their label,
-each pair of shards in one task: beams widen for queries whose beam is full of links, and for all until
-an audit of evenly spaced queries against all points finds at least ``RECALL`` of their links. The audit
-goes on until it has seen ``AUDIT_LINKS`` links or every query. Queries
-whose widened beam would cost more than all the shard's points are compared with all of them. Links are verified by
-cosine in double precision. Tasks give per-point sums and one link per point to its component.
+each pair of shards in one task. A query whose beam is full of links widens its beam, and is compared with all
+points of the shard where that is cheaper (dense groups) or the beam would hold them all anyway. Links are
+verified by cosine in double precision. Tasks give per-point sums and one link per point to its component.
+
+Recall is audited twice. Each pair of shards compares a fixed share of its queries, evenly spaced, with all
+points: the beam doubles until it holds the nearest point of ``NEAREST`` of them, which is harder than finding
+links and gives evidence where links are few. Their true and found links are summed per label, with those of
+all labels standing in for a label that has too few; labels below ``RECALL`` are searched again with twice the beam.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and rows with a
 null label or id, link with nothing; vectors of different length are not compared; equal rows are
@@ -15,6 +18,8 @@ linked rows; an empty table gives an empty result. Other columns are ignored, wh
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,8 +33,10 @@ COSINE = 0.93
 RECALL = 0.995
 SHARD_ROWS = 16_384
 BEAM = 48
-AUDIT = 256
-# An audit with fewer true links goes on to further queries, to all of them if need be.
+NEAREST = 0.9
+# Of each pair of shards one query in so many is audited, some at least and AUDIT at most.
+AUDIT, AUDIT_SHARE, AUDIT_LEAST = 256, 64, 16
+# A label with fewer audited true links is judged by the links of all labels.
 AUDIT_LINKS = 200
 # Float error of the search; candidates this far below the threshold are verified too.
 MARGIN = 1e-3
@@ -37,6 +44,7 @@ BLOCK = 512
 # A widened beam costs about as much as a comparison with this many times as many points.
 WIDE = 32
 GROUP = ["label", "dim"]
+FIGURES = ["audit_true", "audit_found", "audited", "whole", "queries"]
 
 
 def _whole(vector):
@@ -109,7 +117,8 @@ class ShardPair:
         total = len(queries) + (0 if same else len(points))
         self.links, self.root = np.zeros(total, np.int64), np.arange(total)
         self.whole = np.zeros(len(queries), bool)  # queries compared with all points
-        self.true = np.full(len(queries), -1)  # links of audited queries
+        self.best = np.full(len(queries), -np.inf)  # similarity of the nearest point met
+        self.true = self.found = self.audited = 0
 
     def _exact(self, rows: np.ndarray) -> np.ndarray:
         near = self.q[rows] @ self.p.T >= self.cosine
@@ -131,42 +140,44 @@ class ShardPair:
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         narrow = beam
         while len(rows):
-            if beam * (WIDE if beam > narrow else 4) >= len(self.p):
+            if beam * (WIDE if beam > narrow else 1) >= len(self.p):
                 self.whole[rows] = True
                 break
             full = []
             for begin in range(0, len(rows), BLOCK):
                 part = rows[begin : begin + BLOCK]
                 ids, sims = hnsw.search(self.p32, self.layers, self.q32[part], beam)
+                other = ids != part[:, None] if self.same else ids >= 0
+                self.best[part] = np.where(other & (ids >= 0), sims, -np.inf).max(1)
                 is_full = sims.min(1) >= self.cosine - MARGIN
                 full.append(part[is_full])
                 found.append(self._verified(part[~is_full], ids[~is_full], sims[~is_full]))
             rows, beam = np.concatenate(full), 2 * beam
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
-    def _recall(self, order, a) -> float:
-        order = order[~self.whole[order]]
-        got = np.bincount(a, minlength=len(self.q))
-        true = found = 0
-        for begin in range(0, len(order), 64):
-            if begin >= AUDIT and true >= AUDIT_LINKS:
-                break
-            rows = order[begin : begin + 64]
-            new = rows[self.true[rows] < 0]
-            if len(new):
-                self.true[new] = self._exact(new).sum(1)
-            true += int(self.true[rows].sum())
-            found += int(got[rows].sum())
-        return found / true if true else 1.0
-
-    def run(self):
-        rows, beam = np.arange(len(self.q)), BEAM
-        first = np.unique(np.linspace(0, len(rows) - 1, min(AUDIT, len(rows))).astype(int))
-        order = np.concatenate([first, np.setdiff1d(rows, first)])
+    def _audit(self, a) -> float:
+        """Counts true and found links of evenly spaced queries; the share of those whose nearest point was met.
+        Queries that are compared with all points need no audit."""
+        n = len(self.q)
+        rows = np.unique(np.linspace(0, n - 1, min(n, AUDIT, max(AUDIT_LEAST, n // AUDIT_SHARE))).astype(int))
+        rows = rows[~self.whole[rows]]
+        got = np.bincount(a, minlength=n)
+        self.true, self.found, self.audited, met = 0, 0, len(rows), 0
+        for begin in range(0, len(rows), 64):
+            part = rows[begin : begin + 64]
+            sims = self.q[part] @ self.p.T
+            if self.same:
+                sims[np.arange(len(part)), part] = -np.inf
+            self.true += int((sims >= self.cosine).sum())
+            self.found += int(got[part].sum())
+            met += int((self.best[part] >= sims.max(1) - MARGIN).sum())
+        return met / len(rows) if len(rows) else 1.0
+
+    def run(self, beam: int = BEAM):
         while True:
             self.whole[:] = False
-            a, b = self._search(rows, beam)
-            if self._recall(order, a) >= RECALL:
+            a, b = self._search(np.arange(len(self.q)), beam)
+            if self._audit(a) >= NEAREST:
                 break
             beam *= 2
         # Pairs between queries that were not compared with all; found from either side.
@@ -192,8 +203,9 @@ class ShardPair:
             self.root = merge(self.root, part[r], c + self.shift)
 
 
-def linked(points: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """Per task and point: ``rep``, ``links`` and ``root``, the representative it is linked to."""
+def linked(points: DataFrame, built: DataFrame, cosine: float = COSINE, beam: int = BEAM) -> DataFrame:
+    """Per task and point: ``rep``, ``links`` and ``root``, the representative it is linked to; and per task a row
+    without ``rep`` with the true and found links of its audit, and the queries that were compared with all points."""
 
     def run(key, left, right):
         dim, i, j = key[1].as_py(), key[2].as_py(), key[3].as_py()
@@ -203,14 +215,23 @@ def linked(points: DataFrame, cosine: float = COSINE) -> DataFrame:
         weights = [s.column("weight").to_numpy() for s in sides]
         layers = hnsw.unpack_layers(right.column("graph")[0].as_py(), sides[-1].num_rows)
         pair = ShardPair(vectors[0], weights[0], vectors[-1], weights[-1], layers, i == j, cosine)
-        pair.run()
+        pair.run(beam)
         reps = np.concatenate([s.column("rep").to_numpy() for s in sides])
         on = pair.links > 0
+        n = int(on.sum()) + 1
+        figures = {"audit_true": pair.true, "audit_found": pair.found, "audited": pair.audited, "whole": int(pair.whole.sum()), "queries": len(pair.q)}
         return pa.table(
-            {"rep": pa.array(reps[on], pa.int64()), "links": pa.array(pair.links[on]), "root": pa.array(reps[pair.root[on]], pa.int64())}
+            {
+                **{k: pa.repeat(key[at], n) for at, k in enumerate(GROUP)},
+                "rep": pa.array([None, *reps[on].tolist()], pa.int64()),
+                "links": pa.array([None, *pair.links[on].tolist()], pa.int64()),
+                "root": pa.array([None, *reps[pair.root[on]].tolist()], pa.int64()),
+                **{k: pa.array([v] + [None] * (n - 1), pa.int64()) for k, v in figures.items()},
+            }
         )
 
-    built = staged(graphs(points), "graphs")
+    kind = points.schema["label"].dataType.simpleString()
+    out = f"label {kind}, dim int, rep bigint, links bigint, root bigint, " + ", ".join(f"{f} bigint" for f in FIGURES)
     low, high = F.least("shard", "other"), F.greatest("shard", "other")
     others = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shards") - 1)).alias("other")
     left = points.select("*", others).withColumns({"i": high, "j": low})
@@ -219,7 +240,31 @@ def linked(points: DataFrame, cosine: float = COSINE) -> DataFrame:
         *GROUP, F.explode(F.sequence(F.col("shard"), F.col("shards") - 1)).alias("i"), F.col("shard").alias("j"), "graph"
     )
     keys = [*GROUP, "i", "j"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "rep bigint, links bigint, root bigint")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, out)
+
+
+def audited_links(points: DataFrame, cosine: float = COSINE, beam: int = BEAM) -> tuple[DataFrame, DataFrame]:
+    """All links, and the audits of the last search of every label; weak labels are searched with wider beams."""
+    built = staged(graphs(points), "graphs")
+    links, audits = [], []
+    while True:
+        found = staged(linked(points, built, cosine, beam), "vector-links")
+        is_audit = F.col("rep").isNull()
+        audit = found.where(is_audit).groupBy(*GROUP).agg(*[F.sum(f).alias(f) for f in FIGURES])
+        true, hit, largest = audit.agg(F.sum("audit_true"), F.sum("audit_found"), F.max("queries")).first()
+        pooled = hit / true if true else 1.0
+        own = F.when(F.col("audit_true") >= AUDIT_LINKS, F.col("audit_found") / F.col("audit_true"))
+        audit = audit.withColumns({"recall": F.coalesce(own, F.lit(pooled)), "beam": F.lit(beam)})
+        weak = staged(audit.where(F.col("recall") < RECALL).select(*GROUP), "weak-labels")
+        # A beam of all points is a comparison with all of them.
+        if beam >= (largest or 0) or weak.isEmpty():
+            links.append(found.where(~is_audit))
+            audits.append(audit)
+            break
+        links.append(found.where(~is_audit).join(weak, GROUP, "left_anti"))
+        audits.append(audit.join(weak, GROUP, "left_anti"))
+        points, built, beam = points.join(weak, GROUP, "left_semi"), built.join(weak, GROUP, "left_semi"), 2 * beam
+    return reduce(DataFrame.unionByName, links), reduce(DataFrame.unionByName, audits)
 
 
 def near_duplicates(
@@ -242,7 +287,7 @@ def near_duplicates(
     held = staged(distinct, "vector-points")
     per_label = held.groupBy(*GROUP).agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("shards"))
     points = held.join(per_label, GROUP).withColumn("shard", F.pmod(F.xxhash64("key_b", "key_a"), "shards"))
-    found = staged(linked(points, cosine), "vector-links")
+    found, _ = audited_links(points, cosine)
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     merged = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
     verdicts = (
