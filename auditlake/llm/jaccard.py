@@ -13,8 +13,12 @@ with similarity of ``PERCENT`` or more share at least o = ceil(s |A|) tokens, so
 
 Tokens of one document only are never shared and never indexed. Candidates are verified on whole sets
 of 64-bit hashes. Within a signature, documents are compared with a centre first; when links have
-merged a group of copies, only pairs of different components are left to compare, and all of those
-are (a bound on how much they differ, from parity sketches, spares most of the sets). So a large group of copies costs its size, and no link between components is lost.
+merged a group of copies, only pairs of different components are left to compare. So a large group of
+copies costs its size. A signature of up to ``CROWD`` documents compares all that are left; documents of
+a larger one (texts put together from the same few passages) are not paired by it, but by combinations
+of more tokens: similar sets differ in at most d tokens, so of d // 3 + 1 hash parts of the tokens one
+differs in two or fewer, and of five cells of that part three are the same. All choices of three cells of
+all parts are signatures (``part_signs``). Parity sketches spare most of the sets. No link between components is lost.
 
 Texts are read by units of documents; frequencies are counted in blocks of hash ranges to which each
 unit sends its sorted tokens once. Exact copies (equal words) are one document throughout.
@@ -27,6 +31,7 @@ ignored, whatever their names.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -45,6 +50,11 @@ UNIT_BYTES = 1 << 20
 BLOCK_TOKENS = 1 << 20
 LEAST_BLOCKS = 512
 CENTRES = 2
+# Documents of one signature that are compared with each other by that signature alone.
+CROWD = 64
+# Cells of a part of the tokens, how many of them may differ, and the choices of cells that are the same.
+CELLS, SPARED = 5, 2
+CHOICES = list(itertools.combinations(range(CELLS), CELLS - SPARED))
 # 64-bit words of a document's parity sketch.
 SKETCH = 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -225,6 +235,78 @@ def indexed(units: DataFrame, classes: DataFrame, frequent: int = FREQUENT) -> D
     return units.groupBy("unit").cogroup(classes.groupBy("unit")).applyInArrow(run, schema)
 
 
+def size_group(n: int) -> tuple[int, int, int]:
+    """Group of a set size, and the largest sizes of this group and of the next: sizes of similar sets are
+    in one group or in neighbouring ones."""
+    group, low = 0, 1
+    while (above := low * 100 // PERCENT + 1) <= n:
+        group, low = group + 1, above
+    return group, above - 1, above * 100 // PERCENT
+
+
+def part_signs(tokens: np.ndarray, n: int) -> np.ndarray:
+    """Signatures of which sets of similar size share one whenever they are similar.
+
+    ``n`` is the size of the set, ``tokens`` those of it that other documents have."""
+    group, own, following = size_group(n)
+    hashed, found = mix(tokens ^ np.uint64(7)), []
+    for place, most in ((group, own), (group + 1, following)):
+        differ = 2 * most * (100 - PERCENT) // (100 + PERCENT)
+        parts = differ // (SPARED + 1) + 1
+        at = (hashed % np.uint64(parts)) * np.uint64(CELLS) + (hashed >> np.uint64(40)) % np.uint64(CELLS)
+        cells = np.zeros(parts * CELLS, np.uint64)
+        np.add.at(cells, at.astype(np.int64), mix(hashed))
+        cells = cells.reshape(parts, CELLS)
+        name = mix(np.arange(parts, dtype=np.uint64) + (np.uint64(place) << np.uint64(48)))
+        for number, choice in enumerate(CHOICES):
+            value = name + np.uint64(number)
+            for cell in choice:
+                value = mix(value * np.uint64(3) + cells[:, cell])
+            found.append(value)
+    return np.concatenate(found)
+
+
+def _with_part_signs(batches):
+    for batch in batches:
+        signs = []
+        for n, tokens in zip(batch.column("n").to_pylist(), batch.column("tokens")):
+            signs.append(part_signs(tokens.values.to_numpy(zero_copy_only=False).view(np.uint64), n).view(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [*[batch.column(c) for c in ("node", "n", "comp")], pa.array(signs, pa.list_(pa.int64()))], ["node", "n", "comp", "signs"]
+        )
+
+
+def _between(postings: DataFrame) -> DataFrame:
+    """Pairs of one signature, similar size and different components, once each."""
+    mine = postings.select("sign", "comp", F.col("node").alias("a"), F.col("n").alias("_na"))
+    other = postings.select("sign", F.col("comp").alias("_bcomp"), F.col("node").alias("b"), F.col("n").alias("_nb"))
+    return _sized(mine.join(other, "sign").where("comp < _bcomp"))
+
+
+def left_over(live: DataFrame, found: DataFrame) -> DataFrame:
+    """Candidates among documents of open signatures, but for pairs that differ in too many tokens: those
+    either has alone, and those their sketches show."""
+    sizes = live.groupBy("sign").agg(F.count(F.lit(1)).alias("_docs"))
+    sized = staged(live.join(sizes, "sign").select("sign", "node", "n", "comp", "_docs"), "left-over")
+    pairs = _between(sized.where(F.col("_docs") <= CROWD))
+    crowded = sized.where(F.col("_docs") > CROWD).select("node", "comp").distinct()
+    tokens = crowded.join(found.select("node", "n", "tokens"), "node")
+    signs = tokens.mapInArrow(_with_part_signs, "node bigint, n bigint, comp bigint, signs array<bigint>")
+    parts = staged(signs.select("node", "n", "comp", F.explode("signs").alias("sign")), "part-signs")
+    open_parts = parts.groupBy("sign").agg(F.min("comp").alias("_least"), F.max("comp").alias("_most")).where("_least <> _most")
+    pairs = pairs.unionByName(_between(parts.join(open_parts.select("sign"), "sign", "left_semi"))).distinct()
+    words = [F.col("sketch")[i].alias(f"_w{i}") for i in range(SKETCH)]
+    sketches = found.where(F.size("signatures") > 0).select("node", "n", "own", *words)
+    left = sketches.withColumnsRenamed({"node": "a", "n": "_na"})
+    right = sketches.select(*[F.col(c).alias(f"_b{c}") for c in sketches.columns])
+    right = right.withColumnsRenamed({"_bnode": "b", "_bn": "_nb"})
+    apart = F.col("own") + F.col("_bown")
+    for i in range(SKETCH):
+        apart += F.bit_count(F.col(f"_w{i}").bitwiseXOR(F.col(f"_b_w{i}")))
+    near = (100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("_na") + F.col("_nb"))
+    return pairs.join(left, "a").join(right, "b").where(near).select("a", "_na", "b", "_nb")
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough. Sizes are compared before sets are."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("_n_a"), F.col("tokens").alias("_t_a"))
@@ -264,18 +346,7 @@ def link_components(found: DataFrame) -> DataFrame:
                 F.col("node").alias("a"), F.col("n").alias("_na"), F.col("_centre.node").alias("b"), F.col("_centre.n").alias("_nb")
             )
         else:
-            # Everyone of a component against everyone of the others, but for pairs that differ in too
-            # many tokens: those either has alone, and those their sketches show.
-            words = [F.col("sketch")[i].alias(f"_w{i}") for i in range(SKETCH)]
-            sketches = found.where(F.size("signatures") > 0).select("node", *words)
-            mine = live.join(sketches, "node").withColumnsRenamed({"node": "a", "n": "_na"})
-            renamed = {c: f"_b{c}" for c in ["comp", "own", *[f"_w{i}" for i in range(SKETCH)]]}
-            other = mine.drop("_centre").withColumnsRenamed({"a": "b", "_na": "_nb", **renamed})
-            apart = F.col("own") + F.col("_bown")
-            for i in range(SKETCH):
-                apart += F.bit_count(F.col(f"_w{i}").bitwiseXOR(F.col(f"_b_w{i}")))
-            near = (100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("_na") + F.col("_nb"))
-            pairs = mine.join(other, "sign").where((F.col("comp") < F.col("_bcomp")) & near).select("a", "_na", "b", "_nb")
+            pairs = left_over(live, found)
         live = live.drop("_centre")
         more = staged(verified(_sized(pairs), sets), "verified")
         # The stars so far stand for all links so far.
@@ -315,7 +386,8 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fre
     texts = given.where("words <> ''").select(*KEY, "words").mapInArrow(drop_copies, "key_a bigint, key_b bigint, words string")
     units = texts.select(*KEY, "words", unit)
     found = indexed(units, count_classes(units, blocks), frequent)
-    found = staged(found.withColumnRenamed("n_shingles", "n").withColumn("node", F.col("key_a")), "indexed")
+    # Numbers of their own, fixed by writing them: a hash alone could be that of two texts.
+    found = staged(found.withColumnRenamed("n_shingles", "n").withColumn("node", F.monotonically_increasing_id()), "indexed")
     merged = link_components(found)
     classes = (
         found.select(*KEY, "node", "n")
