@@ -1,8 +1,9 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Training counts the n-grams of every labelled text in numpy, per task and language, and sums them
-in Spark; only the model (languages x buckets) comes to the driver. Its size is bounded by
-``MODEL_BYTES``: with very many languages the number of buckets is halved until it fits.
+in Spark; only the model (languages x buckets) comes to the driver. The number of buckets is a parameter
+that no data changes; a model of more than ``MODEL_BYTES`` (more than 256 languages, with the default
+buckets) is refused before it is gathered.
 
 Defined cases: text that is null or has no letter gets ``und`` with score 0, as does every text
 when nothing was learned; a null language trains nothing; equal scores go to the language that sorts
@@ -40,8 +41,8 @@ SLICE_CHARS = 1 << 18
 UNDETERMINED = "und"
 # Fits more than so many deviations below the mean are out; texts that are half in another language stay.
 WIDTH = 12
-# With fewer training texts their deviation says nothing.
-BAND_DOCS = 30
+# The deviation of n training texts is trusted to a factor of 1 + FEW_DOCS / n.
+FEW_DOCS = 30
 
 
 @dataclass(frozen=True)
@@ -148,24 +149,19 @@ def train(
         .persist()
     )
     try:
-        per_lang = summed.where("bucket = -1").select("lang", "n").collect()
+        most = MODEL_BYTES // (4 * buckets)
+        per_lang = summed.where("bucket = -1").select("lang", "n").limit(most + 1).collect()
+        if len(per_lang) > most:
+            raise ValueError(f"more than {most} languages: the model would not fit into {MODEL_BYTES} bytes; use fewer buckets")
         per_lang = sorted((r["lang"].encode(), r["n"]) for r in per_lang)
         langs = [name.decode() for name, _ in per_lang]
-        fitting = buckets
-        while fitting > 256 and fitting * max(len(langs), 1) * 4 > MODEL_BYTES:
-            fitting //= 2
-        folded = (
-            summed.where("bucket >= 0")
-            .groupBy("lang", (F.col("bucket") % fitting).alias("bucket"))
-            .agg(F.sum("n").alias("n"))
-            .toPandas()
-        )
+        found = summed.where("bucket >= 0").toPandas()  # languages x buckets at most
     finally:
         summed.unpersist()
-    grams = np.zeros((fitting, len(langs)))
+    grams = np.zeros((buckets, len(langs)))
     place = {lang: i for i, lang in enumerate(langs)}
-    grams[folded["bucket"].to_numpy(int), folded["lang"].map(place).to_numpy(int)] = folded["n"]
-    totals = grams.sum(0) + SMOOTHING * fitting
+    grams[found["bucket"].to_numpy(int), found["lang"].map(place).to_numpy(int)] = found["n"]
+    totals = grams.sum(0) + SMOOTHING * buckets
     log_prob = np.log(grams + SMOOTHING) - np.log(totals)
     docs = np.array([n for _, n in per_lang], float)
     return Model(langs, np.log(docs / docs.sum()) if len(docs) else docs, log_prob.astype(np.float32), totals)
@@ -240,7 +236,7 @@ class Band:
             return False
         # Trigrams overlap, so about a third of them are independent.
         deviation = math.sqrt(self.deviation**2 + 3 * self.within / count)
-        return self.docs < BAND_DOCS or fit >= self.mean - WIDTH * deviation
+        return fit >= self.mean - WIDTH * (1 + FEW_DOCS / self.docs) * deviation
 
 
 def bands(labelled: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang") -> dict[str, Band]:
