@@ -23,6 +23,8 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_HOST_RATE = 0.5
 WINDOW = 3
+# A host's documents are dealt over so many keys, with a copy of its verdict for each.
+SALTS = 32
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -123,9 +125,15 @@ def host_rules(docs: DataFrame, max_host_rate: float = MAX_HOST_RATE, **rules) -
     """Per document: id, host, measures, ``base_failed``, ``host_rate`` and ``kept``.
 
     Texts are read once: their measures are staged, then summed by host and joined with the hosts'
-    verdicts. The join meets narrow rows only, and adaptive execution splits a hot host.
+    verdicts. The join meets narrow rows only; a host's rows are dealt over SALTS keys, and rows without
+    a host take no part in it.
     """
     judged = staged(document_rules(docs, **rules), "document-rules")
     verdicts = host_rates(judged).select("host", "host_rate")
+    dealt = verdicts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("doc_id", *MEASURES), F.lit(SALTS)).cast("int")
+    hosted = judged.where(F.col("host").isNotNull()).withColumn("_salt", salt)
+    rated = hosted.join(dealt, ["host", "_salt"], "left").select(*judged.columns, "host_rate")
+    homeless = judged.where(F.col("host").isNull()).withColumn("host_rate", F.lit(None).cast("double"))
     bad_host = F.coalesce(F.col("host_rate") > max_host_rate, F.lit(False))
-    return judged.join(verdicts, "host", "left").withColumn("kept", ~F.col("base_failed") & ~bad_host)
+    return rated.unionByName(homeless).withColumn("kept", ~F.col("base_failed") & ~bad_host)

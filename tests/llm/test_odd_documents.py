@@ -321,3 +321,10 @@ def test_word_encoder_equals_the_library_on_odd_strings():
     for text, n in zip(odd, counts):
         assert list(ids[at : at + n]) == library.encode(text or "", add_special_tokens=False).ids
         at += n
+
+
+def test_most_documents_without_a_host(spark):
+    rows = [(i, "w " * (i % 3), None if i % 10 else "h") for i in range(300)] + [(None, None, None)] * 3
+    found = quality.host_rules(spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING")).collect()
+    assert counted(found_rows := spark.createDataFrame([(r["doc_id"],) for r in found], "doc_id BIGINT"), "doc_id") == Counter((r[0],) for r in rows)
+    assert {(r["host"], r["host_rate"], r["kept"]) for r in found} == {(None, None, False), ("h", 1.0, False)} and found_rows.count() == 303
