@@ -161,6 +161,26 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op9_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, row_number() OVER () AS row_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT row_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT row_id, w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1) + 1))) AS i FROM words)),
+sizes AS (SELECT row_id, count(*) AS n FROM shingles GROUP BY row_id),
+common AS (
+  SELECT a.row_id AS a, b.row_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.row_id <> b.row_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common c JOIN sizes x ON x.row_id = a JOIN sizes y ON y.row_id = b WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)),
+reach AS (SELECT row_id AS node, row_id AS seen FROM words UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.seen)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM reach JOIN words d ON d.row_id = node JOIN words o ON o.row_id = seen LEFT JOIN sizes z ON z.row_id = node
+GROUP BY node, d.doc_id
+"""
+
+
 @query
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules of every document with the verdict on its host."""

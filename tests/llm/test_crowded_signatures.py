@@ -88,5 +88,6 @@ def pairs_met(spark, monkeypatch, docs):
 
 
 def test_documents_of_the_same_passages_are_not_all_compared(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CROWD", 16)  # few documents here
     (few, parts), (every,) = pairs_met(spark, monkeypatch, 250)
     assert few + parts < every / 2, (few, parts, every)
