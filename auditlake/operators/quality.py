@@ -170,39 +170,30 @@ def result_rows(checks: DataFrame, run_at: Column, run_id: str | None) -> DataFr
     )
 
 
+# The scorecards, for frames here and for the views of the history tables alike.
+_TALLY = "count(*) AS checks, count_if(passed) AS passed, count_if(NOT passed) AS failed"
+_NEWEST = "run_at = (SELECT max(run_at) FROM {results})"
+CHECK_SCORECARD = f"SELECT suite, run_at, {_TALLY} FROM {{results}} WHERE {_NEWEST} GROUP BY suite, run_at"
+CHECK_HISTORY = f"SELECT run_at, {_TALLY} FROM {{results}} GROUP BY run_at"
+EXPECTATION_SCORECARD = (
+    "SELECT dataset, expectation, passed_records, failed_records, run_at, "
+    f"try_divide(failed_records, passed_records + failed_records) AS failure_rate FROM {{results}} WHERE {_NEWEST}"
+)
+
+
 def check_scorecard(results: DataFrame) -> DataFrame:
     """The newest run, one row per suite."""
-    return (
-        latest_snapshot(results, "run_at")
-        .groupBy("suite", "run_at")
-        .agg(
-            F.count(F.lit(1)).alias("checks"),
-            F.count_if("passed").alias("passed"),
-            F.count_if(~F.col("passed")).alias("failed"),
-        )
-    )
+    return results.sparkSession.sql(CHECK_SCORECARD, results=results)
 
 
 def check_history(results: DataFrame) -> DataFrame:
     """One row per run."""
-    return results.groupBy("run_at").agg(
-        F.count(F.lit(1)).alias("checks"),
-        F.count_if("passed").alias("passed"),
-        F.count_if(~F.col("passed")).alias("failed"),
-    )
+    return results.sparkSession.sql(CHECK_HISTORY, results=results)
 
 
 def expectation_scorecard(results: DataFrame) -> DataFrame:
     """The newest expectation results with the share of failed rows, NULL when nothing ran."""
-    total = F.col("passed_records") + F.col("failed_records")
-    return latest_snapshot(results, "run_at").select(
-        "dataset",
-        "expectation",
-        "passed_records",
-        "failed_records",
-        "run_at",
-        F.try_divide("failed_records", total).alias("failure_rate"),
-    )
+    return results.sparkSession.sql(EXPECTATION_SCORECARD, results=results)
 
 
 def fingerprint(df: DataFrame, cols: Sequence[str], method: str = "xxhash64") -> DataFrame:

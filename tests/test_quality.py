@@ -148,12 +148,50 @@ def test_quality_objects_are_idempotent_and_empty_before_any_run(spark):
     assert spark.table("quality_t.expectation_scorecard").count() == 0
 
 
+def test_a_retried_append_adds_nothing(spark):
+    sinks.ensure_quality_objects(spark, "quality_r")
+    first, second = results(spark, {"run_at": "2026-10-01"}), results(spark, {"run_at": "2026-10-02"}, {"run_at": "2026-10-02", "suite": "other"})
+    for part in (first, second, second, first):
+        sinks.append_history(part, "quality_r.check_results")
+    kept = spark.table("quality_r.check_results").groupBy("run_at", "suite").count().collect()
+    assert len(kept) == 3 and {r["count"] for r in kept} == {1}
+
+
+def test_an_append_that_breaks_off_leaves_the_history_and_can_be_sent_again(spark):
+    sinks.ensure_quality_objects(spark, "quality_b")
+    sinks.append_history(results(spark, {"run_at": "2026-10-01"}), "quality_b.check_results")
+    new = results(spark, {"run_at": "2026-10-02"}, {"run_at": "2026-10-02", "check_name": "last"})
+    broken = new.withColumn("actual", F.when(F.col("check_name") == "last", F.raise_error(F.lit("lost"))).otherwise(F.col("actual")))
+    with pytest.raises(Exception, match="lost"):
+        sinks.append_history(broken, "quality_b.check_results")
+    assert spark.table("quality_b.check_results").count() == 1
+    for _ in range(2):
+        sinks.append_history(new, "quality_b.check_results")
+    assert spark.table("quality_b.check_results").count() == 3
+
+
+def test_a_table_that_is_not_stored_by_run_takes_no_history(spark):
+    results(spark, {}).write.mode("overwrite").saveAsTable("plain_history")
+    with pytest.raises(ValueError, match="not stored by run"):
+        sinks.append_history(results(spark, {}), "plain_history")
+
+
 def test_materialize_replaces(spark):
     for n in (3, 2):
         sinks.materialize(spark.range(n), "mat_t")
     assert spark.table("mat_t").count() == 2
 
 
+def test_a_recomputation_that_fails_leaves_the_old_table(spark):
+    sinks.materialize(spark.range(4), "mat_f")
+    begun = spark.table("mat_f")
+    with pytest.raises(Exception, match="half way"):
+        sinks.materialize(spark.range(9).select(F.when(F.col("id") > 7, F.raise_error(F.lit("half way"))).otherwise(F.col("id")).alias("id")), "mat_f")
+    assert spark.table("mat_f").count() == 4
+    sinks.materialize(spark.table("mat_f").where("id < 3"), "mat_f")  # from itself
+    assert spark.table("mat_f").count() == 3 and begun.count() == 4
+
+
 @pytest.mark.parametrize("method", ["xxhash64", "sha256"])
 def test_fingerprint_follows_content_not_order(spark, method):
     df = spark.range(100).select(F.col("id").cast("string").alias("a"), F.when(F.col("id") % 2 == 0, "x").alias("b"))
