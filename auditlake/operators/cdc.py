@@ -17,9 +17,12 @@ from auditlake.operators.keyed import (
     join_null_safe,
     last_known,
     latest_by,
+    repeated,
     total_order,
+    with_repeated,
     with_slice,
 )
+from auditlake.session import stage
 
 
 def scd1(
@@ -41,6 +44,25 @@ def scd1(
     return latest_by(changes, keys, order).drop(*except_cols)
 
 
+def scd1_rare(
+    changes: DataFrame,
+    keys: list[str],
+    sequence: str,
+    except_cols: list[str] = (),
+    tie_break: list[str] | None = None,
+) -> DataFrame:
+    """``scd1`` of wide rows whose keys seldom repeat: the same rows, but only repeated keys are shuffled.
+
+    ``changes`` is read three times, twice right away. With more repeated keys than fit a broadcast this is ``scd1``.
+    """
+    again = repeated(changes, keys)
+    if again is None:
+        return scd1(changes, keys, sequence, except_cols, tie_break)
+    winners = scd1(with_repeated(changes, keys, again, "left_semi"), keys, sequence, except_cols, tie_break)
+    once = with_repeated(changes, keys, again, "left_anti").drop(*except_cols)
+    return once.unionByName(stage(winners, "repeated-winners"))
+
+
 def scd2(
     changes: DataFrame,
     keys: list[str],

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditlake import constants as K
-from auditlake.operators.keyed import SLICE_SECONDS, last_known, with_slice
+from auditlake.operators.keyed import SLICE_SECONDS, if_few, last_known, with_slice
 
 
 def with_holiday_flag(
@@ -39,13 +39,24 @@ def asof_join(
     values: list[str],
     out: str,
     seconds: int = SLICE_SECONDS,
+    few_known: bool = False,
 ) -> DataFrame:
     """Add ``out``: a struct of the latest event at or before each fact, NULL without one.
 
     Facts are reduced to their distinct (key, time), events to the highest values at one; these meet
     in time slices, and the answer is joined back to the facts on (key, time). Linear in facts plus
     events, whatever a key holds. Facts without a key or time look for nothing.
+
+    ``few_known`` is for wide facts most of whose keys have no event: these stay out of every shuffle. The keys
+    of the events are gathered for it right away, and used if they fit a broadcast.
     """
+    rest = None
+    if few_known:
+        keys = events.where(F.col(event_key).isNotNull()).select(F.col(event_key).alias("_known")).distinct()
+        known = if_few(keys, "known-keys")
+        if known is not None:
+            has_events = F.col(key) == F.col("_known")
+            facts, rest = facts.join(known, has_events, "left_semi"), facts.join(known, has_events, "left_anti")
     points = (
         facts.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
         .groupBy(F.col(key).alias("_key"), F.col(ts).alias("_at"))
@@ -64,8 +75,8 @@ def asof_join(
         F.col("_key").alias("_a_key"), F.col("_at").alias("_a_at"), F.col(out).alias("_a_out")
     )
     match = (F.col(key) == F.col("_a_key")) & (F.col(ts) == F.col("_a_at"))
-    joined = facts.join(answers, match, "left")
-    return joined.withColumn(out, F.col("_a_out")).drop("_a_key", "_a_at", "_a_out")
+    joined = facts.join(answers, match, "left").withColumn(out, F.col("_a_out")).drop("_a_key", "_a_at", "_a_out")
+    return joined if rest is None else joined.unionByName(rest, allowMissingColumns=True)
 
 
 def pit_join(
@@ -78,14 +89,15 @@ def pit_join(
     value: str = "customer_key",
     unknown: int | None = K.UNKNOWN_KEY,
     seconds: int = SLICE_SECONDS,
+    few_known: bool = False,
 ) -> DataFrame:
     """Value of the version valid at the fact's time, on the half-open [valid_from, valid_to).
 
     The versions of a key must not overlap, so only the latest one that has begun can be valid;
-    ``pit_join_overlapping`` is for versions that may.
+    ``pit_join_overlapping`` is for versions that may. ``few_known`` as in ``asof_join``.
     """
     joined = asof_join(
-        facts, versions, key, ts, version_key, "valid_from", [value, "valid_to"], "_hit", seconds
+        facts, versions, key, ts, version_key, "valid_from", [value, "valid_to"], "_hit", seconds, few_known
     )
     found = F.when(F.col(ts) < F.col("_hit.valid_to"), F.col(f"_hit.{value}"))
     if unknown is not None:

@@ -14,6 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from auditlake.session import stage
+
+# So many narrow rows fit a broadcast; more are shuffled.
+FEW_ROWS = 2_000_000
 SLICE_SECONDS = 86_400
 SLICE = "_slice"
 
@@ -78,6 +82,27 @@ def last_known(
     return join_null_safe(valued, carried, [*keys, SLICE]).withColumns(result).select(*given, *names)
 
 
+def if_few(df: DataFrame, label: str, most: int | None = None) -> DataFrame | None:
+    """A narrow frame written once and marked for broadcast, or None if it holds more than ``most`` rows."""
+    kept = stage(df, label)
+    return F.broadcast(kept) if kept.count() <= (FEW_ROWS if most is None else most) else None
+
+
+def repeated(df: DataFrame, keys: list[str]) -> DataFrame | None:
+    """Hashes (``_again``) that more than one row's key has, marked for broadcast; None if they are many.
+
+    Only hashes are shuffled. A key whose hash is not among them is certainly on one row; NULL is a key.
+    """
+    hashes = df.select(F.xxhash64(*keys).alias("_again")).groupBy("_again").agg(F.count(F.lit(1)).alias("_n"))
+    return if_few(hashes.where("_n > 1").select("_again"), "repeated")
+
+
+def with_repeated(df: DataFrame, keys: list[str], again: DataFrame, how: str) -> DataFrame:
+    """The rows whose key's hash comes again ("left_semi"), or the others ("left_anti"); none is shuffled."""
+    hashed = df.withColumn("_key_hash", F.xxhash64(*keys))
+    return hashed.join(again, F.col("_key_hash") == F.col("_again"), how).drop("_key_hash")
+
+
 def latest_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """First row of each key in the given order. Each task keeps one row a key before the shuffle."""
     window = W.partitionBy(*keys).orderBy(*order)

@@ -15,8 +15,7 @@ from auditlake.functions import (
     rule_source,
 )
 from auditlake.operators.joins import lookup, pit_join
-from auditlake.operators.keyed import crowded_points
-from auditlake.session import stage
+from auditlake.operators.keyed import crowded_points, if_few
 
 REGIONS = {"eaw": "england-and-wales", "scotland": "scotland", "ni": "northern-ireland"}
 
@@ -87,15 +86,16 @@ def burst_flag(
     """Add ``flag_burst``: a transfer with enough transfers of its customer close in time.
 
     The crowded moments are found first from the transfers alone, and they are few. ``staged``
-    writes them to the scratch folder, so the planner knows their size and joins the wide rows to
-    them without a shuffle whenever they fit its broadcast threshold.
+    finds them right away and writes them to the scratch folder; the wide rows are then joined to
+    them without a shuffle unless they are too many for a broadcast.
     """
     crowded = crowded_points(
         tx, "customer_id", "event_ts", F.col("txn_type") == "TRANSFER",
         minutes * 60, minutes * 60, threshold,
     ).select(F.col("customer_id").alias("_c_id"), F.col("event_ts").alias("_c_ts"))
     if staged:
-        crowded = stage(crowded, "crowded")
+        few = if_few(crowded, "crowded")
+        crowded = crowded if few is None else few
     match = (F.col("customer_id") == F.col("_c_id")) & (F.col("event_ts") == F.col("_c_ts"))
     flag = (F.col("txn_type") == "TRANSFER") & F.col("_c_id").isNotNull()
     return tx.join(crowded, match, "left").withColumn("flag_burst", flag).drop("_c_id", "_c_ts")
@@ -113,7 +113,8 @@ def fact_transactions(
     """One row per transaction with keys, bands and rule flags.
 
     ``dim_customer`` adds the two customer keys (version valid at event time, -1 when unknown);
-    leave it out where no customer key is read.
+    leave it out where no customer key is read. ``staged`` gathers crowded moments and known customers
+    first, so that the wide rows need no shuffle for them.
     """
     hour = F.hour("event_ts")
     sort = band_sort(F.col("amount"))
@@ -152,5 +153,5 @@ def fact_transactions(
     )
     if dim_customer is None:
         return fact
-    sent = pit_join(fact, dim_customer, "customer_id", "event_ts", "origin_customer_key")
-    return pit_join(sent, dim_customer, "counterparty_id", "event_ts", "counterparty_key")
+    sent = pit_join(fact, dim_customer, "customer_id", "event_ts", "origin_customer_key", few_known=staged)
+    return pit_join(sent, dim_customer, "counterparty_id", "event_ts", "counterparty_key", few_known=staged)

@@ -114,7 +114,7 @@ def unusual_activity(spark, sf):
 def unusual_activity_default(spark, sf):
     """The same with every threshold at its default."""
     w = World(spark, sf)
-    fact = star.fact_transactions(w.transactions, w.dim_type)
+    fact = star.fact_transactions(w.transactions, w.dim_type, staged=True)
     return kpis.unusual_activity(fact, w.dim_type)
 
 
@@ -123,9 +123,9 @@ def fact_transactions(spark, sf):
     """The fact with the versions both parties had at event time (their start, not the hash key)."""
     w = World(spark, sf)
     dim = w.dim_customer.select("customer_id", "valid_from", "valid_to")
-    sent = joins.pit_join(w.fact, dim, "customer_id", "event_ts", "origin_from", value="valid_from", unknown=None)
-    both = joins.pit_join(sent, dim, "counterparty_id", "event_ts", "counterparty_from", value="valid_from", unknown=None)
-    return both
+    of = {"value": "valid_from", "unknown": None, "few_known": True}
+    sent = joins.pit_join(stage(w.fact, "fact"), dim, "customer_id", "event_ts", "origin_from", **of)
+    return joins.pit_join(sent, dim, "counterparty_id", "event_ts", "counterparty_from", **of)
 
 
 def _clicks_within(spark, sf, seconds):
@@ -228,33 +228,36 @@ def world_tables(w: World) -> dict[str, DataFrame]:
         "gold.dim_type": w.dim_type,
         "gold.fact_transactions": w.keyed_fact,
         "gold.kpi_daily": w.kpi_daily,
-        "gold.reconciliation": reconcile.control_totals(audit_tables(w)),
+        "gold.reconciliation": reconcile.control_totals(audit_tables(w, reconcile.TABLES)),
         "gold.unusual_activity": w.unusual,
     }
 
 
-def audit_tables(w: World) -> dict[str, DataFrame]:
-    """The tables the control totals and the check suites read."""
-    return {
-        "feed": w.feed,
-        "history": w.history,
-        "profile": w.profile,
-        "payloads": w.payloads,
-        "manifests": w.manifests,
-        "profile_landing": w.profile_files,
-        "history_landing": w.history_files,
-        "feed_landing": w.feed_files,
-        "profile_events": w.profile_events,
-        "transactions": w.transactions,
-        "quarantine": w.quarantine,
-        "holidays": w.holidays,
-        "fact": w.keyed_fact,
-        "dim_customer": w.dim_customer,
-        "dim_date": w.dim_date,
-        "dim_type": w.dim_type,
-        "kpi_daily": w.kpi_daily,
-        "unusual": w.unusual,
-    }
+AUDITED = {
+    "feed": "feed",
+    "history": "history",
+    "profile": "profile",
+    "payloads": "payloads",
+    "manifests": "manifests",
+    "profile_landing": "profile_files",
+    "history_landing": "history_files",
+    "feed_landing": "feed_files",
+    "profile_events": "profile_events",
+    "transactions": "transactions",
+    "quarantine": "quarantine",
+    "holidays": "holidays",
+    "fact": "keyed_fact",
+    "dim_customer": "dim_customer",
+    "dim_date": "dim_date",
+    "dim_type": "dim_type",
+    "kpi_daily": "kpi_daily",
+    "unusual": "unusual",
+}
+
+
+def audit_tables(w: World, names: tuple[str, ...] = tuple(AUDITED)) -> dict[str, DataFrame]:
+    """The tables the control totals and the check suites read; those not named are not built."""
+    return {name: getattr(w, AUDITED[name]) for name in names}
 
 
 @query
@@ -746,12 +749,12 @@ def overlap(spark, sf):
 
 @query
 def control_totals(spark, sf):
-    return reconcile.control_totals(audit_tables(World(spark, sf, staged=True)))
+    return reconcile.control_totals(audit_tables(World(spark, sf, staged=True), reconcile.TABLES))
 
 
 @query
 def reconcile_constraints(spark, sf):
-    totals = reconcile.control_totals(audit_tables(World(spark, sf, staged=True)))
+    totals = reconcile.control_totals(audit_tables(World(spark, sf, staged=True), reconcile.TABLES))
     return reconcile.constraint_results(totals)
 
 
