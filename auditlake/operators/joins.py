@@ -180,24 +180,22 @@ def pit_join_overlapping(
     low, high = F.ceil(F.col("_from") / width) - first_slice, slice_of(F.col("_to"))
     whole = (
         known.select("_key", F.explode(F.when(low < high, _cells(low, high, levels))).alias("c"), "_best")
-        .groupBy("_key", "c.level", "c.cell")
+        .select("_key", "c.level", "c.cell", "_best")
+        .groupBy("_key", "level", "cell")
         .agg(F.max("_best").alias("_best"))
     )
     ends = F.array_distinct(F.array(slice_of(F.col("_from")), slice_of(F.col("_to"))))
     partly = F.filter(ends, lambda s: (s < low) | (s >= high))
-    parts = known.select("_key", F.lit(-1).alias("level"), F.explode(partly).alias("cell"), "_best", "_from", "_to")
-    cells = whole.unionByName(parts, allowMissingColumns=True)
+    parts = known.select("_key", F.explode(partly).alias("cell"), "_best", "_from", "_to")
 
+    # Two joins, since whole cells already lie by the columns they are looked up by.
     mine = slice_of(F.col("_at"))
-    asked = F.array(
-        F.struct(F.lit(-1).alias("level"), mine.alias("cell")),
-        *[F.struct(F.lit(n).alias("level"), F.floor(mine / GRID**n).alias("cell")) for n in range(levels)],
-    )
+    asked = F.array(*[F.struct(F.lit(n).alias("level"), F.floor(mine / GRID**n).alias("cell")) for n in range(levels)])
     looked = points.select("_key", "_at", F.explode(asked).alias("a")).select("_key", "_at", "a.level", "a.cell")
-    inside = F.col("_from").isNull() | ((F.col("_at") >= F.col("_from")) & (F.col("_at") < F.col("_to")))
+    inside = (F.col("_at") >= F.col("_from")) & (F.col("_at") < F.col("_to"))
+    within = points.withColumn("cell", mine).join(parts, ["_key", "cell"]).where(inside).select("_key", "_at", "_best")
     answers = (
-        looked.join(cells, ["_key", "level", "cell"])
-        .where(inside)
+        looked.join(whole, ["_key", "level", "cell"]).select("_key", "_at", "_best").unionByName(within)
         .groupBy(F.col("_key").alias("_a_key"), F.col("_at").alias("_a_at"))
         .agg(F.max("_best").alias("_best"))
     )

@@ -1,11 +1,13 @@
 """Wide rows stay out of the shuffles where few keys come twice, are crowded, or are known."""
 
+import re
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from auditlake.operators import cdc, joins, keyed, reconcile
+from auditlake.plans import queries
 
 DDL = "id STRING, at INT, value STRING"
 ROWS = [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", 1, "x"), ("b", 1, "x"), ("c", 5, None), (None, 1, "n"), (None, 3, "m"), ("d", None, "q")]
@@ -59,3 +61,27 @@ def test_fact_totals_count_each_id_once(spark, monkeypatch, most):
     assert (row["fact_rows"], row["fact_distinct_events"], row["fact_value_total"]) == (7, 3, Decimal("10.50"))
     assert (row["history_rows_gold"], row["gold_generated_rows"], row["generated_unknown_customer_rows"]) == (3, 4, 4)
     assert reconcile.fact_totals(fact.limit(0), "f", "h").first()["fact_distinct_events"] == 0
+
+
+def test_whole_cells_are_shuffled_once(spark):
+    facts = spark.createDataFrame([("a", 5), ("a", 90_000_000)], "k STRING, s LONG").select("k", F.timestamp_seconds("s").alias("ts"))
+    spans = spark.createDataFrame([("a", 4, 80_000_000, 1)], "k STRING, f LONG, t LONG, n LONG")
+    versions = spans.select("k", F.timestamp_seconds("f").alias("valid_from"), F.timestamp_seconds("t").alias("valid_to"), "n")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = joins.pit_join_overlapping(facts, versions, "k", "ts", "hit", version_key="k", value="n")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["hit"] for r in found.collect()) == [-1, 1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(re.findall(r"hashpartitioning\([^)]*level", plan)) == 2  # the cells and those looked up
+
+
+def test_layouts_get_more_files_with_more_rows(spark, monkeypatch, tmp_path):
+    for name, rows in (("events", 5), ("lineitem", 30)):
+        spark.range(rows).write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(queries, "LAYOUT_ROWS", 2)
+    assert queries._layout_files(spark, str(tmp_path), 8) == 18
+    monkeypatch.setattr(queries, "LAYOUT_ROWS", 1_000)
+    assert queries._layout_files(spark, str(tmp_path), 8) == 8
