@@ -165,12 +165,9 @@ def split_stream(tagged: DataFrame, clean: str, rejected: str, checkpoint: str,
     """One stream into two sinks: rows without a reason, and the quarantine."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            write_batch(shape.split_valid(batch).drop("failed_checks"), clean, batch_id)
-            write_batch(shape.quarantine(batch, at), rejected, batch_id)
-        finally:
-            batch.unpersist()
+        # Read twice rather than kept: the second pass derives the other columns of the few rejected rows only.
+        write_batch(shape.split_valid(batch).drop("failed_checks"), clean, batch_id)
+        write_batch(shape.quarantine(batch, at), rejected, batch_id)
 
     run_batches(tagged, handle, checkpoint)
 
