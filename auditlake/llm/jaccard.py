@@ -15,10 +15,12 @@ Tokens of one document only are never shared and never indexed. Candidates are v
 of 64-bit hashes. Within a signature, documents are compared with a centre first; when links have
 merged a group of copies, only pairs of different components are left to compare. So a large group of
 copies costs its size. A signature of up to ``CROWD`` documents compares all that are left; documents of
-a larger one (texts put together from the same few passages) are not paired by it, but by combinations
-of more tokens: similar sets differ in at most d tokens, so of d // 3 + 1 hash parts of the tokens one
-differs in two or fewer, and of five cells of that part three are the same. All choices of three cells of
-all parts are signatures (``part_signs``). Parity sketches spare most of the sets. No link between components is lost.
+a larger one (texts put together from the same few passages, copies with changes of their own) are not paired by
+it, but by combinations of more tokens: of tokens that other documents have too, similar sets differ in at most d,
+which is less the more tokens either has alone. So of d // 3 + 1 hash parts of the tokens one differs in two or
+fewer, and of five cells of that part three are the same. All choices of three cells of all parts are signatures,
+apart for each pair of classes of documents (``sided_signs``): changed copies of one text, no two of them similar,
+seldom meet. Parity sketches spare most of the sets. No link between components is lost.
 
 Texts are read by units of documents; frequencies are counted in blocks of hash ranges to which each
 unit sends its sorted tokens once. Exact copies (equal words) are one document throughout.
@@ -31,6 +33,7 @@ ignored, whatever their names.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 
@@ -55,6 +58,8 @@ CROWD = 64
 # Cells of a part of the tokens, how many of them may differ, and the choices of cells that are the same.
 CELLS, SPARED = 5, 2
 CHOICES = list(itertools.combinations(range(CELLS), CELLS - SPARED))
+# Classes of sets of one size by the slack their own tokens leave (see ``sided_signs``).
+SLACKS = 8
 # 64-bit words of a document's parity sketch.
 SKETCH = 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -244,55 +249,94 @@ def size_group(n: int) -> tuple[int, int, int]:
     return group, above - 1, above * 100 // PERCENT
 
 
-def part_signs(tokens: np.ndarray, n: int) -> np.ndarray:
-    """Signatures of which sets of similar size share one whenever they are similar.
-
-    ``n`` is the size of the set, ``tokens`` those of it that other documents have."""
-    group, own, following = size_group(n)
-    hashed, found = mix(tokens ^ np.uint64(7)), []
-    for place, most in ((group, own), (group + 1, following)):
-        differ = 2 * most * (100 - PERCENT) // (100 + PERCENT)
-        parts = differ // (SPARED + 1) + 1
-        at = (hashed % np.uint64(parts)) * np.uint64(CELLS) + (hashed >> np.uint64(40)) % np.uint64(CELLS)
-        cells = np.zeros(parts * CELLS, np.uint64)
-        np.add.at(cells, at.astype(np.int64), mix(hashed))
-        cells = cells.reshape(parts, CELLS)
-        name = mix(np.arange(parts, dtype=np.uint64) + (np.uint64(place) << np.uint64(48)))
-        for number, choice in enumerate(CHOICES):
-            value = name + np.uint64(number)
-            for cell in choice:
-                value = mix(value * np.uint64(3) + cells[:, cell])
-            found.append(value)
-    return np.concatenate(found)
+@functools.cache
+def group_end(group: int) -> int:
+    """Largest set size of a group."""
+    return size_group(1 if group == 0 else group_end(group - 1) + 1)[1]
+
+
+def sided_signs(tokens: np.ndarray, n: int, own: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of which similar sets share one, from opposite sides (-1 and 1, or 0 on both).
+
+    ``n`` is the size of the set, ``tokens`` those of it that other documents have, ``own`` the number of others.
+    A set's slack is how many of the tokens that differ between similar sets it allows, less ``own``: ``tokens`` of
+    two sets differ in at most the sum of their slacks. Sets of one size group and a like slack are a class; those
+    of two classes meet under that pair's bound only, the lower class on side -1 and the higher on side 1."""
+    group = size_group(n)[0]
+    unit = lambda g: max(100 + PERCENT, (100 - PERCENT) * group_end(g) // SLACKS)
+    mine = (group, ((100 - PERCENT) * n - (100 + PERCENT) * own) // unit(group))
+    slack = (mine[1] + 1) * unit(group) - 1  # the largest of the class
+    hashed = mix(tokens ^ np.uint64(7))
+    cell, value = (hashed >> np.uint64(40)) % np.uint64(CELLS), mix(hashed)
+    by_parts: dict[int, np.ndarray] = {}
+
+    def chosen(parts: int) -> np.ndarray:
+        if parts not in by_parts:
+            cells = np.zeros(parts * CELLS, np.uint64)
+            np.add.at(cells, ((hashed % np.uint64(parts)) * np.uint64(CELLS) + cell).astype(np.int64), value)
+            cells, number = cells.reshape(parts, CELLS), np.arange(parts * len(CHOICES), dtype=np.uint64)
+            values = number.reshape(parts, len(CHOICES))
+            for same in np.array(CHOICES).T:
+                values = mix(values * np.uint64(3) + cells[:, same])
+            by_parts[parts] = values.ravel()
+        return by_parts[parts]
+
+    signs, sides = [np.zeros(0, np.uint64)], [np.zeros(0, np.int8)]
+    for other in range(max(0, group - 1), group + 2):
+        width = unit(other)
+        for number in range(-(slack // width) - 2, (100 - PERCENT) * group_end(other) // width + 1):
+            differ = (slack + (number + 1) * width - 1) // (100 + PERCENT)
+            if differ < 0:
+                continue
+            theirs = (other, number)
+            low, high = min(mine, theirs), max(mine, theirs)
+            name = mix(np.array([(low[0] << 48) + (high[0] << 36) + (low[1] + (1 << 12) << 18) + high[1] + (1 << 12)], np.uint64))
+            signs.append(mix(chosen(differ // (SPARED + 1) + 1) + name))
+            sides.append(np.full(len(signs[-1]), (mine > theirs) - (mine < theirs), np.int8))
+    return np.concatenate(signs), np.concatenate(sides)
+
+
+def part_signs(tokens: np.ndarray, n: int, own: int = 0) -> np.ndarray:
+    """The signatures of ``sided_signs``, whatever their side."""
+    return sided_signs(tokens, n, own)[0]
 
 
 def _with_part_signs(batches):
     for batch in batches:
-        signs = []
-        for n, tokens in zip(batch.column("n").to_pylist(), batch.column("tokens")):
-            signs.append(part_signs(tokens.values.to_numpy(zero_copy_only=False).view(np.uint64), n).view(np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [*[batch.column(c) for c in ("node", "n", "comp")], pa.array(signs, pa.list_(pa.int64()))], ["node", "n", "comp", "signs"]
-        )
+        each = zip(batch.column("n").to_pylist(), batch.column("own").to_pylist(), batch.column("tokens"))
+        found = [sided_signs(t.values.to_numpy(zero_copy_only=False).view(np.uint64), n, own) for n, own, t in each]
+        columns = [batch.column(c) for c in ("node", "n", "own", "comp")]
+        signs, sides = pa.array([s.view(np.int64) for s, _ in found], pa.list_(pa.int64())), pa.array([s for _, s in found], pa.list_(pa.int8()))
+        yield pa.RecordBatch.from_arrays([*columns, signs, sides], ["node", "n", "own", "comp", "signs", "sides"])
 
 
 def _between(postings: DataFrame) -> DataFrame:
-    """Pairs of one signature, similar size and different components, once each."""
-    mine = postings.select("sign", "comp", F.col("node").alias("a"), F.col("n").alias("_na"))
-    other = postings.select("sign", F.col("comp").alias("_bcomp"), F.col("node").alias("b"), F.col("n").alias("_nb"))
-    return _sized(mine.join(other, "sign").where("comp < _bcomp"))
+    """Pairs of one signature, opposite sides and different components, once each. Either has enough tokens that
+    others have too."""
+    mine = postings.where("side <= 0").select("sign", "side", "comp", F.col("node").alias("a"), F.col("n").alias("_na"), F.col("own").alias("_own_a"))
+    other = postings.where("side >= 0").select(
+        "sign", F.col("comp").alias("_bcomp"), F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("own").alias("_own_b")
+    )
+    apart = (F.col("comp") < F.col("_bcomp")) | ((F.col("side") < 0) & (F.col("comp") > F.col("_bcomp")))
+    shared = F.least(F.col("_na") - F.col("_own_a"), F.col("_nb") - F.col("_own_b"))
+    enough = (100 + PERCENT) * shared >= PERCENT * (F.col("_na") + F.col("_nb"))
+    return _sized(mine.join(other, "sign").where(apart & enough))
 
 
 def left_over(live: DataFrame, found: DataFrame) -> DataFrame:
     """Candidates among documents of open signatures, but for pairs that differ in too many tokens: those
     either has alone, and those their sketches show."""
     sizes = live.groupBy("sign").agg(F.count(F.lit(1)).alias("_docs"))
-    sized = staged(live.join(sizes, "sign").select("sign", "node", "n", "comp", "_docs"), "left-over")
+    sized = staged(live.join(sizes, "sign").select("sign", F.lit(0).alias("side"), "node", "n", "own", "comp", "_docs"), "left-over")
     pairs = _between(sized.where(F.col("_docs") <= CROWD))
     crowded = sized.where(F.col("_docs") > CROWD).select("node", "comp").distinct()
-    tokens = crowded.join(found.select("node", "n", "tokens"), "node")
-    signs = tokens.mapInArrow(_with_part_signs, "node bigint, n bigint, comp bigint, signs array<bigint>")
-    parts = staged(signs.select("node", "n", "comp", F.explode("signs").alias("sign")), "part-signs")
+    tokens = crowded.join(found.select("node", "n", "own", "tokens"), "node")
+    signs = tokens.mapInArrow(
+        _with_part_signs, "node bigint, n bigint, own bigint, comp bigint, signs array<bigint>, sides array<tinyint>"
+    )
+    each = F.explode(F.arrays_zip("signs", "sides")).alias("_s")
+    named = signs.select("node", "n", "own", "comp", each).select("node", "n", "own", "comp", F.col("_s.signs").alias("sign"), F.col("_s.sides").alias("side"))
+    parts = staged(named, "part-signs")
     open_parts = parts.groupBy("sign").agg(F.min("comp").alias("_least"), F.max("comp").alias("_most")).where("_least <> _most")
     pairs = pairs.unionByName(_between(parts.join(open_parts.select("sign"), "sign", "left_semi"))).distinct()
     words = [F.col("sketch")[i].alias(f"_w{i}") for i in range(SKETCH)]

@@ -91,3 +91,44 @@ def test_documents_of_the_same_passages_are_not_all_compared(spark, monkeypatch)
     monkeypatch.setattr(jaccard, "CROWD", 16)  # few documents here
     (few, parts), (every,) = pairs_met(spark, monkeypatch, 250)
     assert few + parts < every / 2, (few, parts, every)
+
+
+def changed_copies(rng, copies, size=145, gone=20):
+    """Own tokens and shared ones of copies of one set, each with changes of its own."""
+    base = rng.integers(1, 2**63, size).astype(np.uint64)
+    return [(rng.permutation(base)[gone:], size, gone) for _ in range(copies)]
+
+
+def test_changed_copies_of_one_text_seldom_meet():
+    sets = changed_copies(np.random.default_rng(6), 300)
+    sides: dict[int, tuple[list, list]] = {}
+    for i, (tokens, n, own) in enumerate(sets):
+        for sign, side in zip(*(x.tolist() for x in jaccard.sided_signs(tokens, n, own))):
+            low, high = sides.setdefault(sign, ([], []))
+            low += [i] * (side <= 0)
+            high += [i] * (side >= 0)
+    met = sum(1 for low, high in sides.values() for a in low for b in high if a < b)
+    plain: dict[int, int] = {}
+    for tokens, n, _ in sets:
+        for sign in jaccard.part_signs(tokens, n).tolist():
+            plain[sign] = plain.get(sign, 0) + 1
+    assert met < 300 * 299 / 2 / 20 < sum(c * (c - 1) // 2 for c in plain.values())
+
+
+def test_similar_sets_with_own_tokens_meet_from_opposite_sides():
+    rng = np.random.default_rng(8)
+    seen = 0
+    for _ in range(600):
+        both = rng.integers(1, 2**63, int(rng.integers(4, 300))).astype(np.uint64)
+        sets = []
+        for _ in range(2):
+            own = int(rng.integers(0, len(both) // 8 + 1))
+            more = rng.integers(1, 2**63, int(rng.integers(0, len(both) // 8 + 1))).astype(np.uint64)
+            sets.append((np.append(both, more), len(both) + len(more) + own, own))
+        if 100 * len(both) < 80 * (sets[0][1] + sets[1][1] - len(both)):
+            continue
+        seen += 1
+        (a, sides_a), (b, sides_b) = (jaccard.sided_signs(*s) for s in sets)
+        side = dict(zip(a.tolist(), sides_a.tolist()))
+        assert any(side.get(s, 9) == -t for s, t in zip(b.tolist(), sides_b.tolist())), sets
+    assert seen > 100
