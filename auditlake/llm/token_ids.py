@@ -11,14 +11,16 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import chain
+from collections import defaultdict
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from auditlake.llm.common import slices, utf8
 
-LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+LETTER_LINES = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ\n]+")
 # One word per line: letters and closing punctuation, or anything else.
 WORD_LINE = re.compile("^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)|(.+))$", re.M)
 # Bytes of words and parts kept between slices of text, objects and dictionary entries included. Beyond this
@@ -28,17 +30,19 @@ WORD_BYTES, PART_BYTES = 160, 200
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-class _Numbers(dict):
-    """Gives each new key the next number and remembers it."""
+class _Numbers(defaultdict):
+    """Gives each new key the next number, without a call of Python code for it."""
 
-    def __init__(self):
-        super().__init__()
-        self.new: list = []
+    def __init__(self, keys=()):
+        super().__init__(None, zip(keys, count()))
+        self.default_factory = count(len(self)).__next__
+        self.seen = len(self)
 
-    def __missing__(self, key):
-        self[key] = number = len(self)
-        self.new.append(key)
-        return number
+    def new(self) -> list:
+        """The keys since the last call, in order."""
+        keys = list(islice(reversed(self), len(self) - self.seen))
+        self.seen = len(self)
+        return keys[::-1]
 
 
 class WordEncoder:
@@ -60,8 +64,7 @@ class WordEncoder:
         self._clear()
 
     def _clear(self):
-        self.words, self.parts = _Numbers(), _Numbers()
-        self.parts[""] = 0
+        self.words, self.parts = _Numbers(), _Numbers([""])
         self.word_parts = np.zeros((0, 2), np.int64)  # numbers of a word's two parts
         self.lengths, self.places = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
@@ -77,9 +80,7 @@ class WordEncoder:
             return
         words, parts = list(self.words), list(self.parts)
         used, mapped = np.unique(np.append(0, self.word_parts[kept].ravel()), return_inverse=True)
-        self.words, self.parts = _Numbers(), _Numbers()
-        self.words.update((words[i], n) for n, i in enumerate(kept.tolist()))
-        self.parts.update((parts[i], n) for n, i in enumerate(used.tolist()))
+        self.words, self.parts = _Numbers(words[i] for i in kept.tolist()), _Numbers(parts[i] for i in used.tolist())
         self.word_parts = mapped[1:].reshape(-1, 2)
         lengths = self.lengths[used]
         stops = np.cumsum(lengths)
@@ -98,8 +99,7 @@ class WordEncoder:
         anything else, goes part by part.
         """
         ids, lengths, run, begin = [], [], 1000, 0
-        letters = [p if LETTERS.fullmatch(p) else None for p in parts] if self.has_ends else [None]
-        if None in letters:
+        if not self.has_ends or not LETTER_LINES.fullmatch("\n".join(parts)):
             return self._each(parts)
         while begin < len(parts):
             few = parts[begin : begin + run]
@@ -122,23 +122,21 @@ class WordEncoder:
 
     def _learn(self):
         """Encode the words that were new in this batch: first letter parts, then all others."""
-        if not self.words.new:
+        new = self.words.new()
+        if not new:
             return
-        text, parts = b"\n".join(self.words.new), len(self.parts)
-        words = len(self.words.new)
+        text, parts = b"\n".join(new), len(self.parts)
+        words = len(new)
         lines = WORD_LINE.findall(text.decode())
-        self.words.new.clear()
         part = self.parts.__getitem__
         pairs = np.zeros((len(lines), 2), np.int64)
         pairs[:, 0] = [part(core.lower()) if core else 0 for core, _, _ in lines]
-        if self.parts.new:
-            self._keep(*self._encode_parts(self.parts.new))
-            self.parts.new.clear()
+        if cores := self.parts.new():
+            self._keep(*self._encode_parts(cores))
         others = [i for i, (core, closing, _) in enumerate(lines) if closing or not core]
         pairs[others, 1] = [part(lines[i][1] or lines[i][2]) for i in others]
-        if self.parts.new:
-            self._keep(*self._each(self.parts.new))
-            self.parts.new.clear()
+        if rest := self.parts.new():
+            self._keep(*self._each(rest))
         self.word_parts = np.concatenate([self.word_parts, pairs])
         # Parts are at most the bytes of their words again.
         self.held += 2 * len(text) + WORD_BYTES * words + PART_BYTES * (len(self.parts) - parts)
@@ -146,23 +144,23 @@ class WordEncoder:
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a string column in one array, and the number of each; null is empty."""
         _, offsets = utf8(column)
-        texts = column.cast(pa.large_binary())
-        found = [self._slice(texts.slice(begin, end - begin).to_pylist()) for begin, end in slices(offsets)]
+        found = [self._slice(column.slice(begin, end - begin)) for begin, end in slices(offsets)]
         ids, counts = zip(*found) if found else ((), ())
         return np.concatenate([np.zeros(0, np.uint32), *ids]), np.concatenate([np.zeros(0, np.int64), *counts])
 
-    def _slice(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not self.by_words:
-            each = self._encode([(t or b"").decode() for t in texts])
+            each = self._encode([t or "" for t in texts.to_pylist()])
             counts = np.array([len(e) for e in each], np.int64)
             return np.concatenate([np.zeros(0, np.uint32), *each]), counts
         if self.held > CACHE_BYTES:
             self._shrink()
-        split = [t.split() if t else [] for t in texts]
-        counts = np.array([len(s) for s in split], np.int64)
-        number = self.words.__getitem__
-        total = int(counts.sum())
-        words = np.fromiter(map(number, chain.from_iterable(split)), np.int64, total)
+        split, counts = _split(texts)
+        total = len(split)
+        met = split.dictionary_encode()  # distinct words in order
+        distinct = met.dictionary.cast(pa.large_binary()).to_pylist()
+        numbers = np.fromiter(map(self.words.__getitem__, distinct), np.int64, len(distinct))
+        words = numbers[met.indices.to_numpy()]
         self._learn()
         known = len(self.words)
         self.uses = np.append(self.uses, np.zeros(known - len(self.uses), np.int64)) + np.bincount(words, minlength=known)
@@ -176,6 +174,16 @@ class WordEncoder:
         return ids, before[last] - before[last - counts]
 
 
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts end to end, and the number of each text; null has none."""
+    lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+    found = lists.flatten()
+    # White space at the ends of a text gives empty words.
+    real = pc.greater(pc.binary_length(found), 0)
+    row = pc.list_parent_indices(lists).filter(real).to_numpy()
+    return found.filter(real), np.bincount(row, minlength=len(texts)).astype(np.int64)
+
+
 def _drops_spaces(spec: dict) -> bool:
     """Whether the file describes a tokenizer that cuts at white space and drops it."""
     pre = spec.get("pre_tokenizer") or {}

@@ -1,6 +1,7 @@
 """The cache of encoded words is bounded by bytes; ids do not depend on what it has forgotten."""
 
 import random
+import sys
 
 import numpy as np
 import public_tokenizers
@@ -35,3 +36,15 @@ def test_a_slice_at_a_time():
     assert counts[1] == counts[3] and len(ids) == counts.sum()
     start = counts[0]
     assert np.array_equal(ids[start : start + counts[1]], ids[start + counts[1] : start + 2 * counts[1]])
+
+
+def test_new_words_cost_no_python_calls():
+    encode = token_ids.WordEncoder(PATH)
+    words = ["w" + "abcdefghij"[i % 10] * (1 + i // 10 % 40) + "xyz"[i // 400] for i in range(1200)]
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event == "call" else None)
+    try:
+        encode.encode(pa.array([" ".join(words)]))
+    finally:
+        sys.setprofile(None)
+    assert len(encode.words) == 1200 and len(calls) < 600
