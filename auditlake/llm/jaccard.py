@@ -283,8 +283,11 @@ def sided_signs(tokens: np.ndarray, n: int, own: int) -> tuple[np.ndarray, np.nd
 
     signs, sides = [np.zeros(0, np.uint64)], [np.zeros(0, np.int8)]
     for other in range(max(0, group - 1), group + 2):
-        width = unit(other)
-        for number in range(-(slack // width) - 2, (100 - PERCENT) * group_end(other) // width + 1):
+        # The largest set of that group that can be similar to one with as few shared tokens.
+        most, width = min(group_end(other), (100 + PERCENT) * (n - own) // PERCENT - n), unit(other)
+        if other and most <= group_end(other - 1):
+            continue
+        for number in range(-(slack // width) - 2, (100 - PERCENT) * most // width + 1):
             differ = (slack + (number + 1) * width - 1) // (100 + PERCENT)
             if differ < 0:
                 continue
@@ -337,8 +340,13 @@ def left_over(live: DataFrame, found: DataFrame) -> DataFrame:
     each = F.explode(F.arrays_zip("signs", "sides")).alias("_s")
     named = signs.select("node", "n", "own", "comp", each).select("node", "n", "own", "comp", F.col("_s.signs").alias("sign"), F.col("_s.sides").alias("side"))
     parts = staged(named, "part-signs")
-    open_parts = parts.groupBy("sign").agg(F.min("comp").alias("_least"), F.max("comp").alias("_most")).where("_least <> _most")
-    pairs = pairs.unionByName(_between(parts.join(open_parts.select("sign"), "sign", "left_semi"))).distinct()
+    # A document stays at a signature only if one of another component stands on the opposite side.
+    sided = {"_low": F.when(F.col("side") <= 0, F.col("comp")), "_high": F.when(F.col("side") >= 0, F.col("comp"))}
+    ends = parts.groupBy("sign").agg(*[f(c).alias(k + e) for k, c in sided.items() for f, e in ((F.min, "_least"), (F.max, "_most"))])
+    other = lambda k: (F.col(f"{k}_least") != F.col("comp")) | (F.col(f"{k}_most") != F.col("comp"))
+    wanted = ((F.col("side") <= 0) & other("_high")) | ((F.col("side") >= 0) & other("_low"))
+    faced = parts.join(ends.withColumnRenamed("sign", "_sign"), (F.col("sign") == F.col("_sign")) & wanted, "left_semi")
+    pairs = pairs.unionByName(_between(faced)).distinct()
     words = [F.col("sketch")[i].alias(f"_w{i}") for i in range(SKETCH)]
     sketches = found.where(F.size("signatures") > 0).select("node", "n", "own", *words)
     left = sketches.withColumnsRenamed({"node": "a", "n": "_na"})
