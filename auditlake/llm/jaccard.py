@@ -313,17 +313,35 @@ def _with_part_signs(batches):
         yield pa.RecordBatch.from_arrays([*columns, signs, sides], ["node", "n", "own", "comp", "signs", "sides"])
 
 
+def _near(own_a: Column, sketch_a, own_b: Column, sketch_b, both: Column) -> Column:
+    """Whether two documents of ``both`` tokens in all may be similar: those either has alone and the bits in
+    which their sketches (a column per word number) differ are no more than similar sets allow."""
+    apart = own_a + own_b
+    for i in range(SKETCH):
+        apart += F.bit_count(sketch_a(i).bitwiseXOR(sketch_b(i)))
+    return (100 + PERCENT) * apart <= (100 - PERCENT) * both
+
+
 def _between(postings: DataFrame) -> DataFrame:
     """Pairs of one signature, opposite sides and different components, once each. Either has enough tokens that
-    others have too."""
-    mine = postings.where("side <= 0").select("sign", "side", "comp", F.col("node").alias("a"), F.col("n").alias("_na"), F.col("own").alias("_own_a"))
+    others have too. Postings with a ``sketch`` make only pairs that their sketches let pass."""
+    sketched = ["sketch"] if "sketch" in postings.columns else []
+    mine = postings.where("side <= 0").select(
+        "sign", "side", "comp", F.col("node").alias("a"), F.col("n").alias("_na"), F.col("own").alias("_own_a"),
+        *[F.col(c).alias("_sketch_a") for c in sketched],
+    )
     other = postings.where("side >= 0").select(
-        "sign", F.col("comp").alias("_bcomp"), F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("own").alias("_own_b")
-    )
+        "sign", F.col("comp").alias("_bcomp"), F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("own").alias("_own_b"),
+        *[F.col(c).alias("_sketch_b") for c in sketched],
+    )
     apart = (F.col("comp") < F.col("_bcomp")) | ((F.col("side") < 0) & (F.col("comp") > F.col("_bcomp")))
     shared = F.least(F.col("_na") - F.col("_own_a"), F.col("_nb") - F.col("_own_b"))
     enough = (100 + PERCENT) * shared >= PERCENT * (F.col("_na") + F.col("_nb"))
-    return _sized(mine.join(other, "sign").where(apart & enough))
+    met = mine.join(other, "sign").where(apart & enough)
+    if sketched:
+        words = F.col("_sketch_a"), F.col("_sketch_b")
+        met = met.where(_near(F.col("_own_a"), words[0].getItem, F.col("_own_b"), words[1].getItem, F.col("_na") + F.col("_nb")))
+    return _sized(met)
 
 
 def left_over(live: DataFrame, found: DataFrame) -> DataFrame:
@@ -346,16 +364,16 @@ def left_over(live: DataFrame, found: DataFrame) -> DataFrame:
     other = lambda k: (F.col(f"{k}_least") != F.col("comp")) | (F.col(f"{k}_most") != F.col("comp"))
     wanted = ((F.col("side") <= 0) & other("_high")) | ((F.col("side") >= 0) & other("_low"))
     faced = parts.join(ends.withColumnRenamed("sign", "_sign"), (F.col("sign") == F.col("_sign")) & wanted, "left_semi")
+    # The sketches come along, so that a pair they rule out is never a row, however many of a crowd meet.
+    faced = faced.join(crowded.select("node").join(found.select("node", "sketch"), "node"), "node")
     pairs = pairs.unionByName(_between(faced)).distinct()
     words = [F.col("sketch")[i].alias(f"_w{i}") for i in range(SKETCH)]
     sketches = found.where(F.size("signatures") > 0).select("node", "n", "own", *words)
     left = sketches.withColumnsRenamed({"node": "a", "n": "_na"})
     right = sketches.select(*[F.col(c).alias(f"_b{c}") for c in sketches.columns])
     right = right.withColumnsRenamed({"_bnode": "b", "_bn": "_nb"})
-    apart = F.col("own") + F.col("_bown")
-    for i in range(SKETCH):
-        apart += F.bit_count(F.col(f"_w{i}").bitwiseXOR(F.col(f"_b_w{i}")))
-    near = (100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("_na") + F.col("_nb"))
+    word_of = lambda prefix: lambda i: F.col(f"{prefix}_w{i}")
+    near = _near(F.col("own"), word_of(""), F.col("_bown"), word_of("_b"), F.col("_na") + F.col("_nb"))
     return pairs.join(left, "a").join(right, "b").where(near).select("a", "_na", "b", "_nb")
 
 

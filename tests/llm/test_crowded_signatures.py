@@ -132,3 +132,16 @@ def test_similar_sets_with_own_tokens_meet_from_opposite_sides():
         side = dict(zip(a.tolist(), sides_a.tolist()))
         assert any(side.get(s, 9) == -t for s, t in zip(b.tolist(), sides_b.tolist())), sets
     assert seen > 100
+
+
+def test_pairs_that_sketches_rule_out_are_never_rows(spark):
+    rng = np.random.default_rng(12)
+    sets = [(tokens, n) for tokens, n, _ in changed_copies(rng, 40, gone=45)]
+    sets.append((sets[0][0][1:], sets[0][1] - 1))  # similar to the first
+    rows = [(7, 0, i, n, n - len(t), i, jaccard.parity_sketch(t).tolist()) for i, (t, n) in enumerate(sets)]
+    names = "sign BIGINT, side TINYINT, node BIGINT, n BIGINT, own BIGINT, comp BIGINT, sketch ARRAY<BIGINT>"
+    # Sets whose own tokens alone would let them be similar, told apart by their sketches.
+    postings = spark.createDataFrame([(*r[:4], 0, *r[5:]) for r in rows], names)
+    met = {(r["a"], r["b"]) for r in jaccard._between(postings).collect()}
+    plain = jaccard._between(postings.drop("sketch")).count()
+    assert (0, 40) in met and len(met) < plain / 20, (len(met), plain)
