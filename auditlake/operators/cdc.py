@@ -14,6 +14,7 @@ from auditlake.operators.joins import latest_snapshot
 from auditlake.operators.keyed import (
     SLICE,
     SLICE_SECONDS,
+    heavy,
     join_null_safe,
     last_known,
     latest_by,
@@ -77,22 +78,56 @@ def scd2(
     Adds ``start_at`` (time of the change) and ``end_at`` (start of the next version, NULL for the
     open one). Columns that are not tracked show their last value within the version. Input order
     does not matter; of several changes at one time only the last counts. A NULL key is a key.
+
+    A key with few rows is cut in one task, after one shuffle; heavier ones in time slices. The rows of a key are
+    counted when the history is built.
     """
+    crowded = heavy(changes.where(F.col(sequence).isNotNull()).select(F.xxhash64(*keys)))
+    how = keys, sequence, track, except_cols, tie_break
+    if crowded is None:
+        return _versions(changes, *how)
+    sliced = _versions(with_repeated(changes, keys, crowded, "left_semi"), *how, seconds)
+    return _versions(with_repeated(changes, keys, crowded, "left_anti"), *how).unionByName(sliced)
+
+
+def _versions(
+    changes: DataFrame, keys: list[str], sequence: str, track: list[str], except_cols: list[str],
+    tie_break: list[str] | None, seconds: int | None = None,
+) -> DataFrame:
+    """``scd2`` with the rows of a key in one task, or in time slices of so many ``seconds``."""
     kept = [c for c in changes.columns if c not in except_cols]
     ties = [c for c in sorted(kept) if c not in (*keys, sequence)] if tie_break is None else tie_break
     other = [c for c in kept if c not in (*keys, sequence, *track)]
     ranked = F.struct(*[F.col(c).alias(f"t{i}") for i, c in enumerate([*ties, *track, *other])])
+    timed = changes.where(F.col(sequence).isNotNull())
     moments = (
-        changes.where(F.col(sequence).isNotNull())
+        (timed.repartition(*keys) if seconds is None else timed)
         .groupBy(*keys, sequence)
         .agg(F.max_by(F.struct(*track, *other), ranked).alias("_row"))
         .select(*keys, sequence, F.struct(*[F.col(f"_row.{c}") for c in track]).alias("_now"), "_row")
     )
 
+    def named(result: DataFrame) -> DataFrame:
+        columns = {**{c: F.col(f"_tracked.{c}") for c in track}, **{c: F.col(f"_other.{c}") for c in other}}
+        listed = [columns[c].alias(c) for c in kept if c in columns]
+        return result.select(*keys, *listed, "start_at", F.col("_end").alias("end_at"))
+
     def differs(before: str):
         changed = [~F.col(f"_now.{c}").eqNullSafe(F.col(f"{before}.{c}")) for c in track]
         return F.col(before).isNull() | reduce(lambda a, b: a | b, changed)
 
+    if seconds is None:
+        # What is dealt by key stays where it is from here on.
+        ordered = W.partitionBy(*keys).orderBy(sequence)
+        begun = moments.withColumn("_before", F.lag("_now").over(ordered)).withColumn(
+            "_from", F.last(F.when(differs("_before"), F.col(sequence)), ignorenulls=True).over(ordered)
+        )
+        cut = begun.groupBy(*keys, "_from").agg(
+            F.min_by("_now", sequence).alias("_tracked"), F.max_by("_row", sequence).alias("_other")
+        )
+        following = F.lead("_from").over(W.partitionBy(*keys).orderBy("_from"))
+        return named(cut.withColumn("_end", following).withColumnRenamed("_from", "start_at"))
+
     within = W.partitionBy(*keys, SLICE).orderBy(sequence)
     local = (
         with_slice(moments, sequence, seconds)
@@ -131,17 +166,7 @@ def scd2(
         F.min_by("_now", sequence).alias("_tracked"),
         F.max_by("_row", sequence).alias("_other"),
     )
-    columns = {
-        **{c: F.col(f"_tracked.{c}") for c in track},
-        **{c: F.col(f"_other.{c}") for c in other},
-    }
-    ordered = [c for c in kept if c in columns]
-    return result.select(
-        *keys,
-        *[columns[c].alias(c) for c in ordered],
-        "start_at",
-        F.col("_end").alias("end_at"),
-    )
+    return named(result)
 
 
 def scd2_dimension(history: DataFrame, key: str = "customer_id", unknown: bool = True) -> DataFrame:

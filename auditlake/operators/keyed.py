@@ -3,7 +3,8 @@
 A window over a key puts all of that key's rows in one task. So every key is cut into time slices that
 are processed apart; what a slice needs from its neighbours comes from one summary row per key and
 slice, joined back null-safe. Callers first reduce to one row per key and time, so many rows at one
-moment are summed up in their own tasks. There is one path for all keys and sizes.
+moment are summed up in their own tasks. Callers may keep keys of few rows (``LIGHT_ROWS``) whole: these are
+ordered in one shuffle, and only the rows of heavier keys are sliced.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from auditlake.session import stage
 
 # So many narrow rows fit a broadcast; more are shuffled.
 FEW_ROWS = 2_000_000
+# Rows of one key that a task may order at once; a key with more is cut into slices.
+LIGHT_ROWS = 10_000
 SLICE_SECONDS = 86_400
 SLICE = "_slice"
 
@@ -88,6 +91,19 @@ def if_few(df: DataFrame, label: str, most: int | None = None) -> DataFrame | No
     return F.broadcast(kept) if kept.count() <= (FEW_ROWS if most is None else most) else None
 
 
+def heavy(df: DataFrame) -> DataFrame | None:
+    """Values (``_again``) of the only column that more than ``LIGHT_ROWS`` rows hold, or None without any.
+
+    They are counted right away, and marked for broadcast unless they are many.
+    """
+    counts = df.toDF("_again").groupBy("_again").agg(F.count(F.lit(1)).alias("_n"))
+    kept = stage(counts.where(F.col("_n") > LIGHT_ROWS).select("_again"), "heavy")
+    found = kept.count()
+    if not found:
+        return None
+    return F.broadcast(kept) if found <= FEW_ROWS else kept
+
+
 def repeated(df: DataFrame, keys: list[str]) -> DataFrame | None:
     """Hashes (``_again``) that more than one row's key has, marked for broadcast; None if they are many.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType, TimestampType
 
 from auditlake.operators.cdc import scd1, scd2
+from auditlake.session import stage
 from auditlake.sources import ranged
 from auditlake.streaming.runs import run_batches
 
@@ -79,6 +80,7 @@ def recut(
 
     def merge(rows: DataFrame, by: list[str]) -> DataFrame:
         moments = scd1(rows.where(~F.col(IS_VERSION)).drop("start_at", "end_at", IS_VERSION), [*by, sequence], sequence, tie_break=ties)
+        moments = stage(moments, "moments")  # read three times
         versions = scd2(moments, by, sequence, track, tie_break=ties).withColumn(IS_VERSION, F.lit(True))
         return versions.unionByName(moments.withColumn(IS_VERSION, F.lit(False)), allowMissingColumns=True)
 
