@@ -6,9 +6,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from auditlake import constants as K
-from auditlake.operators.keyed import SLICE_SECONDS, if_few, last_known, with_slice
+from auditlake.operators.keyed import SLICE_SECONDS, heavy, if_few, last_known, with_slice
+from auditlake.session import stage
 
 
 def with_holiday_flag(
@@ -43,30 +45,55 @@ def asof_join(
 ) -> DataFrame:
     """Add ``out``: a struct of the latest event at or before each fact, NULL without one.
 
-    Facts are reduced to their distinct (key, time), events to the highest values at one; these meet
+    Facts and events of a key that has few rows are ordered together, in one shuffle of either. Of heavier keys
+    facts are reduced to their distinct (key, time), events to the highest values at one; these meet
     in time slices, and the answer is joined back to the facts on (key, time). Linear in facts plus
-    events, whatever a key holds. Facts without a key or time look for nothing.
+    events, whatever a key holds. Facts without a key or time look for nothing and are dealt by their other columns.
+    Events are staged and the rows of a key counted when the join is built.
 
     ``few_known`` is for wide facts most of whose keys have no event: these stay out of every shuffle. The keys
     of the events are gathered for it right away, and used if they fit a broadcast.
     """
-    rest = None
+    happened = events.where(F.col(event_key).isNotNull() & F.col(event_ts).isNotNull()).select(
+        F.col(event_key).alias("_key"), F.col(event_ts).alias("_at"), F.struct(F.col(event_ts).alias("at"), *values).alias("_event")
+    )
+    happened = stage(happened, "events")
+    names = facts.columns if out in facts.columns else [*facts.columns, out]
+    facts = facts.drop(out)
+    apart = []
     if few_known:
-        keys = events.where(F.col(event_key).isNotNull()).select(F.col(event_key).alias("_known")).distinct()
-        known = if_few(keys, "known-keys")
+        known = if_few(happened.select(F.col("_key").alias("_known")).distinct(), "known-keys")
         if known is not None:
             has_events = F.col(key) == F.col("_known")
-            facts, rest = facts.join(known, has_events, "left_semi"), facts.join(known, has_events, "left_anti")
-    points = (
-        facts.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
-        .groupBy(F.col(key).alias("_key"), F.col(ts).alias("_at"))
-        .agg(F.lit(True).alias("_is_fact"))
+            apart.append(facts.join(known, has_events, "left_anti"))
+            facts = facts.join(known, has_events, "left_semi")
+    looks = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    crowded = heavy(facts.where(looks).select(F.col(key).alias("_key")).unionByName(happened.select("_key")))
+    light, before = facts, happened
+    if crowded is not None:
+        mine, its = looks & (F.col(key) == F.col("_again")), F.col("_key") == F.col("_again")
+        light, before = facts.join(crowded, mine, "left_anti"), happened.join(crowded, its, "left_anti")
+        apart.append(_asof_sliced(facts.join(crowded, mine, "left_semi"), happened.join(crowded, its, "left_semi"), key, ts, out, seconds))
+    hashed = [f.name for f in facts.schema.fields if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    placed = light.withColumns(
+        {"_asof_key": F.col(key), "_asof_at": F.col(ts), "_asof_apart": F.when(~looks, F.xxhash64(*hashed)), "_asof_fact": F.lit(True)}
     )
-    moments = (
-        events.where(F.col(event_key).isNotNull() & F.col(event_ts).isNotNull())
-        .groupBy(F.col(event_key).alias("_key"), F.col(event_ts).alias("_at"))
-        .agg(F.max(F.struct(F.col(event_ts).alias("at"), *values)).alias("_event"))
+    rising = before.select(
+        F.col("_key").alias("_asof_key"), F.col("_at").alias("_asof_at"), F.lit(False).alias("_asof_fact"), F.col("_event").alias("_asof_event")
     )
+    # An event at a fact's own time sorts before it, the highest of several last.
+    upto = W.partitionBy("_asof_key", "_asof_apart").orderBy("_asof_at", "_asof_fact", "_asof_event").rowsBetween(W.unboundedPreceding, 0)
+    both = placed.unionByName(rising, allowMissingColumns=True)
+    joined = both.withColumn(out, F.last("_asof_event", ignorenulls=True).over(upto)).where("_asof_fact").select(*names)
+    for more in apart:
+        joined = joined.unionByName(more, allowMissingColumns=True)
+    return joined
+
+
+def _asof_sliced(facts: DataFrame, happened: DataFrame, key: str, ts: str, out: str, seconds: int) -> DataFrame:
+    """``asof_join`` of keys with any number of rows; all facts have a key and a time."""
+    points = facts.groupBy(F.col(key).alias("_key"), F.col(ts).alias("_at")).agg(F.lit(True).alias("_is_fact"))
+    moments = happened.groupBy("_key", "_at").agg(F.max("_event").alias("_event"))
     both = with_slice(points.unionByName(moments, allowMissingColumns=True), "_at", seconds)
     # An event at a fact's own time sorts before it.
     placed = both.withColumn("_rank", F.coalesce(F.col("_is_fact"), F.lit(False)))
@@ -75,8 +102,7 @@ def asof_join(
         F.col("_key").alias("_a_key"), F.col("_at").alias("_a_at"), F.col(out).alias("_a_out")
     )
     match = (F.col(key) == F.col("_a_key")) & (F.col(ts) == F.col("_a_at"))
-    joined = facts.join(answers, match, "left").withColumn(out, F.col("_a_out")).drop("_a_key", "_a_at", "_a_out")
-    return joined if rest is None else joined.unionByName(rest, allowMissingColumns=True)
+    return facts.join(answers, match, "left").withColumn(out, F.col("_a_out")).drop("_a_key", "_a_at", "_a_out")
 
 
 def pit_join(

@@ -85,3 +85,39 @@ def test_layouts_get_more_files_with_more_rows(spark, monkeypatch, tmp_path):
     assert queries._layout_files(spark, str(tmp_path), 8) == 18
     monkeypatch.setattr(queries, "LAYOUT_ROWS", 1_000)
     assert queries._layout_files(spark, str(tmp_path), 8) == 8
+
+
+def minutes(df, *columns):
+    return df.withColumns({c: F.timestamp_seconds(F.col(c) * 60) for c in columns})
+
+
+@pytest.mark.parametrize("light", [keyed.LIGHT_ROWS, 40, 0])
+def test_light_and_sliced_keys_find_the_same_versions(spark, monkeypatch, light):
+    monkeypatch.setattr(keyed, "LIGHT_ROWS", light)
+    rows = [("hot" if n % 3 else f"k{n % 7}", n * 37 % 5000, n) for n in range(150)]
+    rows += [("hot", 100, 1000 + n) for n in range(30)] + [(None, 5, 2000), (None, 5, 2001), ("hot", None, 2002), ("none", 5, 2003)]
+    versions = [("hot", at, at + 50, at) for at in range(0, 5000, 70)] + [(f"k{k}", 900 * k, 9000, k) for k in range(6)] + [(None, 0, 9000, 77)]
+    facts = minutes(spark.createDataFrame(rows, "k STRING, ts LONG, n INT"), "ts")
+    known = minutes(spark.createDataFrame(versions, "customer_id STRING, valid_from LONG, valid_to LONG, customer_key LONG"), "valid_from", "valid_to")
+    found = {r["n"]: r["hit"] for r in joins.pit_join(facts, known, "k", "ts", "hit").collect()}
+    expected = {n: next((v for c, low, high, v in versions if c == k and k and at is not None and low <= at < high), -1) for k, at, n in rows}
+    assert found == expected and len(found) == len(rows)
+
+
+@pytest.mark.parametrize("light", [40, 0])
+def test_light_and_sliced_keys_have_the_same_history(spark, monkeypatch, light):
+    rows = [("hot" if n % 3 else None if n % 7 == 0 else f"k{n % 7}", n * 37 % 5000, f"s{n * 37 // 400 % 3}", n) for n in range(150)]
+    rows += [("hot", 74, "s9", 900), ("hot", None, "s9", 901)]
+    changes = minutes(spark.createDataFrame(rows, "id STRING, at LONG, segment STRING, n INT"), "at")
+    whole = cdc.scd2(changes, ["id"], "at", ["segment"], tie_break=["n"]).collect()
+    monkeypatch.setattr(keyed, "LIGHT_ROWS", light)
+    same(spark.createDataFrame(whole, "id STRING, segment STRING, n INT, start_at TIMESTAMP, end_at TIMESTAMP"), cdc.scd2(changes, ["id"], "at", ["segment"], tie_break=["n"]))
+
+
+def test_light_keys_are_shuffled_once(spark):
+    facts = minutes(spark.createDataFrame([("a", 1, 1), (None, 2, 2)], "k STRING, ts LONG, n INT"), "ts")
+    changes = minutes(spark.createDataFrame([("a", 1, "x"), ("a", 2, "y")], "id STRING, at LONG, segment STRING"), "at")
+    history = cdc.scd2(changes, ["id"], "at", ["segment"])
+    assert shuffles(history) == 1
+    versions = history.selectExpr("id AS customer_id", "start_at AS valid_from", "end_at AS valid_to", "1L AS customer_key")
+    assert shuffles(joins.pit_join(facts, versions, "k", "ts", "hit")) == 1
