@@ -60,6 +60,8 @@ CELLS, SPARED = 5, 2
 CHOICES = list(itertools.combinations(range(CELLS), CELLS - SPARED))
 # Classes of sets of one size by the slack their own tokens leave (see ``sided_signs``).
 SLACKS = 8
+# Signatures of documents of crowds in one Arrow batch.
+SIGNS = 1 << 18
 # 64-bit words of a document's parity sketch.
 SKETCH = 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -305,12 +307,29 @@ def part_signs(tokens: np.ndarray, n: int, own: int = 0) -> np.ndarray:
 
 
 def _with_part_signs(batches):
+    """Documents with their signatures, at most ``SIGNS`` of these a batch: there are some twenty for each token.
+    A document that has more comes as several rows."""
     for batch in batches:
         each = zip(batch.column("n").to_pylist(), batch.column("own").to_pylist(), batch.column("tokens"))
-        found = [sided_signs(t.values.to_numpy(zero_copy_only=False).view(np.uint64), n, own) for n, own, t in each]
-        columns = [batch.column(c) for c in ("node", "n", "own", "comp")]
-        signs, sides = pa.array([s.view(np.int64) for s, _ in found], pa.list_(pa.int64())), pa.array([s for _, s in found], pa.list_(pa.int8()))
-        yield pa.RecordBatch.from_arrays([*columns, signs, sides], ["node", "n", "own", "comp", "signs", "sides"])
+        rows, found, held = [], [], 0
+        for row, (n, own, t) in enumerate(each):
+            signs, sides = sided_signs(t.values.to_numpy(zero_copy_only=False).view(np.uint64), n, own)
+            for at in range(0, len(signs), SIGNS):
+                part = signs[at : at + SIGNS].view(np.int64), sides[at : at + SIGNS]
+                if rows and held + len(part[0]) > SIGNS:
+                    yield _signed(batch, rows, found)
+                    rows, found, held = [], [], 0
+                rows.append(row)
+                found.append(part)
+                held += len(part[0])
+        if rows:
+            yield _signed(batch, rows, found)
+
+
+def _signed(batch: pa.RecordBatch, rows: list[int], found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    columns = [batch.column(c).take(pa.array(rows, pa.int64())) for c in ("node", "n", "own", "comp")]
+    signs, sides = pa.array([s for s, _ in found], pa.list_(pa.int64())), pa.array([s for _, s in found], pa.list_(pa.int8()))
+    return pa.RecordBatch.from_arrays([*columns, signs, sides], ["node", "n", "own", "comp", "signs", "sides"])
 
 
 def _near(own_a: Column, sketch_a, own_b: Column, sketch_b, both: Column) -> Column:

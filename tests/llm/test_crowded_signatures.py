@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from test_odd_documents import brute_components, counted
 
@@ -145,3 +146,24 @@ def test_pairs_that_sketches_rule_out_are_never_rows(spark):
     met = {(r["a"], r["b"]) for r in jaccard._between(postings).collect()}
     plain = jaccard._between(postings.drop("sketch")).count()
     assert (0, 40) in met and len(met) < plain / 20, (len(met), plain)
+
+
+def test_signatures_of_a_crowd_leave_in_bounded_batches():
+    """A batch of long documents has some twenty signatures a token: they come in small batches, none is lost."""
+    rng = np.random.default_rng(11)
+    rows = [(k, size, own, rng.integers(1, 2**63, size - own, dtype=np.int64)) for k, (size, own) in enumerate([(2000, 0)] * 12 + [(30, 2), (16000, 0), (9, 9)])]
+    node, n, own, tokens = zip(*rows)
+    whole = lambda x: pa.array(x, pa.int64())
+    batch = pa.RecordBatch.from_arrays([whole(node), whole(n), whole(own), whole(node), pa.array(tokens, pa.list_(pa.int64()))], ["node", "n", "own", "comp", "tokens"])
+    found, most = {}, 1 << 18
+    for made in jaccard._with_part_signs([batch]):
+        assert 0 < sum(len(s) for s in made.column("signs")) <= most
+        for row in made.to_pylist():
+            assert (row["n"], row["own"], row["comp"]) == (n[row["node"]], own[row["node"]], row["node"])
+            signs, sides = found.setdefault(row["node"], ([], []))
+            signs += row["signs"]
+            sides += row["sides"]
+    for k, size, alone, t in rows:
+        signs, sides = jaccard.sided_signs(t.view(np.uint64), size, alone)
+        assert found.get(k, ([], [])) == (signs.view(np.int64).tolist(), sides.tolist())
+    assert len(found[13][0]) > most
