@@ -214,7 +214,9 @@ def pit_join_overlapping(
     partly = F.filter(ends, lambda s: (s < low) | (s >= high))
     parts = known.select("_key", F.explode(partly).alias("cell"), "_best", "_from", "_to")
 
-    # Two joins, since whole cells already lie by the columns they are looked up by.
+    # Two joins, since whole cells already lie by the columns they are looked up by. Spark's size check does not
+    # see how many cells a version fills, so it must not take the cells for a small side.
+    whole, parts = whole.hint("merge"), parts.hint("merge")
     mine = slice_of(F.col("_at"))
     asked = F.array(*[F.struct(F.lit(n).alias("level"), F.floor(mine / GRID**n).alias("cell")) for n in range(levels)])
     looked = points.select("_key", "_at", F.explode(asked).alias("a")).select("_key", "_at", "a.level", "a.cell")

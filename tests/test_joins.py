@@ -142,3 +142,13 @@ def test_overlapping_form_of_nothing(spark):
     f = spark.createDataFrame([(1, "a", None)], "id INT, k STRING, ts TIMESTAMP")
     assert [r["hit"] for r in joins.pit_join_overlapping(f, v, "k", "ts", "hit").collect()] == [-1]
     assert joins.pit_join_overlapping(f.limit(0), v, "k", "ts", "hit").count() == 0
+
+
+def test_cells_that_versions_fill_are_not_broadcast(spark):
+    # One short version row in the size check, one row for each cell of its years in the join.
+    f = spark.sql("SELECT * FROM VALUES ('a', TIMESTAMP '2020-01-01'), ('a', TIMESTAMP '2026-01-01') AS f(k, ts)")
+    v = spark.sql("SELECT * FROM VALUES ('a', 7, TIMESTAMP '2019-01-01', TIMESTAMP '9999-12-31') AS v(customer_id, customer_key, valid_from, valid_to)")
+    found = joins.pit_join_overlapping(f, v, "k", "ts", "hit", seconds=600)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "Inner" in line] == []
+    assert [r["hit"] for r in found.collect()] == [7, 7]
