@@ -121,6 +121,8 @@ def keep_up(
         placed = stage(_placed(arrived, stored_files, keys), "placed")
         slots = placed.where("_inside").select(SLOT).distinct()
         touched = stored_files.join(slots, SLOT, "left_semi").select("file", "row_count").collect()
+        # Sorted keys take next to no bytes in a file, which Spark would take for a side small enough to broadcast.
+        placed = placed.hint("merge")
         rows = join_null_safe(arrived, placed.drop("_inside"), keys)
     if touched:
         stored = spark.read.schema(schema).parquet(*[r["file"] for r in touched])

@@ -115,3 +115,15 @@ def test_a_table_without_batches_is_empty(spark, tmp_path):
     assert maintained.scd1_maintained_current(spark, str(tmp_path / "none"), schema).count() == 0
     maintained.upsert(frame(spark, EVENT, []), 0, str(tmp_path / "t"), ["id"], "at")
     assert ranged.state(spark, str(tmp_path / "t")) is None
+
+
+def test_the_keys_of_a_batch_are_not_broadcast(spark, batches, tmp_path, monkeypatch):
+    # Millions of sorted keys make a file of a few megabytes, so its size must not decide.
+    joined, join = [], ranged.join_null_safe
+    monkeypatch.setattr(ranged, "join_null_safe", lambda *a, **k: joined.append(join(*a, **k)) or joined[-1])
+    for i in (0, 1):
+        maintained.upsert(batches[i], i, str(tmp_path / "t"), ["id", "part"], "at", rows_per_file=30)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in joined]
+    assert len(plans) == 2 and all("SortMergeJoin" in p for p in plans)
+    right = [line for p in plans for line in p.splitlines() if "BroadcastHashJoin" in line and "LeftOuter" in line]
+    assert right == []
