@@ -83,13 +83,15 @@ class World:
 
     @cached_property
     def unified(self) -> DataFrame:
-        flows = shape.unify([shape.map_feed(self.feed), shape.map_history(self.history, B.ANCHOR)])
-        return with_holiday_flag(flows, self.holidays)
+        return with_holiday_flag(self.tagged, self.holidays)
 
     @cached_property
     def tagged(self) -> DataFrame:
-        """The unified rows without the holiday flag, for tables that do not read it."""
-        return shape.unify([shape.map_feed(self.feed), shape.map_history(self.history, B.ANCHOR)])
+        """The unified rows without the holiday flag, for tables that do not read it.
+
+        Their ids are hashes of whole rows and their times are parsed, which is most of what a reading costs.
+        """
+        return self._keep(shape.unify([shape.map_feed(self.feed), shape.map_history(self.history, B.ANCHOR)]), "tagged")
 
     @cached_property
     def transactions(self) -> DataFrame:
