@@ -2,6 +2,7 @@
 
 import pytest
 
+from auditlake.plans.queries import QUERIES
 from auditlake.plans.world import World
 
 EVENTS = """SELECT id AS event_id, TIMESTAMP_NTZ '2024-01-02 03:04:05' + make_dt_interval(0, 0, CAST(id AS INT)) AS ts,
@@ -35,3 +36,7 @@ def test_ids_and_times_of_a_staged_world_are_made_once(spark, folder):
     assert staged.quarantine.count() == lazy.quarantine.count() > 0
     # Without the flag in the stored rows, with it where it is read.
     assert staged.transactions.where("is_bank_holiday").count() == 60
+
+
+def test_metrics_of_the_star_read_stored_rows(spark, folder):
+    assert "sha2(" not in plan_of(QUERIES["star_metrics_recipient"](spark, folder))
